@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
@@ -188,7 +189,11 @@ def fit_all(
     label: str = "target_aqi_1d",
     settings: Mapping[str, Mapping[str, object]] | None = None,
 ) -> list[ModelBundle]:
-    """Fits every model on one prepared, cached matrix."""
+    """Fits every model on one prepared, cached matrix.
+
+    The ensembles are fitted at the same time: each is a long chain of short jobs, so
+    one alone leaves the cluster waiting between them.
+    """
     settings = settings or {}
     known = train.filter(F.col(label).isNotNull())
     medians = fit_medians(known, features)
@@ -196,15 +201,19 @@ def fit_all(
     ridge = fit_ridge(known, effective, label, medians)
     plain = ModelBundle("", None, effective, label, medians)
     matrix = assemble_vector(known, plain).select(VECTOR, F.col(label).cast("double").alias(label))
-    matrix.cache()
+    matrix.cache().count()
+
+    def fit(name: str) -> ModelBundle:
+        blank = ModelBundle(name, None, effective, label, medians)
+        return TREE_MODELS[name](matrix, blank, **settings.get(name, {}))
+
+    pool = ThreadPool(len(TREE_MODELS))
     try:
-        fitted = [ridge]
-        for name, fit in TREE_MODELS.items():
-            blank = ModelBundle(name, None, effective, label, medians)
-            fitted.append(fit(matrix, blank, **settings.get(name, {})))
+        run = inheritable_thread_target(train.sparkSession)(fit)
+        return [ridge, *pool.map(run, TREE_MODELS)]
     finally:
+        pool.close()
         matrix.unpersist()
-    return fitted
 
 
 def compare_models(
@@ -227,7 +236,3 @@ def metrics_table(spark, bundles: Sequence[ModelBundle]) -> DataFrame:
         (b.name, *[round(float(b.metrics[m]), 4) for m in ("rmse", "mae", "r2")]) for b in bundles
     ]
     return spark.createDataFrame(rows, "name STRING, rmse DOUBLE, mae DOUBLE, r2 DOUBLE")
-
-
-def is_finite(metrics: Mapping[str, float]) -> bool:
-    return all(v is not None and math.isfinite(v) for v in metrics.values())
