@@ -165,6 +165,20 @@ def test_upsert_replaces_inserts_and_repeats(spark, tmp_path):
         upsert(spark, path, batch([("a", None, 1.0, 1)]))
 
 
+def test_a_died_swap_is_finished_by_the_next_upsert(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "city STRING, timestamp TIMESTAMP, aqi DOUBLE, ingest_seq LONG"
+    upsert(spark, path, spark.createDataFrame([("a", day(0), 1.0, 1)], schema))
+    merged = spark.createDataFrame([("a", day(0), 1.0, 1), ("b", day(0), 2.0, 2)], schema)
+    merged.withColumn("event_date", F.to_date("timestamp")).write.parquet(path + "__pending")
+    for name in os.listdir(path):
+        if name.startswith("event_date"):  # the old partition is gone, the new one not yet there
+            os.rename(os.path.join(path, name), str(tmp_path / name))
+    got = upsert(spark, path, spark.createDataFrame([("c", day(0), 3.0, 3)], schema))
+    assert sorted(r["city"] for r in got.collect()) == ["a", "b", "c"]
+    assert not os.path.exists(path + "__pending")
+
+
 def test_latest_per_key_collapses_copies(spark):
     rows = spark.range(10_000).select(
         F.lit("a").alias("city"), F.lit(day(0)).alias("timestamp"), "id", (F.col("id") % 7).alias("ingest_seq")

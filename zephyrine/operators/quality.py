@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zephyrine.functions.calendar import parse_timestamp_utc
+from zephyrine.operators.ranking import last_n_per_key
 from zephyrine.schema import REQUIRED_COLUMNS
 
 
@@ -146,11 +147,6 @@ def recent_above(
 
     The rank filter prunes to ``n`` rows per city before the shuffle.
     """
-    newest = Window.partitionBy("city").orderBy(*[F.col(c).desc() for c in order])
-    ranked = (
-        df.filter(F.col("aqi") > threshold)
-        .withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") <= n)
-    )
-    enough = F.count("*").over(Window.partitionBy("city"))
-    return ranked.withColumn("_rows", enough).filter(F.col("_rows") >= min_rows).drop("_rank", "_rows")
+    newest = last_n_per_key(df.filter(F.col("aqi") > threshold), n, ["city"], order)
+    rows = F.count("*").over(Window.partitionBy("city"))
+    return newest.withColumn("_rows", rows).filter(F.col("_rows") >= min_rows).drop("_rows")

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from zephyrine.operators.blocks import running_before
 
-# Spark's ``percentile`` holds every distinct value of a column in one buffer.
-DIRECT_DISTINCT_LIMIT = 500_000
+# Spark's ``percentile`` holds every distinct value of its column in one task's buffer;
+# this bounds all buffers of one aggregate together.
+DIRECT_DISTINCT_LIMIT = 1_000_000
 
 
 def exact_quantiles(
@@ -22,14 +23,19 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles per column, missing values ignored.
 
-    Columns with few distinct values (measured with a bounded sketch) take one
-    ``percentile`` aggregate; the others are counted and ranked over the cluster.
+    Distinct values are measured with a bounded sketch. Columns that fit the limit
+    together, smallest first, take one ``percentile`` aggregate; the others are counted
+    and ranked over the cluster.
     """
     columns = list(columns)
     if not columns:
         return {}
     sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    direct = [c for c in columns if sketch[c] <= direct_limit]
+    direct, held = [], 0
+    for c in sorted(columns, key=lambda c: sketch[c]):
+        held += sketch[c]
+        if held <= direct_limit:
+            direct.append(c)
     out: dict[str, list[float | None]] = {}
     if direct:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])

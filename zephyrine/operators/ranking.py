@@ -22,6 +22,15 @@ def last_n(df: DataFrame, n: int = 10, order: Sequence[str] = ("timestamp",)) ->
     return newest.orderBy(*order)
 
 
+def last_n_per_key(
+    df: DataFrame, n: int, keys: Sequence[str] = ("city",), order: Sequence[str] = ("timestamp",)
+) -> DataFrame:
+    """The newest ``n`` rows of each key; Spark keeps only those before the shuffle."""
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    ranked = df.withColumn("_rank", F.row_number().over(newest))
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")
+
+
 def top_values(df: DataFrame, column: str = "aqi", n: int = 20) -> DataFrame:
     """Most frequent values; equal counts come in value order."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))

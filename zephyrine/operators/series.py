@@ -163,14 +163,24 @@ def latest_inference_rows(
     feature_columns: Sequence[str] | None = None,
     keys: Sequence[str] = ("city",),
     order: Sequence[str] = ("timestamp",),
-    block_rows: int | None = None,
 ) -> DataFrame:
-    """Last row per series that has a 72-row lag, aligned to the model's columns."""
+    """Last row per series that has a 72-row lag, aligned to the model's columns.
+
+    The wide frames run only over the rows that row can see, not over the whole history;
+    both window passes share one exchange and one sort.
+    """
     from zephyrine.operators.projection import align_columns
 
-    lagged = add_hourly_lag_features(df, keys, order, block_rows)
-    usable = lagged.dropna(subset=[f"aqi_lag_{max(HOURLY_LAGS)}h"])
-    latest = latest_rows(usable, keys, order)
+    series = Window.partitionBy(*keys)
+    ordered = series.orderBy(*order)
+    usable = F.lag("aqi", max(HOURLY_LAGS)).over(ordered).isNotNull()
+    place = F.row_number().over(ordered)
+    placed = df.withColumns({"_place": place, "_usable": usable})
+    last = F.max(F.when(F.col("_usable"), F.col("_place"))).over(series)
+    reach = F.col("_last") - F.col("_place")
+    near = placed.withColumn("_last", last).filter(reach.between(0, max(HOURLY_MEANS)))
+    lagged = add_hourly_lag_features(near.drop("_usable"), keys, order)
+    latest = lagged.filter(F.col("_place") == F.col("_last")).drop("_place", "_last")
     if feature_columns is None:
         return latest
     identity = [*keys, *[c for c in order if c not in keys]]

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 from zephyrine.operators.reporting import alerts, max_horizon_aqi
 from zephyrine.operators.scoring import bundle_predictor, recursive_forecast, score_batch
-from zephyrine.operators.series import add_daily_lag_features, latest_inference_rows
+from zephyrine.operators.ranking import last_n_per_key
+from zephyrine.operators.series import DAILY_LAGS, add_daily_lag_features, latest_inference_rows
 from zephyrine.sources.bundle import ModelBundle
 from zephyrine.sources.tables import latest_rows
 
@@ -16,8 +17,13 @@ from zephyrine.sources.tables import latest_rows
 def latest_feature_rows(
     features: DataFrame, keys: Sequence[str] = ("city",), order: Sequence[str] = ("timestamp",)
 ) -> DataFrame:
-    """Newest row per series with its lag features."""
-    return latest_rows(add_daily_lag_features(features, keys=keys, order=order, drop=False), keys, order)
+    """Newest row per series with its lag features.
+
+    Only the rows its frames reach are shuffled, however long the history is.
+    """
+    reach = last_n_per_key(features, max(DAILY_LAGS) + 1, keys, order)
+    lagged = add_daily_lag_features(reach, keys=keys, order=order, drop=False)
+    return latest_rows(lagged, keys, order)
 
 
 def forecast_with_alerts(

@@ -68,18 +68,24 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_readings(events(spark, sf_dir))
 
 
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _resampled(
+    spark: SparkSession, sf_dir: str, key: str, grain: str, columns: Sequence[str] | None
+) -> DataFrame:
+    rows = readings(spark, sf_dir)
+    if columns is not None:
+        rows = rows.select(*dict.fromkeys([key, *READING_ORDER, *columns]))
+    slots = resample_latest(rows, [key], grain, READING_ORDER, time_column="ts")
+    return slots.withColumnRenamed("slot", "timestamp")
+
+
+def daily(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Latest reading per station and day; ``timestamp`` is the day."""
-    rows = resample_latest(
-        readings(spark, sf_dir), ["station_id"], "day", READING_ORDER, time_column="ts"
-    )
-    return rows.withColumnRenamed("slot", "timestamp")
+    return _resampled(spark, sf_dir, "station_id", "day", columns)
 
 
-def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hourly(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Latest reading per city and hour; ``timestamp`` is the hour."""
-    rows = resample_latest(readings(spark, sf_dir), ["city"], "hour", READING_ORDER, time_column="ts")
-    return rows.withColumnRenamed("slot", "timestamp")
+    return _resampled(spark, sf_dir, "city", "hour", columns)
 
 
 def written(df: DataFrame, label: str, file_format: str = "parquet", **options: object) -> str:

@@ -419,7 +419,7 @@ def _align(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_daily("SELECT reading_id, humidity, pm25, pm10 FROM daily"),
 )
 def _model_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = daily(spark, sf_dir)
+    rows = daily(spark, sf_dir, ["aqi", "humidity", "pm25", "pm10"])
     wanted = ["humidity", "city", "aqi", "dew_point", "pm25", "pm10"]
     return rows.select(ID, *[c for c in intersect_columns(wanted, rows) if c in feature_columns(rows)])
 

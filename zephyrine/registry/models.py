@@ -25,6 +25,7 @@ from zephyrine.operators.scoring import (
     score_batch,
 )
 from zephyrine.operators.series import add_change_rate, add_daily_lag_features
+from zephyrine.plans.forecast import latest_feature_rows
 from zephyrine.plans.training import training_rows
 from zephyrine.registry.base import (
     daily,
@@ -39,7 +40,7 @@ from zephyrine.registry.base import (
     sql_r,
     sql_text,
 )
-from zephyrine.registry.series import COMPLETE, DAILY_COLUMNS_SQL, DAY_WINDOW
+from zephyrine.registry.series import COMPLETE, DAILY_COLUMNS_SQL, DAILY_INPUTS, DAY_WINDOW
 from zephyrine.sources.bundle import ModelBundle
 from zephyrine.sources.tables import latest_rows
 
@@ -48,7 +49,7 @@ INPUTS = ["aqi", "temperature"]
 
 
 def lagged_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_daily_lag_features(daily(spark, sf_dir), keys=STATION)
+    return add_daily_lag_features(daily(spark, sf_dir, DAILY_INPUTS), keys=STATION)
 
 
 LAGGED_SQL = (
@@ -136,7 +137,7 @@ def _score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three direct models; the latest row of every station scored at all horizons."""
     rows = lagged_daily(spark, sf_dir)
     bundles = [fit_ridge(rows, INPUTS, f"target_aqi_{k}d") for k in (1, 2, 3)]
-    latest = latest_rows(daily(spark, sf_dir), STATION)
+    latest = latest_rows(daily(spark, sf_dir, INPUTS), STATION)
     scored = score_batch(latest, bundles, keep=["station_id", "timestamp"])
     return scored.withColumn("ts", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).drop("timestamp")
 
@@ -152,7 +153,7 @@ def _score(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train-time median and scale on all rows; the wholly empty input drops out."""
-    rows = daily(spark, sf_dir)
+    rows = daily(spark, sf_dir, ["pm10", "no2"])
     train, _ = time_split(rows, 7)
     medians = fit_medians(train, ["pm10", "no2"])
     kept = list(medians)
@@ -176,8 +177,8 @@ INTERCEPT = 5.0
 
 
 def latest_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = add_change_rate(daily(spark, sf_dir), STATION)
-    return latest_rows(add_daily_lag_features(rows, keys=STATION, drop=False), STATION)
+    rows = add_change_rate(daily(spark, sf_dir, DAILY_INPUTS), STATION)
+    return latest_feature_rows(rows, STATION)
 
 
 def fixed_forecast(latest: DataFrame, advance: str = "hold") -> DataFrame:
@@ -280,7 +281,7 @@ def _horizon_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = add_change_rate(daily(spark, sf_dir), STATION)
+    rows = add_change_rate(daily(spark, sf_dir, DAILY_INPUTS), STATION)
     lagged = add_daily_lag_features(rows, keys=STATION, drop=False)
     means, _ = fit_scaler(lagged, list(WEIGHTS))
     long = attribute_linear(latest_rows(lagged, STATION), WEIGHTS, means, STATION)
@@ -305,7 +306,7 @@ def _attribute_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For a linear model the sampled values must equal the closed form."""
     rows = lagged_daily(spark, sf_dir)
     bundle = fit_ridge(rows, INPUTS)
-    days = daily(spark, sf_dir)
+    days = daily(spark, sf_dir, INPUTS)
     long = attribute_sampled(
         latest_rows(days, STATION), bundle, days, STATION, order=["timestamp", "reading_id"]
     )

@@ -180,7 +180,7 @@ def _ingest_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_daily(f"SELECT {sql_day('ts')} AS day, count(*) AS n FROM daily GROUP BY ALL"),
 )
 def _min_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = min_rows_guard(daily(spark, sf_dir), 50)
+    rows = min_rows_guard(daily(spark, sf_dir, []), 50)
     return rows.groupBy(day_text("timestamp").alias("day")).agg(F.count("*").alias("n"))
 
 
@@ -403,7 +403,7 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     series = Window.partitionBy("station_id").orderBy("timestamp")
-    rows = daily(spark, sf_dir).select("aqi", F.lag("aqi", 1).over(series).alias("prediction"))
+    rows = daily(spark, sf_dir, ["aqi"]).select("aqi", F.lag("aqi", 1).over(series).alias("prediction"))
     report = regression_metrics(rows.dropna(), label="aqi")
     return rounded(report, ["rows"], ["rmse", "mae", "r2"])
 
@@ -413,7 +413,7 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_hourly(f"SELECT city, {sql_text('\"timestamp\"')} AS ts, aqi FROM hourly ORDER BY ts, city"),
 )
 def _sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sort_by_time(hourly(spark, sf_dir), ["timestamp", "city"])
+    rows = sort_by_time(hourly(spark, sf_dir, ["aqi"]), ["timestamp", "city"])
     return rows.select("city", text("timestamp").alias("ts"), "aqi")
 
 

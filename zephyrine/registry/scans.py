@@ -215,7 +215,7 @@ def _scan_history_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_hourly(spark: SparkSession, sf_dir: str) -> str:
     """The hourly readings as an ``event_date``-partitioned table."""
     path = scratch_path(spark, "features")
-    rows = hourly(spark, sf_dir).withColumn("ingest_seq", F.lit(1).cast("bigint"))
+    rows = hourly(spark, sf_dir, ["aqi", "humidity"]).withColumn("ingest_seq", F.lit(1).cast("bigint"))
     upsert(spark, path, rows)
     return path
 
@@ -331,7 +331,7 @@ predictions AS (
 
 
 def simple_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = latest_rows(hourly(spark, sf_dir).select("city", "timestamp", "aqi"))
+    latest = latest_rows(hourly(spark, sf_dir, ["aqi"]).select("city", "timestamp", "aqi"))
     return latest.select(
         "city",
         "timestamp",
@@ -411,7 +411,8 @@ BUNDLE_FEATURES = ["aqi_lag_1d", "aqi_rolling_mean_7d", "temperature", "humidity
 @query("sk5_model_bundle")
 def _model_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stored bundles, the better one loaded and used on every row."""
-    rows = add_daily_lag_features(daily(spark, sf_dir), keys=["station_id"])
+    inputs = ["aqi", "temperature", "humidity", "pm10", "no2"]
+    rows = add_daily_lag_features(daily(spark, sf_dir, inputs), keys=["station_id"])
     medians = fit_medians(rows, BUNDLE_FEATURES)
     effective = [c for c in BUNDLE_FEATURES if c in medians]
     base = scratch_path(spark, "models")

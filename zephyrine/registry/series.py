@@ -42,6 +42,8 @@ from zephyrine.registry.base import (
 from zephyrine.sources.store import latest_per_key
 
 STATION = ["station_id"]
+DAILY_INPUTS = ["aqi", "temperature", "humidity"]
+HOURLY_INPUTS = ["aqi", "pm25", "wind_speed"]
 
 DAY_WINDOW = 'OVER (PARTITION BY station_id ORDER BY "timestamp"'
 
@@ -94,7 +96,7 @@ for _name, _columns, _build in (
     def _daily_part(
         spark: SparkSession, sf_dir: str, columns: list = _columns, build=_build
     ) -> DataFrame:
-        return _station_rows(daily(spark, sf_dir).withColumns(build(_daily_window())), columns)
+        return _station_rows(daily(spark, sf_dir, DAILY_INPUTS).withColumns(build(_daily_window())), columns)
 
 
 ALL_DAILY = list(DAILY_COLUMNS_SQL)
@@ -106,12 +108,12 @@ COMPLETE = (
 @query("w6_daily_lag_features", daily_sql(ALL_DAILY, COMPLETE))
 def daily_lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: latest reading per station-day, then all daily features."""
-    return _station_rows(add_daily_lag_features(daily(spark, sf_dir), keys=STATION), ALL_DAILY)
+    return _station_rows(add_daily_lag_features(daily(spark, sf_dir, DAILY_INPUTS), keys=STATION), ALL_DAILY)
 
 
 @query("w6_daily_lag_features_no_drop", daily_sql(ALL_DAILY))
 def _no_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = add_daily_lag_features(daily(spark, sf_dir), keys=STATION, drop=False)
+    rows = add_daily_lag_features(daily(spark, sf_dir, DAILY_INPUTS), keys=STATION, drop=False)
     return _station_rows(rows, ALL_DAILY)
 
 
@@ -120,7 +122,7 @@ LOOKBACK_7 = [c for c in ALL_DAILY if c != "aqi_lag_14d"]
 
 @query("w6_daily_lag_features_lookback_7", daily_sql(LOOKBACK_7, COMPLETE))
 def _lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = add_daily_lag_features(daily(spark, sf_dir), lookback_days=7, keys=STATION)
+    rows = add_daily_lag_features(daily(spark, sf_dir, DAILY_INPUTS), lookback_days=7, keys=STATION)
     return _station_rows(rows, [c for c in ALL_DAILY if c in rows.columns])
 
 
@@ -198,12 +200,12 @@ for _name, _columns, _build in (
     def _hourly_part(
         spark: SparkSession, sf_dir: str, columns: list = _columns, build=_build
     ) -> DataFrame:
-        return _city_rows(hourly(spark, sf_dir).withColumns(build(_hourly_window())), columns)
+        return _city_rows(hourly(spark, sf_dir, HOURLY_INPUTS).withColumns(build(_hourly_window())), columns)
 
 
 @query("w7_w10_hourly_lag_features", hourly_sql(ALL_HOURLY))
 def hourly_lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _city_rows(add_hourly_lag_features(hourly(spark, sf_dir)), ALL_HOURLY)
+    return _city_rows(add_hourly_lag_features(hourly(spark, sf_dir, HOURLY_INPUTS)), ALL_HOURLY)
 
 
 @query(
@@ -237,7 +239,9 @@ INFERENCE_COLUMNS = [*ALL_HOURLY, "temperature", "humidity", "dew_point"]
     ),
 )
 def latest_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest_inference_rows(hourly(spark, sf_dir), INFERENCE_COLUMNS)
+    rows = latest_inference_rows(
+        hourly(spark, sf_dir, [*HOURLY_INPUTS, "temperature", "humidity"]), INFERENCE_COLUMNS
+    )
     return _city_rows(rows, INFERENCE_COLUMNS)
 
 
@@ -278,5 +282,5 @@ def _key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _calendar_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = calendar_lag(calendar_lag(hourly(spark, sf_dir), 1), 7)
+    rows = calendar_lag(calendar_lag(hourly(spark, sf_dir, ["aqi"]), 1), 7)
     return rows.select("city", text("timestamp").alias("ts"), "aqi_calendar_lag_1d", "aqi_calendar_lag_7d")

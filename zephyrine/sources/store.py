@@ -9,8 +9,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zephyrine.session import scratch_path
-
 DATE_COLUMN = "event_date"
 SEQ_COLUMN = "ingest_seq"
 FEATURE_KEYS = ("city", "timestamp")
@@ -60,9 +58,13 @@ def upsert(
     """Insert-or-replace ``batch`` into the ``event_date``-partitioned table at ``path``.
 
     Needs an ``ingest_seq`` column; a higher one wins. Only the dates present in the
-    batch are read and rewritten. The merged rows are staged in full before the
-    overwrite starts, so a failed run can simply be repeated. One writer at a time.
+    batch are read and rewritten. The merged dates are written in full beside the table
+    and then swapped in; if a run dies during the swap, the next one finishes it first.
+    One writer at a time; a reader during the swap may see some dates old, some new.
     """
+    pending = path.rstrip("/") + "__pending"
+    if _exists(spark, f"{pending}/_SUCCESS"):
+        _publish(spark, pending, path, keys)
     incoming = batch.withColumn(DATE_COLUMN, F.to_date(time_column))
     # One value per calendar day of the batch, whatever its number of rows.
     days = [row[0] for row in incoming.select(DATE_COLUMN).distinct().collect()]
@@ -75,17 +77,34 @@ def upsert(
     if stored is not None:
         touched = stored.filter(F.col(DATE_COLUMN).isin(days))
         merged = touched.unionByName(incoming, allowMissingColumns=True)
-    staged = scratch_path(spark, "upsert")
-    latest_per_key(merged, [*keys, DATE_COLUMN]).write.parquet(staged)
+    latest_per_key(merged, [*keys, DATE_COLUMN]).write.mode("overwrite").parquet(pending)
+    _publish(spark, pending, path, keys)
+    return spark.read.parquet(path)
+
+
+def _publish(spark: SparkSession, pending: str, path: str, keys: Sequence[str]) -> None:
+    """Swap the pending dates into the table; safe to repeat."""
+    spread = F.pmod(F.xxhash64(*keys), F.lit(_files_per_day(spark)))
     (
-        spark.read.parquet(staged)
-        .repartition(DATE_COLUMN, F.pmod(F.xxhash64(*keys), F.lit(_files_per_day(spark))))
+        spark.read.parquet(pending)
+        .repartition(DATE_COLUMN, spread)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE_COLUMN)
         .parquet(path)
     )
-    return spark.read.parquet(path)
+    hadoop_path, files = _hadoop(spark, pending)
+    files.delete(hadoop_path, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, files = _hadoop(spark, path)
+    return files.exists(hadoop_path)
 
 
 def _files_per_day(spark: SparkSession) -> int:

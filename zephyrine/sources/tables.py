@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zephyrine.sources.store import DATE_COLUMN
+from zephyrine.sources.store import DATE_COLUMN, latest_per_key
 
 
 def read_feature_table(
@@ -53,10 +53,11 @@ def read_with_fallback(
 def latest_rows(
     df: DataFrame, keys: Sequence[str] = ("city",), order: Sequence[str] = ("timestamp",)
 ) -> DataFrame:
-    """Last row per key as one partial aggregate: a hot key never reaches one task whole."""
-    rest = [c for c in df.columns if c not in keys]
-    latest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_latest")
-    return df.groupBy(*keys).agg(latest).select(*keys, "_latest.*").select(*df.columns)
+    """Last row per key as one partial aggregate: a hot key never reaches one task whole.
+
+    Select the needed columns first: all columns of ``df`` travel with the aggregate.
+    """
+    return latest_per_key(df, keys, order)
 
 
 def previous_aqi(df: DataFrame, order: Sequence[str] = ("timestamp",)) -> DataFrame:

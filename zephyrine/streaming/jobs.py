@@ -74,10 +74,11 @@ def stream_hourly_features(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         hourly = _hourly(batch, order).withColumn(SEQ_COLUMN, F.unix_micros("ts"))
-        valid, _ = split_valid(hourly, ingest_rules())
+        valid = split_valid(hourly, ingest_rules())[0].persist()
         placed = with_history(valid, read_table(spark, table), history_days)
         features = assemble_feature_rows(placed, extra=[SEQ_COLUMN, "_new"])
         upsert(spark, table, features.filter("_new").drop("_new"))
+        valid.unpersist()
 
     run_batches(readings, checkpoint, handle)
 
@@ -112,7 +113,8 @@ def _series_job(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = prepare(_hourly(batch, order)).withColumn("_new", F.lit(True))
+        hourly = prepare(_hourly(batch, order)).withColumn("_new", F.lit(True)).persist()
+        current = hourly
         before = read_table(spark, os.path.join(state, f"batch-{batch_id - 1}"))
         if before is not None:
             current = current.unionByName(before.withColumn("_new", F.lit(False)))
@@ -125,6 +127,7 @@ def _series_job(
         current.groupBy("city").agg(last).select("city", "_last.*").write.mode(
             "overwrite"
         ).parquet(os.path.join(state, f"batch-{batch_id}"))
+        hourly.unpersist()
 
     run_batches(readings, checkpoint, handle)
 
