@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import day, physical_plan, series
-from zephyrine.operators.blocks import over_series, running_before
+from zephyrine.operators import blocks
+from zephyrine.operators.blocks import number_rows, over_series
 from zephyrine.operators.joins import previous_reading
 from zephyrine.operators.projection import align_columns, assemble_feature_rows, feature_columns
 from zephyrine.operators.series import (
@@ -91,6 +92,17 @@ def test_blocks_equal_whole_series_for_hourly_frames(spark):
     assert plain.exceptAll(blocked).count() == 0 and blocked.exceptAll(plain).count() == 0
 
 
+def test_auto_cuts_only_long_series(spark, monkeypatch):
+    rows = series(spark, [float(i % 7) for i in range(400)])
+    plain = add_change_rate(rows)
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 50)
+    for limit, cut in ((1000, False), (100, True)):
+        monkeypatch.setattr(blocks, "LONGEST_PLAIN_SERIES", limit)
+        auto = add_change_rate(rows, block_rows=blocks.AUTO)
+        assert ("_block" in physical_plan(auto)) == cut
+        assert plain.exceptAll(auto).count() == 0 and auto.exceptAll(plain).count() == 0
+
+
 def test_blocks_must_hold_the_frame(spark):
     with pytest.raises(ValueError, match="at least 14"):
         over_series(series(spark, [1.0]), ["city"], ["timestamp"], lambda w: {}, 14, 3, block_rows=5)
@@ -98,7 +110,7 @@ def test_blocks_must_hold_the_frame(spark):
 
 def test_positions_are_global_row_numbers(spark):
     rows = series(spark, [1.0] * 500, "a").unionByName(series(spark, [1.0] * 3, "b"))
-    got = running_before(rows, ["city"], ["timestamp"])
+    got = number_rows(rows, ["city"], ["timestamp"])
     spans = got.groupBy("city").agg(
         F.min("position"), F.max("position"), F.count_distinct("position")
     ).orderBy("city")

@@ -16,51 +16,90 @@ from pyspark.sql import functions as F
 
 from zephyrine.session import scratch_path
 
-DEFAULT_BLOCK_ROWS = 200_000
+BLOCK_ROWS = 200_000
 
+# A series up to this long is one window partition under ``auto``.
+LONGEST_PLAIN_SERIES = 2_000_000
+
+AUTO = "auto"
+
+# ``monotonically_increasing_id`` keeps the partition number above this many low bits.
+_ROW_BITS = 33
 
-def running_before(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    weight: str | None = None,
-    name: str = "position",
-) -> DataFrame:
-    """Adds the total ``weight`` (default: row count) of the earlier rows of the series.
 
-    ``order`` must be unique within a series. Rows are range-partitioned by series and
-    order, so ties in a key split over tasks; the slices are written to the shared
-    folder, because slice numbers must be the same when sizes and rows are read.
+def written_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows in series order over range partitions, written to the shared folder.
+
+    ``_row`` numbers the rows of a slice in order. Ties in a key split over slices, so a
+    hot series is spread evenly. The slices are written because their numbers must be
+    the same each time they are read.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "slices")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         df.repartitionByRange(parts, *keys, *order)
-        .withColumn("_slice", F.spark_partition_id())
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_slice", F.shiftright("_row", _ROW_BITS))
         .write.parquet(path)
     )
-    rows = spark.read.parquet(path)
-    amount = F.lit(1) if weight is None else F.col(weight)
-    slice_window = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    earlier = slice_window.rowsBetween(Window.unboundedPreceding, -1)
-    local = F.coalesce(F.sum(amount).over(earlier), F.lit(0)).cast("bigint")
-
-    # At most one row per (series, slice) pair: series + slices rows in all.
-    sizes = rows.groupBy(*keys, "_slice").agg(F.sum(amount).cast("bigint").alias("_size"))
+    return spark.read.parquet(path)
+
+
+def _with_slice_starts(
+    rows: DataFrame, keys: Sequence[str], size: Column
+) -> DataFrame:
+    """Adds, per (series, slice), its first ``_row`` and the ``size`` of earlier slices.
+
+    The joined side has at most one row per series and slice it touches: as many rows as
+    there are series and slices together.
+    """
+    sizes = rows.groupBy(*keys, "_slice").agg(
+        size.cast("bigint").alias("_size"), F.min("_row").alias("_first")
+    )
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         *[F.col(k).alias(f"_key_{k}") for k in keys],
         F.col("_slice").alias("_slice_of"),
+        "_first",
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
     )
     same = F.col("_slice") == F.col("_slice_of")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    placed = rows.withColumn("_local", local).join(starts, same)
+    return rows.join(starts, same)
+
+
+def number_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position"
+) -> DataFrame:
+    """Adds the 0-based place of each row in its series, without a window over the rows.
+
+    ``order`` must be unique within a series.
+    """
+    placed = _with_slice_starts(written_slices(df, keys, order), keys, F.count("*"))
+    position = F.col("_start") + F.col("_row") - F.col("_first")
+    return placed.select(*df.columns, position.alias(name))
+
+
+def running_before(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, name: str
+) -> DataFrame:
+    """Adds the total ``weight`` of the earlier rows of the series."""
+    rows = written_slices(df, keys, order)
+    window = Window.partitionBy(*keys, "_slice").orderBy("_row")
+    earlier = F.sum(weight).over(window.rowsBetween(Window.unboundedPreceding, -1))
+    local = F.coalesce(earlier, F.lit(0)).cast("bigint")
+    placed = _with_slice_starts(rows.withColumn("_local", local), keys, F.sum(weight))
     return placed.select(*df.columns, (F.col("_start") + F.col("_local")).alias(name))
 
 
+def longest_series(df: DataFrame, keys: Sequence[str]) -> int:
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
+
+
 def over_series(
     df: DataFrame,
     keys: Sequence[str],
@@ -68,18 +107,22 @@ def over_series(
     columns: Callable[[WindowSpec], dict[str, Column]],
     back: int,
     ahead: int = 0,
-    block_rows: int | None = None,
+    block_rows: int | str | None = None,
 ) -> DataFrame:
     """Adds ``columns(window)`` to every row.
 
     ``back`` and ``ahead`` are the furthest rows any frame reaches. With ``block_rows``
-    unset a series is one window partition, for series the calendar bounds.
+    unset a series is one window partition, for series the calendar bounds; ``auto``
+    counts the rows per series first and cuts into blocks if one is too long. All
+    columns of ``df`` travel through the shuffles, so select the needed ones before.
     """
+    if block_rows == AUTO:
+        block_rows = BLOCK_ROWS if longest_series(df, keys) > LONGEST_PLAIN_SERIES else None
     if block_rows is None:
         return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
     if block_rows < max(back, ahead, 1):
         raise ValueError(f"block_rows must be at least {max(back, ahead, 1)}")
-    placed = running_before(df, keys, order, name="_position")
+    placed = number_rows(df, keys, order, "_position")
     home = F.floor(F.col("_position") / F.lit(block_rows)).cast("bigint")
     within = F.pmod(F.col("_position"), F.lit(block_rows))
     homes = F.array(

@@ -117,7 +117,7 @@ def previous_reading(
     batch: DataFrame,
     keys: Sequence[str] = ("city",),
     order: Sequence[str] = ("timestamp",),
-    block_rows: int | None = None,
+    block_rows: int | str | None = None,
 ) -> DataFrame:
     """For each batch row the index just before it in history and batch together.
 

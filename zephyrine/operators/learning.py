@@ -13,7 +13,7 @@ from pyspark.ml.regression import (
     LinearRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from zephyrine.operators.profiling import regression_metrics
@@ -38,15 +38,19 @@ def impute_median(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
     return df.withColumns({c: imputed(c, medians) for c in medians})
 
 
+def scaler_aggregates(columns: Sequence[str]) -> list[Column]:
+    means = [F.avg(c).alias(f"m_{i}") for i, c in enumerate(columns)]
+    return means + [F.stddev_pop(c).alias(f"d_{i}") for i, c in enumerate(columns)]
+
+
+def scaler_from(row: Row, columns: Sequence[str]) -> tuple[dict[str, float], dict[str, float]]:
+    means = {c: row[f"m_{i}"] for i, c in enumerate(columns)}
+    return means, {c: row[f"d_{i}"] for i, c in enumerate(columns)}
+
+
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, float], dict[str, float]]:
     """(means, population deviations) in one pass."""
-    row = df.agg(
-        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(c).alias(f"d_{i}") for i, c in enumerate(columns)],
-    ).first()
-    means = {c: row[f"m_{i}"] for i, c in enumerate(columns)}
-    deviations = {c: row[f"d_{i}"] for i, c in enumerate(columns)}
-    return means, deviations
+    return scaler_from(df.agg(*scaler_aggregates(columns)).first(), columns)
 
 
 def scaled(value: Column, mean: float, deviation: float) -> Column:
@@ -111,11 +115,15 @@ def fit_ridge(
     """
     medians = dict(medians or {})
     filled = impute_median(train.filter(F.col(label).isNotNull()), medians)
-    means, deviations = fit_scaler(filled, features)
+    row = filled.agg(
+        F.count("*").alias("rows"),
+        F.stddev_pop(label).alias("spread"),
+        *scaler_aggregates(features),
+    ).first()
+    means, deviations = scaler_from(row, features)
     bundle = ModelBundle(
         "Ridge Regression", None, list(features), label, medians, means, deviations
     )
-    size = filled.agg(F.count("*").alias("n"), F.stddev_pop(label).alias("s")).first()
     matrix = assemble_vector(filled, bundle).select(VECTOR, F.col(label).cast("double").alias(label))
     bundle.model = LinearRegression(
         featuresCol=VECTOR,
@@ -123,7 +131,7 @@ def fit_ridge(
         solver="normal",
         standardization=False,
         elasticNetParam=0.0,
-        regParam=alpha / size["n"] * (size["s"] or 1.0),
+        regParam=alpha / row["rows"] * (row["spread"] or 1.0),
     ).fit(matrix)
     return bundle
 

@@ -66,7 +66,7 @@ def assemble_feature_rows(
     keys: Sequence[str] = ("city",),
     order: Sequence[str] = ("timestamp",),
     extra: Sequence[str] = (),
-    block_rows: int | None = None,
+    block_rows: int | str | None = None,
 ) -> DataFrame:
     """Readings with one row per key and time slot to the fixed feature-table columns.
 

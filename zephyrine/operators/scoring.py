@@ -179,7 +179,9 @@ def attribute_sampled(
     literal = F.from_json(
         F.lit(json.dumps(cases)), "ARRAY<STRUCT<base: ARRAY<DOUBLE>, ranks: ARRAY<INT>>>"
     )
-    own = df.select(*keys, F.array(*inputs).alias("_own"))
+    # One small row per key becomes cases x steps rows: spread the keys first.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = df.select(*keys, F.array(*inputs).alias("_own")).repartition(parts, *keys)
     expanded = own.select(*keys, "_own", F.posexplode(literal).alias("_case", "_c"))
     stepped = expanded.select(
         *keys, "_case", "_own", "_c", F.explode(F.sequence(F.lit(0), F.lit(width))).alias("_step")

@@ -39,6 +39,7 @@ from zephyrine.registry.base import (
     sql_day,
     sql_r,
     sql_text,
+    written,
 )
 from zephyrine.registry.series import COMPLETE, DAILY_COLUMNS_SQL, DAILY_INPUTS, DAY_WINDOW
 from zephyrine.sources.bundle import ModelBundle
@@ -49,7 +50,9 @@ INPUTS = ["aqi", "temperature"]
 
 
 def lagged_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_daily_lag_features(daily(spark, sf_dir, DAILY_INPUTS), keys=STATION)
+    """Written once: fitting reads the rows several times."""
+    rows = add_daily_lag_features(daily(spark, sf_dir, DAILY_INPUTS), keys=STATION)
+    return spark.read.parquet(written(rows, "lagged"))
 
 
 LAGGED_SQL = (
@@ -306,7 +309,7 @@ def _attribute_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For a linear model the sampled values must equal the closed form."""
     rows = lagged_daily(spark, sf_dir)
     bundle = fit_ridge(rows, INPUTS)
-    days = daily(spark, sf_dir, INPUTS)
+    days = spark.read.parquet(written(daily(spark, sf_dir, INPUTS), "daily"))
     long = attribute_sampled(
         latest_rows(days, STATION), bundle, days, STATION, order=["timestamp", "reading_id"]
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from zephyrine.operators.blocks import AUTO
 from zephyrine.operators.series import (
     add_change_rate,
     add_daily_lag_features,
@@ -139,7 +140,9 @@ READING_WINDOW = "OVER (PARTITION BY city ORDER BY ts, reading_id"
 )
 def _blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row lags over raw readings: a few very long series, cut into blocks with halos."""
-    rows = readings(spark, sf_dir).withColumn("timestamp", F.col("ts"))
+    rows = readings(spark, sf_dir).select(
+        "city", *READING_ORDER, F.col("ts").alias("timestamp"), *DAILY_INPUTS
+    )
     lagged = add_daily_lag_features(rows, order=READING_ORDER, block_rows=10_000)
     return rounded(lagged, ["reading_id"], ALL_DAILY)
 
@@ -218,9 +221,8 @@ def hourly_lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _hourly_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 168-row frames over raw readings in blocks smaller than one series."""
-    lagged = add_hourly_lag_features(
-        readings(spark, sf_dir), order=READING_ORDER, block_rows=2_000
-    )
+    rows = readings(spark, sf_dir).select("city", *READING_ORDER, *HOURLY_INPUTS)
+    lagged = add_hourly_lag_features(rows, order=READING_ORDER, block_rows=2_000)
     return rounded(lagged, ["reading_id"], ALL_HOURLY)
 
 
@@ -252,8 +254,21 @@ def latest_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _change_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = add_change_rate(readings(spark, sf_dir), order=READING_ORDER, block_rows=20_000)
-    return rows.select("reading_id", "aqi_change_rate")
+    rows = readings(spark, sf_dir).select("city", *READING_ORDER, "aqi")
+    rated = add_change_rate(rows, order=READING_ORDER, block_rows=AUTO)
+    return rated.select("reading_id", "aqi_change_rate")
+
+
+@query(
+    "w12_aqi_change_rate_blocked",
+    on_readings(
+        f"SELECT reading_id, {sql_change('aqi', f'lag(aqi) {READING_WINDOW})')} AS aqi_change_rate FROM readings"
+    ),
+)
+def _change_rate_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readings(spark, sf_dir).select("city", *READING_ORDER, "aqi")
+    rated = add_change_rate(rows, order=READING_ORDER, block_rows=10_000)
+    return rated.select("reading_id", "aqi_change_rate")
 
 
 @query(

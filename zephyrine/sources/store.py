@@ -64,7 +64,7 @@ def upsert(
     """
     pending = path.rstrip("/") + "__pending"
     if _exists(spark, f"{pending}/_SUCCESS"):
-        _publish(spark, pending, path, keys)
+        _publish(spark, pending, path)
     incoming = batch.withColumn(DATE_COLUMN, F.to_date(time_column))
     # One value per calendar day of the batch, whatever its number of rows.
     days = [row[0] for row in incoming.select(DATE_COLUMN).distinct().collect()]
@@ -78,16 +78,18 @@ def upsert(
         touched = stored.filter(F.col(DATE_COLUMN).isin(days))
         merged = touched.unionByName(incoming, allowMissingColumns=True)
     latest_per_key(merged, [*keys, DATE_COLUMN]).write.mode("overwrite").parquet(pending)
-    _publish(spark, pending, path, keys)
+    _publish(spark, pending, path)
     return spark.read.parquet(path)
 
 
-def _publish(spark: SparkSession, pending: str, path: str, keys: Sequence[str]) -> None:
-    """Swap the pending dates into the table; safe to repeat."""
-    spread = F.pmod(F.xxhash64(*keys), F.lit(_files_per_day(spark)))
+def _publish(spark: SparkSession, pending: str, path: str) -> None:
+    """Swap the pending dates into the table; safe to repeat.
+
+    Rebalancing splits a hot day over several writers and puts small days together.
+    """
     (
         spark.read.parquet(pending)
-        .repartition(DATE_COLUMN, spread)
+        .hint("rebalance", DATE_COLUMN)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE_COLUMN)
@@ -107,11 +109,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
-def _files_per_day(spark: SparkSession) -> int:
-    """Files one day may be spread over, so that one hot day is not one writer task."""
-    return int(spark.conf.get("zephyrine.filesPerDay", "8"))
-
-
 def upsert_predictions(
     spark: SparkSession, path: str, predictions: DataFrame, predicted_at: dt.datetime, seq: int
 ) -> DataFrame:
