@@ -267,3 +267,18 @@ def test_history_reach_is_one_row_per_city_before_the_batch(spark, tmp_path):
 def test_scratch_is_the_session_checkpoint_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_without_a_setting_is_local_mode_only():
+    from types import SimpleNamespace
+
+    settings: dict[str, str] = {}
+    conf = SimpleNamespace(get=settings.get, set=settings.__setitem__)
+    context = SimpleNamespace(master="local[2]", setCheckpointDir=lambda path: None)
+    fake = SimpleNamespace(conf=conf, sparkContext=context)
+    root = scratch_root(fake)
+    assert os.path.isdir(root) and scratch_root(fake) == root
+    settings.clear()
+    context.master = "yarn"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(fake)

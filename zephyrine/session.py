@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_OWN_SCRATCH = "zephyrine.scratch.dir"
+
+
 def build_session(app: str = "zephyrine", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -35,14 +38,14 @@ def scratch_root(spark: SparkSession) -> str:
 
     Only a local-mode session without that setting gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_SCRATCH, None)
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="zephyrine-")
     spark.sparkContext.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.conf.set(_OWN_SCRATCH, root)
     return root
 
 
