@@ -105,9 +105,10 @@ def test_history_csv_by_position(spark, tmp_path):
     path.write_text("Date , PM2.5\n2026/1/2, 40\n2026/1/1,\n2026-01-03, n/a\n2026-01-04,12.5\n")
     got = scan_history_csv(spark, str(path)).orderBy("timestamp").collect()
     assert [(r["timestamp"].day, r["pm25"]) for r in got] == [(2, 40.0), (4, 12.5)]
-    path.write_text("date,pm25\nyesterday,40\n")
-    with pytest.raises(Exception, match="unreadable date"):
-        scan_history_csv(spark, str(path)).collect()
+    for value in ("40", ""):
+        path.write_text(f"date,pm25\nyesterday,{value}\n")
+        with pytest.raises(Exception, match="unreadable date"):
+            scan_history_csv(spark, str(path)).select("pm25").collect()
 
 
 def test_named_history_csv_is_strict(spark, tmp_path):
@@ -262,6 +263,10 @@ def test_history_reach_is_one_row_per_city_before_the_batch(spark, tmp_path):
     old = sorted(r["timestamp"].day for r in placed.filter(~F.col("_new")).collect())
     assert old == [8]
     assert with_history(batch, stored, history_days=0).filter(~F.col("_new")).count() == 0
+    # Between two late days only the last row is needed.
+    late = series(spark, [1.0] * 10).filter(F.dayofmonth("timestamp").isin(3, 9))
+    old = sorted(r["timestamp"].day for r in with_history(late, stored).filter(~F.col("_new")).collect())
+    assert old == [2, 8]
 
 
 def test_scratch_is_the_session_checkpoint_folder(spark):

@@ -140,28 +140,34 @@ def previous_reading(
 def with_history(
     batch: DataFrame, stored: DataFrame | None, history_days: int | None = None
 ) -> DataFrame:
-    """Batch rows (``_new``) plus the stored rows their look-back can reach.
+    """Batch rows (``_new``) plus the stored rows their one-row look-back can reach.
 
-    That is every stored row since the batch's first day, and before it one latest row
-    per city: a partial aggregate over three columns, so old rows are never shuffled.
+    Those are the stored rows of the batch's own days and, before each of these days, one
+    latest row per city. The latter is a partial aggregate over three columns, so stored
+    rows of other days are never shuffled, even if a batch holds very late readings.
     ``history_days`` limits how many days before the first one are read at all. Stored
     rows the batch replaces are left out.
     """
     new = batch.withColumn("_new", F.lit(True))
     if stored is None:
         return new
-    first = batch.agg(F.min(F.to_date("timestamp")).alias("d")).first()["d"]
-    if first is None:
+    # One value per calendar day of the batch.
+    found = batch.select(F.to_date("timestamp").alias("d")).distinct().collect()
+    days = sorted(r["d"] for r in found if r["d"] is not None)
+    if not days:
         return new
-    recent = stored.filter(F.col(DATE_COLUMN) >= F.lit(first)).join(
+    stored_day = F.col(DATE_COLUMN)
+    same_days = stored.filter(stored_day.isin(days)).join(
         batch.select("city", "timestamp"), ["city", "timestamp"], "left_anti"
     )
-    older = stored.filter(F.col(DATE_COLUMN) < F.lit(first))
+    other_days = stored.filter(~stored_day.isin(days) & (stored_day < F.lit(days[-1])))
     if history_days is not None:
-        older = older.filter(F.col(DATE_COLUMN) >= F.date_sub(F.lit(first), history_days))
-    last = latest_rows(older.select("city", "timestamp", "aqi"))
+        other_days = other_days.filter(stored_day >= F.date_sub(F.lit(days[0]), history_days))
+    batch_days = F.array(*[F.lit(d) for d in days])
+    gap = F.size(F.filter(batch_days, lambda d: d <= stored_day)).alias("_gap")
+    last = latest_rows(other_days.select("city", "timestamp", "aqi", gap), ["city", "_gap"]).drop("_gap")
     columns = [c for c in batch.columns if c in stored.columns]
-    history = recent.select(*columns).unionByName(last, allowMissingColumns=True)
+    history = same_days.select(*columns).unionByName(last, allowMissingColumns=True)
     return new.select(*columns, "_new").unionByName(
         history.withColumn("_new", F.lit(False)).select(*columns, "_new")
     )

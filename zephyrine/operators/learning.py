@@ -177,11 +177,11 @@ def fit_column_sampled_boosting(
     return fit_gradient_boosting(matrix, bundle, **{**extra, **settings})
 
 
-# The compared models, in order.
+# The compared ensembles, in order.
 TREE_MODELS: dict[str, Callable[..., ModelBundle]] = {
     "Random Forest": fit_random_forest,
     "Gradient Boosting": fit_gradient_boosting,
-    "XGBoost": fit_column_sampled_boosting,
+    "Column-Sampled Boosting": fit_column_sampled_boosting,
 }
 
 

@@ -45,7 +45,6 @@ from zephyrine.registry.base import (
     sql_calendar,
     sql_category,
     sql_change,
-    sql_day,
     sql_r,
     sql_text,
     text,

@@ -29,14 +29,11 @@ from zephyrine.plans.forecast import latest_feature_rows
 from zephyrine.plans.training import training_rows
 from zephyrine.registry.base import (
     daily,
-    day_text,
     on_daily,
     query,
-    r6,
     rounded,
     sql_category,
     sql_change,
-    sql_day,
     sql_r,
     sql_text,
     written,

@@ -53,7 +53,6 @@ from zephyrine.registry.base import (
     sql_aqi,
     sql_day,
     sql_r,
-    sql_rounded,
     sql_text,
     text,
 )

@@ -29,8 +29,6 @@ from zephyrine.operators.reporting import (
 from zephyrine.registry.base import (
     READING_ORDER,
     day_text,
-    hourly,
-    on_hourly,
     on_readings,
     query,
     r6,

@@ -30,12 +30,10 @@ from zephyrine.registry.base import (
     on_hourly,
     on_readings,
     query,
-    r6,
     readings,
     rounded,
     sql_change,
     sql_day,
-    sql_r,
     sql_rounded,
     sql_text,
     text,
@@ -63,7 +61,6 @@ DAILY_COLUMNS_SQL = {
 }
 
 
-
 def daily_cte(columns: dict[str, str]) -> str:
     listed = ", ".join(f"{v} AS {k}" for k, v in columns.items())
     return f'lagged AS (SELECT station_id, "timestamp", reading_id, aqi, {listed} FROM daily)'

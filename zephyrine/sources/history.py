@@ -25,9 +25,9 @@ def scan_history_csv(spark: SparkSession, path: str) -> DataFrame:
     timestamp = F.when(parsed.isNotNull(), parsed).otherwise(
         F.raise_error(message).cast("timestamp")
     )
-    return raw.select(timestamp.alias("timestamp"), coerce_double(F.col("pm25")).alias("pm25")).filter(
-        F.col("pm25").isNotNull()
-    )
+    parsed_rows = raw.select(timestamp.alias("timestamp"), coerce_double(F.col("pm25")).alias("pm25"))
+    # Testing the date first makes a bad one raise even where PM2.5 is missing.
+    return parsed_rows.filter(F.col("timestamp").isNotNull() & F.col("pm25").isNotNull())
 
 
 def scan_named_history_csv(spark: SparkSession, path: str, city: str) -> DataFrame:
