@@ -22,7 +22,7 @@ SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 # Queries that write tables or fit models while they are built.
-EAGER = ("sc", "sk", "so2", "st", "m3", "m4", "m8", "m9", "m11", "m12", "a2", "a10", "a11")
+EAGER = ("e1", "sc", "sk", "so2", "st", "m3", "m4", "m8", "m9", "m11", "m12", "a2", "a10", "a11")
 BOUNDED_RANGE_JOIN = {"j5_breakpoint_join"}  # seven literal rows
 
 

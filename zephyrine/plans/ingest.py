@@ -17,6 +17,7 @@ from zephyrine.operators.joins import (
 from zephyrine.operators.profiling import backfill_summary, daily_pm25_mean
 from zephyrine.operators.projection import assemble_feature_rows
 from zephyrine.operators.quality import ingest_rules, split_valid
+from zephyrine.session import scratch_path
 from zephyrine.sources.history import scan_history_csv, scan_named_history_csv
 from zephyrine.sources.payloads import scan_aqi_payloads, scan_weather_payloads
 from zephyrine.sources.store import (
@@ -41,8 +42,10 @@ def ingest_payloads(
     readings = combine_sources(
         scan_aqi_payloads(spark, aqi_path), scan_weather_payloads(spark, weather_path)
     ).drop("fetched_at", "weather_desc")
-    valid, _ = split_valid(readings, ingest_rules())
-    placed = with_history(valid.drop(SEQ_COLUMN), read_table(spark, table), history_days)
+    # Written once: the days, the look-back and the merge all read these rows.
+    path = scratch_path(spark, "readings")
+    split_valid(readings, ingest_rules())[0].drop(SEQ_COLUMN).write.parquet(path)
+    placed = with_history(spark.read.parquet(path), read_table(spark, table), history_days)
     features = assemble_feature_rows(placed, extra=["_new"]).filter("_new").drop("_new")
     return upsert(spark, table, features.withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint")))
 

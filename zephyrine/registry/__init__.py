@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from zephyrine.registry import expressions, models, profiles, relations, scans, series, streams  # noqa: F401
+from zephyrine.registry import (  # noqa: F401
+    expressions,
+    jobs,
+    models,
+    profiles,
+    relations,
+    scans,
+    series,
+    streams,
+)
 from zephyrine.registry.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -230,3 +230,36 @@ def sql_change(current: str, previous: str) -> str:
     return (
         f"coalesce(round_even(({current} - {previous}) / nullif({previous}, 0) * 100, 4) + 0.0, 0.0)"
     )
+
+
+CLIMATE_SQL = """clim(m, t, h, w, p) AS (VALUES
+  (1, 9.5::DOUBLE, 68.0::DOUBLE, 2.5::DOUBLE, 1018.0::DOUBLE), (2, 11.5, 65, 2.8, 1015), (3, 17.0, 60, 3.2, 1010),
+  (4, 23.0, 55, 3.5, 1005), (5, 29.0, 40, 4.0, 1000), (6, 33.5, 45, 4.5, 996), (7, 31.0, 70, 3.8, 994),
+  (8, 29.5, 72, 3.2, 995), (9, 26.0, 65, 2.8, 1000), (10, 21.0, 55, 2.2, 1008), (11, 14.5, 60, 2.0, 1014),
+  (12, 10.0, 68, 2.2, 1017))"""
+
+
+def _sql_uniform(key: str, salt: str) -> str:
+    digest = f"substr(md5(concat({key}, '|{salt}')), 1, 8)"
+    return f"(CAST(concat('0x', {digest}) AS BIGINT) / 4294967296.0::DOUBLE)"
+
+
+def _sql_normal(key: str, salt: str) -> str:
+    radius = f"sqrt(-2 * ln(1 - {_sql_uniform(key, salt + '.r')}))"
+    return f"({radius} * cos(2 * pi() * {_sql_uniform(key, salt + '.a')}))"
+
+
+def sql_jitter(key: str) -> str:
+    """Keyed weather around the climate columns t, h, w and p."""
+    temperature = sql_r(f"t + 2 * {_sql_normal(key, 'temperature')}", 2)
+    wind = sql_r(f"greatest(0.0::DOUBLE, w + 0.8::DOUBLE * {_sql_normal(key, 'wind')})", 2)
+
+    def steps(salt: str, count: int) -> str:
+        return f"floor({_sql_uniform(key, salt)} * {count})"
+
+    return f"""{temperature} AS temperature,
+  greatest(10.0::DOUBLE, least(100.0::DOUBLE, h + {steps('humidity', 16)} - 8)) AS humidity,
+  greatest(980.0::DOUBLE, least(1030.0::DOUBLE, p + {steps('pressure', 10)} - 5)) AS pressure,
+  {wind} AS wind_speed, {steps('direction', 360)} AS wind_direction,
+  [5000.0::DOUBLE, 8000.0::DOUBLE, 10000.0::DOUBLE, 10000.0::DOUBLE, 10000.0::DOUBLE]
+    [CAST({steps('visibility', 5)} AS INTEGER) + 1] AS visibility"""

@@ -32,6 +32,7 @@ from zephyrine.operators.projection import (
 from zephyrine.functions.numeric import cast_nullable_doubles
 from zephyrine.operators.scoring import format_horizons
 from zephyrine.registry.base import (
+    CLIMATE_SQL,
     INTERACTION_SQL,
     daily,
     day_text,
@@ -45,6 +46,7 @@ from zephyrine.registry.base import (
     sql_calendar,
     sql_category,
     sql_change,
+    sql_jitter,
     sql_r,
     sql_text,
     text,
@@ -327,37 +329,10 @@ def _format_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(spark, sf_dir).select(ID, *format_horizons(predictions))
 
 
-MD5_UNIFORM_SQL = (
-    "(CAST(concat('0x', substr(md5(concat(CAST(reading_id AS VARCHAR), '|{salt}')), 1, 8)) AS BIGINT)"
-    " / 4294967296.0::DOUBLE)"
-)
-
-
-def _sql_uniform(salt: str) -> str:
-    return MD5_UNIFORM_SQL.format(salt=salt)
-
-
-def _sql_normal(salt: str) -> str:
-    return (
-        f"(sqrt(-2 * ln(1 - {_sql_uniform(salt + '.r')})) * cos(2 * pi() * {_sql_uniform(salt + '.a')}))"
-    )
-
-
 JITTER_SQL = on_readings(
-    f"""SELECT reading_id,
-  {sql_r('t + 2 * ' + _sql_normal('temperature'), 2)} AS temperature,
-  greatest(10.0::DOUBLE, least(100.0::DOUBLE, h + floor({_sql_uniform('humidity')} * 16) - 8)) AS humidity,
-  greatest(980.0::DOUBLE, least(1030.0::DOUBLE, p + floor({_sql_uniform('pressure')} * 10) - 5)) AS pressure,
-  {sql_r('greatest(0.0::DOUBLE, w + 0.8::DOUBLE * ' + _sql_normal('wind') + ')', 2)} AS wind_speed,
-  floor({_sql_uniform('direction')} * 360) AS wind_direction,
-  [5000.0::DOUBLE, 8000.0::DOUBLE, 10000.0::DOUBLE, 10000.0::DOUBLE, 10000.0::DOUBLE]
-    [CAST(floor({_sql_uniform('visibility')} * 5) AS INTEGER) + 1] AS visibility
-FROM (SELECT r.reading_id, c.t, c.h, c.w, c.p FROM readings r JOIN clim c ON c.m = month(r.ts))""",
-    """clim(m, t, h, w, p) AS (VALUES
-  (1, 9.5::DOUBLE, 68.0::DOUBLE, 2.5::DOUBLE, 1018.0::DOUBLE), (2, 11.5, 65, 2.8, 1015), (3, 17.0, 60, 3.2, 1010),
-  (4, 23.0, 55, 3.5, 1005), (5, 29.0, 40, 4.0, 1000), (6, 33.5, 45, 4.5, 996), (7, 31.0, 70, 3.8, 994),
-  (8, 29.5, 72, 3.2, 995), (9, 26.0, 65, 2.8, 1000), (10, 21.0, 55, 2.2, 1008), (11, 14.5, 60, 2.0, 1014),
-  (12, 10.0, 68, 2.2, 1017))""",
+    f"SELECT reading_id, {sql_jitter('CAST(reading_id AS VARCHAR)')} "
+    "FROM (SELECT r.reading_id, c.t, c.h, c.w, c.p FROM readings r JOIN clim c ON c.m = month(r.ts))",
+    CLIMATE_SQL,
 )
 
 

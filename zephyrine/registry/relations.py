@@ -27,6 +27,7 @@ from zephyrine.operators.reporting import (
     weather_snapshot,
 )
 from zephyrine.registry.base import (
+    CLIMATE_SQL,
     READING_ORDER,
     day_text,
     on_readings,
@@ -45,13 +46,6 @@ from zephyrine.sources.tables import latest_rows
 
 ID = "reading_id"
 
-CLIMATE_SQL = """clim(m, t, h, w, p) AS (VALUES
-  (1, 9.5::DOUBLE, 68.0::DOUBLE, 2.5::DOUBLE, 1018.0::DOUBLE), (2, 11.5, 65, 2.8, 1015), (3, 17.0, 60, 3.2, 1010),
-  (4, 23.0, 55, 3.5, 1005), (5, 29.0, 40, 4.0, 1000), (6, 33.5, 45, 4.5, 996), (7, 31.0, 70, 3.8, 994),
-  (8, 29.5, 72, 3.2, 995), (9, 26.0, 65, 2.8, 1000), (10, 21.0, 55, 2.2, 1008), (11, 14.5, 60, 2.0, 1014),
-  (12, 10.0, 68, 2.2, 1017))"""
-
-
 @query(
     "j1_climatology_join",
     f"WITH {CLIMATE_SQL} SELECT o_orderkey, t AS temperature, h AS humidity, w AS wind_speed, p AS pressure "
