@@ -4,11 +4,12 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.helpers import day, physical_plan, series
 from zephyrine.operators import blocks
-from zephyrine.operators.blocks import number_rows, over_series
+from zephyrine.operators.blocks import number_rows, over_series, written_slices
 from zephyrine.operators.joins import previous_reading
 from zephyrine.operators.projection import align_columns, assemble_feature_rows, feature_columns
 from zephyrine.operators.series import (
@@ -117,6 +118,21 @@ def test_positions_are_global_row_numbers(spark):
     assert [tuple(r) for r in spans.collect()] == [("a", 0, 499, 500), ("b", 0, 2, 3)]
 
 
+def test_a_hot_series_is_spread_over_slices(spark):
+    hot = F.when(F.col("id") % 10 != 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    rows = spark.range(40_000).select(
+        hot.alias("city"), (F.col("id") % 3).alias("timestamp"), "id", F.rand(1).alias("aqi")
+    )
+    sizes = [
+        r["count"]
+        for r in written_slices(rows, ["city"], ["timestamp", "id"]).groupBy("_slice").count().collect()
+    ]
+    assert len(sizes) == 8 and sum(sizes) == 40_000 and max(sizes) < 2 * 40_000 / 8
+    placed = number_rows(rows, ["city"], ["timestamp", "id"])
+    same = F.row_number().over(Window.partitionBy("city").orderBy("timestamp", "id")) - 1
+    assert placed.withColumn("same", same).filter("same <> position").count() == 0
+
+
 def test_change_rate_over_series(spark):
     out = add_change_rate(series(spark, [100.0, 120.0, 0.0, 50.0, None, 60.0])).orderBy("timestamp")
     assert [r["aqi_change_rate"] for r in out.collect()] == [0.0, 20.0, -100.0, 0.0, 0.0, 0.0]
