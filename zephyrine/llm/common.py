@@ -73,3 +73,23 @@ def small_side(df: DataFrame, rows: int | None = None, bound: int = BROADCAST_RO
     """
     count = df.count() if rows is None else rows
     return F.broadcast(df) if count <= bound else df
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while the frame has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def hashed_sample(df: DataFrame, key: str, rows: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of ``rows`` rows, chosen by a hash of their key; all if there are fewer.
+
+    The choice is a filter, so no task gathers the sample; it varies by its square root.
+    """
+    if rows <= wanted:
+        return df
+    steps = 1 << 40
+    place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(steps))
+    return df.filter(place < int(steps * wanted / rows))

@@ -5,8 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zephyrine.llm import simhash
-from zephyrine.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
+from zephyrine.llm import (
+    chunk_dedup,
+    decontaminate,
+    factorisation,
+    line_dedup,
+    outliers,
+    sentencepiece,
+    sharding,
+    simhash,
+    sql,
+    toxicity,
+    url_filter,
+)
+from zephyrine.llm.common import ORACLES, QUERIES, fold, query, table  # noqa: F401
+
+
+def _judged(scored: DataFrame, parts: int, held_out: int, limit: float) -> DataFrame:
+    held = F.coalesce(fold("doc_id", parts) == held_out, F.lit(False))
+    return scored.select(
+        "doc_id",
+        held.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= limit, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(toxicity.training_fold())
+    return _judged(toxicity.score(docs, toxicity.fit(docs, labels)), 5, 0, 0.5)
+
+
+@query("op2_sentencepiece")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode_and_check(
+        table(spark, sf_dir, "documents"), sentencepiece.load_pieces()
+    )
+
+
+@query("op3_kd_tree_shards")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), leaves=24)
+
+
+@query("op4_line_dedup", sql.LINES)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query("op5_chunk_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.copied_spans(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query("op6_url_aliases", sql.ALIASES)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
 @query("op7_simhash_near_duplicates")
@@ -15,3 +71,23 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@query("op8_decontaminate", sql.DECONTAMINATE)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).drop("text_hash")
+
+
+@query("op9_outliers")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op10_factorisation_machine")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    machine = factorisation.fit(docs, labels.filter(factorisation.training_fold()))
+    return _judged(factorisation.score(docs, machine), 4, 2, 0.7)

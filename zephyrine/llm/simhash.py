@@ -19,11 +19,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.llm.common import small_batches, written
+from zephyrine.llm.common import hashed_sample, small_batches, small_side, spare_name, written
 from zephyrine.llm.components import connected_components
 
-# Fingerprints the tree is fitted on; all are then indexed.
-TREE_SAMPLE = 100_000
+# Fingerprints the tree is fitted on, about; all are then indexed.
+TREE_SAMPLE = 65_536
 # Rows a leaf aims at, and the sample points it needs at least.
 LEAF_ROWS = 2_000
 LEAF_SAMPLE = 16
@@ -65,21 +65,25 @@ def fingerprint(text: str | None, words: int = 3) -> bytes:
     return np.packbits(bits, axis=1, bitorder="little").tobytes()
 
 
-def fingerprints(docs: DataFrame, words: int = 3, text: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed number) of every document.
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+    """``doc_id, text_hash`` and ``fp`` (the 64 bits as a signed number) of every document row.
 
-    A NULL or blank text has fingerprint zero. Other columns are not read.
+    A NULL or blank text has fingerprint zero. Columns but ``doc_id, text`` are not read.
     """
     small_batches(docs.sparkSession)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = b"".join([fingerprint(t, words) for t in batch.column(1).to_pylist()])
+            found = b"".join([fingerprint(t, words) for t in batch.column(2).to_pylist()])
             numbers = np.frombuffer(found, ">i8").astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(numbers)], ["doc_id", "text_hash", "fp"]
+            )
 
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInArrow(scan, "doc_id bigint, fp bigint")
+    source = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
+    )
+    return source.mapInArrow(scan, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 @dataclass
@@ -170,11 +174,11 @@ def fingerprint_links(
 ) -> DataFrame:
     """``(a, b)`` spanning all links of the distinct ``fp`` values at ``reach`` bits or less.
 
-    The tree is fitted on the ``sample`` values with the smallest hashes; every value is
-    indexed and every link within reach is found, whatever the sample.
+    The tree is fitted on about ``sample`` values drawn by hash; every value is indexed and
+    every link within reach is found, whatever the sample.
     """
     rows = points.count()
-    drawn = points.orderBy(F.xxhash64("fp"), "fp").limit(sample).toPandas()["fp"]
+    drawn = hashed_sample(points.select("fp"), "fp", rows, sample).toPandas()["fp"]
     tree = VantageTree(drawn.to_numpy(np.int64).view(np.uint64), rows, reach, leaf_rows)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,24 +197,50 @@ def fingerprint_links(
     return shards.groupBy("leaf").applyInArrow(compare, "a bigint, b bigint")
 
 
+def _groups(docs: DataFrame, words: int, reach: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """``doc_id, text_hash, fp, root``: the smallest fingerprint each document is linked to."""
+    marked = written(fingerprints(docs, words), "fingerprints")
+    points = written(marked.select("fp").distinct(), "points")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    roots = connected_components(fingerprint_links(points, reach, leaf_rows))
+    rooted = points.join(roots, F.col("fp") == F.col("node"), "left").select(
+        F.col("fp").alias("point"), F.coalesce("component", "fp").alias("root")
+    )
+    return marked.join(rooted, F.col("fp") == F.col("point")).drop("point")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 3, reach: int = 2, leaf_rows: int = LEAF_ROWS
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` and ``component_id``.
+    """One row per document row: ``doc_id, text_hash, fp, component_id``.
 
     Documents are linked if their fingerprints differ in ``reach`` bits or less, so equal
     texts always are, blank texts among each other too; ``component_id`` is the smallest
     ``doc_id`` reachable over links, itself included. Rows with a NULL ``doc_id`` take part
     and get the smallest id they reach, or NULL if there is none. Repeated rows stay.
     """
-    marked = written(fingerprints(docs, words), "fingerprints")
-    points = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "points")
-    spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-    groups = connected_components(fingerprint_links(points, reach, leaf_rows))
-    rooted = points.join(groups, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root")
+    found = written(_groups(docs, words, reach, leaf_rows), "groups")
+    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return found.join(least, "root").select("doc_id", "text_hash", "fp", "component_id")
+
+
+def first_of_each_group(docs: DataFrame, words: int = 3, reach: int = 2) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns.
+
+    The one with the smallest ``doc_id`` stays (NULL last; of equal ids one by text; of equal
+    rows any one). A document linked to no other is a group of its own.
+    """
+    found = written(_groups(docs, words, reach), "groups")
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
+    firsts = found.groupBy("root").agg(F.min(place).alias("first"))
+    keys = written(
+        firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")), "kept"
     )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    mark = spare_name(docs, "text_hash")
+    keyed = docs.withColumn(mark, F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(keys["_id"]) & (keyed[mark] == keys["_hash"])
+    kept = keyed.join(small_side(keys), same, "left_semi")
+    repeats = found.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    if not repeats.isEmpty():
+        kept = kept.dropDuplicates(["doc_id", mark])
+    return kept.drop(mark)
