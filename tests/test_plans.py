@@ -15,7 +15,6 @@ from zephyrine.operators.series import add_hourly_lag_features, latest_inference
 from zephyrine.plans.forecast import latest_feature_rows
 from zephyrine.registry import QUERIES
 from zephyrine.registry.base import READING_ORDER, daily, hourly, readings
-from zephyrine.sources.payloads import cap_per_day
 from zephyrine.sources.tables import latest_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -42,11 +41,8 @@ def test_latest_row_is_reduced_before_the_shuffle(spark):
 
 
 def test_rank_filters_prune_before_the_shuffle(spark):
-    for df in (
-        recent_above(readings(spark, SF_DIR), order=READING_ORDER),
-        cap_per_day(readings(spark, SF_DIR), ["city"], READING_ORDER, 100),
-    ):
-        assert "WindowGroupLimit" in physical_plan(df).split("Exchange hashpartitioning")[-1]
+    plan = physical_plan(recent_above(readings(spark, SF_DIR), order=READING_ORDER))
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning")[-1]
 
 
 def test_hourly_features_share_one_exchange_and_sort(spark):

@@ -48,15 +48,15 @@ def test_valid_frame_comes_back_in_utc(spark):
 @pytest.mark.parametrize(
     ("changes", "message"),
     [
-        ({"aqi": 900.0}, "AQI must be"),
-        ({"aqi": None}, "AQI value is missing"),
-        ({"timestamp": "soon"}, "timestamps"),
-        ({"humidity": 101.0}, "Humidity"),
-        ({"humidity": None}, "Humidity"),
-        ({"temperature": None}, "Temperature"),
-        ({"temperature": 71.0}, "Temperature"),
-        ({"pressure": 0.0}, "Pressure"),
-        ({"wind_speed": -0.1}, "Wind"),
+        ({"aqi": 900.0}, "AQI: outside"),
+        ({"aqi": None}, "AQI: no value"),
+        ({"timestamp": "soon"}, "readable time"),
+        ({"humidity": 101.0}, "humidity"),
+        ({"humidity": None}, "humidity"),
+        ({"temperature": None}, "temperature"),
+        ({"temperature": 71.0}, "temperature"),
+        ({"pressure": 0.0}, "pressure"),
+        ({"wind_speed": -0.1}, "wind speed"),
     ],
 )
 def test_bad_rows_are_rejected(spark, changes, message):
@@ -108,16 +108,20 @@ def test_recent_above_needs_more_than_five_rows(spark):
     assert got.agg(F.min("timestamp")).first()[0] == day(10).replace(tzinfo=None)
 
 
-def test_quantiles_agree_on_both_ways(spark):
+def test_quantiles_interpolate_and_skip_missing_values(spark):
     values = [1.0, 2.0, 3.0, 10.0, 10.0, None, 4.0]
     rows = spark.createDataFrame([(v, 1.0, None) for v in values], "a DOUBLE, b DOUBLE, c DOUBLE")
-    wanted = [0.0, 0.25, 0.5, 0.9, 1.0]
-    direct = exact_quantiles(rows, ["a", "b", "c"], wanted)
-    ranked = exact_quantiles(rows, ["a", "b", "c"], wanted, direct_limit=-1)
-    assert direct["a"] == pytest.approx([1.0, 2.25, 3.5, 10.0, 10.0])
-    assert ranked["a"] == pytest.approx(direct["a"])
-    assert ranked["b"] == direct["b"] == [1.0] * 5
-    assert ranked["c"] == direct["c"] == [None] * 5
+    got = exact_quantiles(rows, ["a", "b", "c"], [0.0, 0.25, 0.5, 0.9, 1.0])
+    assert got["a"] == pytest.approx([1.0, 2.25, 3.5, 10.0, 10.0])
+    assert got["b"] == [1.0] * 5 and got["c"] == [None] * 5
+
+
+def test_quantiles_of_values_of_all_magnitudes(spark):
+    values = [(-1.0) ** i * 10.0 ** (i % 617 - 308) for i in range(2000)] + [0.0, 1.7e308, -1.7e308]
+    rows = spark.createDataFrame([(v,) for v in values], "a DOUBLE")
+    ordered = sorted(values)
+    got = exact_quantiles(rows, ["a"], [0.25, 0.5])["a"]
+    assert got == [pytest.approx(ordered[500] * 0.5 + ordered[501] * 0.5, rel=0.6), ordered[1001]]
 
 
 def test_median_is_exact(spark):

@@ -93,17 +93,6 @@ def test_blocks_equal_whole_series_for_hourly_frames(spark):
     assert plain.exceptAll(blocked).count() == 0 and blocked.exceptAll(plain).count() == 0
 
 
-def test_auto_cuts_only_long_series(spark, monkeypatch):
-    rows = series(spark, [float(i % 7) for i in range(400)])
-    plain = add_change_rate(rows)
-    monkeypatch.setattr(blocks, "BLOCK_ROWS", 50)
-    for limit, cut in ((1000, False), (100, True)):
-        monkeypatch.setattr(blocks, "LONGEST_PLAIN_SERIES", limit)
-        auto = add_change_rate(rows, block_rows=blocks.AUTO)
-        assert ("_block" in physical_plan(auto)) == cut
-        assert plain.exceptAll(auto).count() == 0 and auto.exceptAll(plain).count() == 0
-
-
 def test_blocks_must_hold_the_frame(spark):
     with pytest.raises(ValueError, match="at least 14"):
         over_series(series(spark, [1.0]), ["city"], ["timestamp"], lambda w: {}, 14, 3, block_rows=5)

@@ -18,11 +18,6 @@ from zephyrine.session import scratch_path
 
 BLOCK_ROWS = 200_000
 
-# A series up to this long is one window partition under ``auto``.
-LONGEST_PLAIN_SERIES = 2_000_000
-
-AUTO = "auto"
-
 # ``monotonically_increasing_id`` keeps the partition number above this many low bits.
 _ROW_BITS = 33
 
@@ -95,11 +90,6 @@ def running_before(
     return placed.select(*df.columns, (F.col("_start") + F.col("_local")).alias(name))
 
 
-def longest_series(df: DataFrame, keys: Sequence[str]) -> int:
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
-
-
 def over_series(
     df: DataFrame,
     keys: Sequence[str],
@@ -107,17 +97,15 @@ def over_series(
     columns: Callable[[WindowSpec], dict[str, Column]],
     back: int,
     ahead: int = 0,
-    block_rows: int | str | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``columns(window)`` to every row.
 
     ``back`` and ``ahead`` are the furthest rows any frame reaches. With ``block_rows``
-    unset a series is one window partition, for series the calendar bounds; ``auto``
-    counts the rows per series first and cuts into blocks if one is too long. All
-    columns of ``df`` travel through the shuffles, so select the needed ones before.
+    unset a series is one window partition, for keyed tables whose series the calendar
+    bounds; over raw readings give ``BLOCK_ROWS``. All columns of ``df`` travel through the
+    shuffles, so select the needed ones before.
     """
-    if block_rows == AUTO:
-        block_rows = BLOCK_ROWS if longest_series(df, keys) > LONGEST_PLAIN_SERIES else None
     if block_rows is None:
         return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
     if block_rows < max(back, ahead, 1):

@@ -11,7 +11,7 @@ from zephyrine.functions.calendar import year_month
 from zephyrine.functions.index import pm25_to_aqi
 from zephyrine.functions.numeric import half_even
 from zephyrine.operators.quality import filter_valid_measurements
-from zephyrine.operators.quantiles import DIRECT_DISTINCT_LIMIT, exact_quantiles
+from zephyrine.operators.quantiles import exact_quantiles
 
 
 def daily_pm25_mean(
@@ -23,11 +23,9 @@ def daily_pm25_mean(
     return daily.withColumn("aqi", pm25_to_aqi(F.col("pm25")))
 
 
-def describe_column(
-    df: DataFrame, column: str, direct_limit: int = DIRECT_DISTINCT_LIMIT
-) -> DataFrame:
+def describe_column(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum."""
-    low, middle, high = exact_quantiles(df, [column], [0.25, 0.5, 0.75], direct_limit)[column]
+    low, middle, high = exact_quantiles(df, [column], [0.25, 0.5, 0.75])[column]
     return df.agg(
         F.count(column).alias("count"),
         F.avg(column).alias("mean"),
@@ -113,14 +111,18 @@ def backfill_summary(status: DataFrame) -> DataFrame:
 def regression_metrics(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """RMSE, MAE and R² in one pass; R² is measured against the mean of these rows."""
+    """RMSE, MAE and R² in one pass over the rows with both a label and a prediction.
+
+    R² is measured against the mean of these rows.
+    """
     error = F.col(label).cast("double") - F.col(prediction)
     residual = F.sum(error * error)
     total = F.var_pop(label) * F.count(label)
     r2 = F.when(total > 0, F.lit(1.0) - F.try_divide(residual, total)).otherwise(
         F.when(residual == 0, F.lit(1.0)).otherwise(F.lit(0.0))
     )
-    return df.filter(F.col(label).isNotNull()).agg(
+    scored = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    return scored.agg(
         F.count("*").alias("rows"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),

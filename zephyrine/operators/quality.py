@@ -38,31 +38,31 @@ def frame_rules() -> list[Rule]:
     return [
         Rule(
             "timestamp",
-            "One or more timestamps could not be parsed.",
+            "timestamp: rows without a readable time",
             F.col("timestamp").isNull(),
         ),
-        Rule("aqi_missing", "AQI value is missing.", F.col("aqi").isNull()),
-        Rule("aqi_range", "AQI must be between 0 and 500.", ~_between("aqi", 0, 500)),
-        Rule("humidity", "Humidity must be between 0 and 100.", ~_between("humidity", 0, 100)),
+        Rule("aqi_missing", "AQI: no value", F.col("aqi").isNull()),
+        Rule("aqi_range", "AQI: outside 0 to 500", ~_between("aqi", 0, 500)),
+        Rule("humidity", "humidity: missing or outside 0 to 100", ~_between("humidity", 0, 100)),
         Rule(
             "temperature",
-            "Temperature is outside a realistic range.",
+            "temperature: missing or outside -90 to 70",
             ~_between("temperature", -90, 70),
         ),
-        Rule("pressure", "Pressure must be positive.", _true(F.col("pressure") <= 0)),
-        Rule("wind_speed", "Wind speed cannot be negative.", _true(F.col("wind_speed") < 0)),
+        Rule("pressure", "pressure: zero or less", _true(F.col("pressure") <= 0)),
+        Rule("wind_speed", "wind speed: under zero", _true(F.col("wind_speed") < 0)),
     ]
 
 
 def ingest_rules() -> list[Rule]:
     """The lighter guard in front of the store."""
     return [
-        Rule("aqi_missing", "AQI value is missing.", F.col("aqi").isNull()),
-        Rule("aqi_negative", "AQI cannot be negative.", ~_true(F.col("aqi") >= 0)),
-        Rule("aqi_high", "AQI above 500 is invalid.", ~_true(F.col("aqi") <= 500)),
+        Rule("aqi_missing", "AQI: no value", F.col("aqi").isNull()),
+        Rule("aqi_negative", "AQI: under zero", ~_true(F.col("aqi") >= 0)),
+        Rule("aqi_high", "AQI: over 500", ~_true(F.col("aqi") <= 500)),
         Rule(
             "temperature",
-            "Temperature below -90°C is invalid.",
+            "temperature: -90 degrees or colder",
             ~_true(F.col("temperature") > -90),
         ),
     ]
@@ -74,9 +74,10 @@ def missing_columns(required: Sequence[str], df: DataFrame) -> list[str]:
 
 def validate_schema(df: DataFrame, required: Sequence[str] = tuple(REQUIRED_COLUMNS)) -> None:
     if df.isEmpty():
-        raise ValueError("Feature frame is empty.")
+        raise ValueError("the frame is empty, nothing to check")
     missing = missing_columns(required, df)
     if missing:
+        # Fixed value: callers match this opening.
         raise ValueError(f"Missing required columns: {missing}")
 
 

@@ -4,88 +4,99 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.operators.blocks import running_before
+# Equal parts a range of values is counted in per round.
+PARTS = 1024
 
-# Spark's ``percentile`` holds every distinct value of its column in one task's buffer;
-# this bounds all buffers of one aggregate together.
-DIRECT_DISTINCT_LIMIT = 1_000_000
+
+@dataclass
+class _Search:
+    """The value of one rank of one column, known to lie in a closed range."""
+
+    column: str
+    rank: int  # among the values of the range
+    low: float
+    high: float
+
+
+def _part(value: Column, low: float, high: float) -> Column:
+    """Which of the parts of the range a value lies in; never falls while values rise.
+
+    Halves keep the difference of very large values finite.
+    """
+    share = (value / 2 - low / 2) / (high / 2 - low / 2)
+    return F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).cast("int")
+
+
+def _narrowed(rows: DataFrame, ranges: list[tuple[str, float, float]]) -> dict[int, list[tuple]]:
+    """Per range its filled parts in order: ``(count, smallest, largest)``.
+
+    Rows become one narrow cell per range they lie in; a partial aggregate leaves ranges x
+    parts at most, whatever the number of rows.
+    """
+    cells = [
+        F.when(
+            F.col(c).between(low, high),
+            F.struct(F.lit(i).alias("i"), _part(F.col(c), low, high).alias("part"), F.col(c).alias("v")),
+        )
+        for i, (c, low, high) in enumerate(ranges)
+    ]
+    long = rows.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).select("cell.*")
+    counted = long.groupBy("i", "part").agg(
+        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
+    found: dict[int, list[tuple]] = {}
+    for row in sorted(counted.collect(), key=lambda r: (r["i"], r["part"])):
+        found.setdefault(row["i"], []).append((row["n"], row["low"], row["high"]))
+    return found
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    direct_limit: int = DIRECT_DISTINCT_LIMIT,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Quantiles per column, missing values ignored.
+    """Quantiles per column, missing values ignored; None for a column without values.
 
-    Distinct values are measured with a bounded sketch. Columns that fit the limit
-    together, smallest first, take one ``percentile`` aggregate; the others are counted
-    and ranked over the cluster.
+    All ranks are searched at once: each round counts the values in equal parts of the range
+    that holds a rank and goes on with the part the rank is in, until that part is a single
+    value. The first round covers whole columns. No value is shuffled or gathered; rounds
+    are as many as it takes to tell neighbouring values apart, rarely more than three.
     """
-    columns = list(columns)
+    columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    direct, held = [], 0
-    for c in sorted(columns, key=lambda c: sketch[c]):
-        held += sketch[c]
-        if held <= direct_limit:
-            direct.append(c)
-    out: dict[str, list[float | None]] = {}
-    if direct:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = df.agg(*[F.percentile(c, wanted).alias(c) for c in direct]).first()
-        out |= {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in direct}
-    ranked = [c for c in columns if c not in direct]
-    if ranked:
-        out |= _ranked_quantiles(df, ranked, probabilities)
-    return {c: out[c] for c in columns}
-
-
-def _ranked_quantiles(
-    df: DataFrame, columns: list[str], probabilities: Sequence[float]
-) -> dict[str, list[float | None]]:
-    long = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("cell")
-    ).select("cell.*")
-    counts = (
-        long.filter(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count("*").alias("n"))
-    )
-    placed = running_before(counts, ["name"], ["value"], weight="n", name="before")
-    sizes = {r["name"]: r["n"] for r in placed.groupBy("name").agg(F.sum("n").alias("n")).collect()}
-    picks = []
-    for column in columns:
-        for i, p in enumerate(probabilities):
-            rank = p * (sizes.get(column, 0) - 1)
-            for side, wanted in (("lo", math.floor(rank)), ("hi", math.ceil(rank))):
-                covers = (
-                    (F.col("name") == column)
-                    & (F.col("before") <= wanted)
-                    & (F.lit(wanted) < F.col("before") + F.col("n"))
-                )
-                picks.append(F.max(F.when(covers, F.col("value"))).alias(f"{column}|{i}|{side}"))
-    found = placed.agg(*picks).first()
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    names = {c: f"c{i}" for i, c in enumerate(columns)}
+    ends = rows.agg(
+        *[f(n).alias(f"{n}_{f.__name__}") for n in names.values() for f in (F.count, F.min, F.max)]
+    ).first()
+    searches: dict[tuple[str, int], _Search] = {}
+    for c, n in names.items():
+        size = ends[f"{n}_count"]
+        for p in probabilities if size else ():
+            for rank in (math.floor(p * (size - 1)), math.ceil(p * (size - 1))):
+                searches[c, rank] = _Search(n, rank, ends[f"{n}_min"], ends[f"{n}_max"])
+    while open_ones := [s for s in searches.values() if s.low < s.high]:
+        ranges = list(dict.fromkeys((s.column, s.low, s.high) for s in open_ones))
+        parts = _narrowed(rows, ranges)
+        for s in open_ones:
+            for n, low, high in parts[ranges.index((s.column, s.low, s.high))]:
+                if s.rank < n:
+                    s.low, s.high = low, high
+                    break
+                s.rank -= n
     out: dict[str, list[float | None]] = {}
-    for column in columns:
-        values: list[float | None] = []
-        for i, p in enumerate(probabilities):
-            low, high = found[f"{column}|{i}|lo"], found[f"{column}|{i}|hi"]
-            if low is None:
-                values.append(None)
+    for c, n in names.items():
+        size = ends[f"{n}_count"]
+        out[c] = []
+        for p in probabilities:
+            if not size:
+                out[c].append(None)
                 continue
-            fraction = p * (sizes[column] - 1) % 1.0
-            values.append(low + (high - low) * fraction)
-        out[column] = values
+            place = p * (size - 1)
+            low, high = (searches[c, rank].low for rank in (math.floor(place), math.ceil(place)))
+            out[c].append(low + (high - low) * (place % 1.0))
     return out

@@ -83,7 +83,7 @@ def add_daily_lag_features(
     keys: Sequence[str] = ("city",),
     order: Sequence[str] = ("timestamp",),
     drop: bool = True,
-    block_rows: int | str | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """All daily features in one exchange and one sort.
 
@@ -92,7 +92,7 @@ def add_daily_lag_features(
     """
     missing = sorted(set(LAG_INPUT_COLUMNS).difference(df.columns))
     if missing:
-        raise ValueError(f"Missing columns for lag engineering: {missing}")
+        raise ValueError(f"lags need the columns {missing}")
 
     def columns(window: WindowSpec) -> dict[str, Column]:
         return {
@@ -146,7 +146,7 @@ def add_hourly_lag_features(
     df: DataFrame,
     keys: Sequence[str] = ("city",),
     order: Sequence[str] = ("timestamp",),
-    block_rows: int | str | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     def columns(window: WindowSpec) -> dict[str, Column]:
         return {
@@ -191,7 +191,7 @@ def add_change_rate(
     df: DataFrame,
     keys: Sequence[str] = ("city",),
     order: Sequence[str] = ("timestamp",),
-    block_rows: int | str | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Percent change against the previous reading of the series."""
 

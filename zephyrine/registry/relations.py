@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zephyrine.operators.blocks import AUTO
+from zephyrine.operators.blocks import BLOCK_ROWS
 from zephyrine.operators.joins import (
     breakpoint_join,
     climatology_join,
@@ -184,7 +184,7 @@ def _previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = readings(spark, sf_dir)
     late = F.col(ID) % 10 == 3
     placed = previous_reading(
-        rows.filter(~late), rows.filter(late), order=READING_ORDER, block_rows=AUTO
+        rows.filter(~late), rows.filter(late), order=READING_ORDER, block_rows=BLOCK_ROWS
     )
     return placed.select(ID, "previous_aqi", "aqi_change_rate")
 

@@ -32,7 +32,6 @@ from zephyrine.session import scratch_path
 from zephyrine.sources.bundle import best_bundle_path, load_model_bundle, save_model_bundle
 from zephyrine.sources.history import scan_history_csv, scan_named_history_csv
 from zephyrine.sources.payloads import (
-    cap_per_day,
     parse_aqi_payloads,
     parse_weather_payloads,
     read_payload_lines,
@@ -150,12 +149,9 @@ def _rejected_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sc3_scan_measurements",
     on_readings(
-        f"SELECT {sql_day('day')} AS day, ingest_seq, position, value FROM ("
-        "  SELECT CAST(ts AS DATE) AS day, reading_id AS ingest_seq, position, "
-        "         CASE position WHEN 0 THEN pm25 ELSE pm10 END AS value, "
-        "         row_number() OVER (PARTITION BY CAST(ts AS DATE) "
-        "                            ORDER BY reading_id, position) AS place "
-        "  FROM readings CROSS JOIN (VALUES (0), (1)) AS slots(position)) WHERE place <= 100"
+        f"SELECT {sql_day('ts')} AS day, reading_id AS ingest_seq, position, "
+        "CASE position WHEN 0 THEN pm25 ELSE pm10 END AS value "
+        "FROM readings CROSS JOIN (VALUES (0), (1)) AS slots(position)"
     ),
 )
 def _scan_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +164,7 @@ def _scan_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = written(payloads, "measurements", "json")
     rows = scan_measurement_payloads(spark, path)
-    capped = cap_per_day(rows, ["day"], ["ingest_seq", "position"], 100)
-    return capped.select(day_text("day").alias("day"), "ingest_seq", "position", "value")
+    return rows.select(day_text("day").alias("day"), "ingest_seq", "position", "value")
 
 
 def history_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -279,10 +274,10 @@ UPSERT_SQL = on_readings(
     "QUALIFY row_number() OVER (PARTITION BY city, hour_ts ORDER BY ingest_seq DESC) = 1",
     """batches AS (
   SELECT city, date_trunc('hour', ts) AS hour_ts, reading_id, aqi, reading_id AS ingest_seq
-  FROM readings WHERE CAST(ts AS DATE) <= DATE '2024-01-20' AND reading_id % 2 = 1
+  FROM readings WHERE reading_id % 2 = 1
   UNION ALL
   SELECT city, date_trunc('hour', ts), reading_id, aqi + 10, reading_id + 1000000000
-  FROM readings WHERE CAST(ts AS DATE) >= DATE '2024-01-15' AND reading_id % 2 = 0)""",
+  FROM readings WHERE reading_id % 2 = 0)""",
 )
 
 
@@ -290,16 +285,16 @@ UPSERT_SQL = on_readings(
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "features")
     rows = readings(spark, sf_dir).select(
-        "city", floor_hour(F.col("ts")).alias("timestamp"), "reading_id", "aqi", F.to_date("ts").alias("d")
+        "city", floor_hour(F.col("ts")).alias("timestamp"), "reading_id", "aqi"
     )
     odd = F.col("reading_id") % 2 == 1
-    first = rows.filter(odd & (F.col("d") <= "2024-01-20")).withColumn("ingest_seq", F.col("reading_id"))
-    second = rows.filter(~odd & (F.col("d") >= "2024-01-15")).withColumns(
+    first = rows.filter(odd).withColumn("ingest_seq", F.col("reading_id"))
+    second = rows.filter(~odd).withColumns(
         {"ingest_seq": F.col("reading_id") + 1_000_000_000, "aqi": F.col("aqi") + 10}
     )
-    upsert(spark, path, first.drop("d"))
-    upsert(spark, path, second.drop("d"))
-    stored = upsert(spark, path, second.drop("d"))  # a repeated batch changes nothing
+    upsert(spark, path, first)
+    upsert(spark, path, second)
+    stored = upsert(spark, path, second)  # a repeated batch changes nothing
     return stored.select("city", text("timestamp").alias("ts"), "reading_id", "aqi", "ingest_seq")
 
 

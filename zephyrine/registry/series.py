@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zephyrine.operators.blocks import AUTO
+from zephyrine.operators.blocks import BLOCK_ROWS
 from zephyrine.operators.series import (
     add_change_rate,
     add_daily_lag_features,
@@ -252,7 +252,7 @@ def latest_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _change_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = readings(spark, sf_dir).select("city", *READING_ORDER, "aqi")
-    rated = add_change_rate(rows, order=READING_ORDER, block_rows=AUTO)
+    rated = add_change_rate(rows, order=READING_ORDER, block_rows=BLOCK_ROWS)
     return rated.select("reading_id", "aqi_change_rate")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from zephyrine.functions.numeric import cast_nullable_doubles, nan_to_null
 from zephyrine.schema import (
@@ -87,32 +86,23 @@ def scan_weather_payloads(spark: SparkSession, path: str) -> DataFrame:
     return parse_weather_payloads(read_payload_lines(spark, path, WEATHER_PAYLOAD_SCHEMA))[0]
 
 
-def scan_measurement_payloads(spark: SparkSession, path: str, limit: int = 100) -> DataFrame:
-    """One row per measurement; a payload yields at most the API's ``limit`` of them."""
-    raw = read_payload_lines(spark, path, MEASUREMENT_PAYLOAD_SCHEMA)
-    return raw.filter(~_corrupt(raw)).select(
-        "city",
-        "ingest_seq",
+def parse_measurement_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): one accepted row per measurement, all of them."""
+    reason = F.when(_corrupt(raw), F.lit("malformed payload"))
+    columns = [
+        F.col("city"),
+        F.col("ingest_seq"),
         F.col("date").alias("day"),
-        F.posexplode(F.slice("results", 1, limit)).alias("position", "measurement"),
-    ).select(
-        "city", "ingest_seq", "day", "position", nan_to_null(F.col("measurement.value")).alias("value")
-    )
-
+        F.posexplode("results").alias("position", "measurement"),
+    ]
+    accepted, rejected = _split(raw, reason, columns)
+    value = nan_to_null(F.col("measurement.value")).alias("value")
+    return accepted.select("city", "ingest_seq", "day", "position", value), rejected
 
-def cap_per_day(
-    df: DataFrame, keys: list[str], order: list[str], limit: int = 100
-) -> DataFrame:
-    """First ``limit`` rows of each key.
 
-    Spark prunes to ``limit`` rows per key before the shuffle, so a hot key stays small.
-    """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") <= limit)
-        .drop("_rank")
-    )
+def scan_measurement_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """One row per measurement of every readable payload."""
+    return parse_measurement_payloads(read_payload_lines(spark, path, MEASUREMENT_PAYLOAD_SCHEMA))[0]
 
 
 def clean_readings(df: DataFrame) -> DataFrame:
