@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import UTC, day, series
-from zephyrine.operators.joins import combine_sources, with_history
+from zephyrine.operators import joins
+from zephyrine.operators.joins import combine_sources, with_neighbours
+from zephyrine.operators.series import add_change_rate
 from zephyrine.plans.ingest import (
     backfill,
     fallback_features,
@@ -20,7 +22,6 @@ from zephyrine.schema import AQI_PAYLOAD_SCHEMA, FEATURE_TABLE_COLUMNS, WEATHER_
 from zephyrine.session import scratch_path, scratch_root
 from zephyrine.sources.history import scan_history_csv, scan_named_history_csv
 from zephyrine.sources.payloads import (
-    cap_per_day,
     parse_aqi_payloads,
     parse_weather_payloads,
     read_payload_lines,
@@ -87,7 +88,7 @@ def test_weather_payloads_need_the_mandatory_fields(spark, tmp_path):
     assert reasons == ["missing weather_desc", "missing wind_speed"]
 
 
-def test_measurements_are_exploded_and_capped(spark, tmp_path):
+def test_every_measurement_is_read(spark, tmp_path):
     document = {
         "city": "harbour",
         "ingest_seq": 1,
@@ -95,9 +96,7 @@ def test_measurements_are_exploded_and_capped(spark, tmp_path):
         "results": [{"value": v} for v in range(150)],
     }
     rows = scan_measurement_payloads(spark, lines(tmp_path / "m.json", [document]))
-    assert rows.count() == 100
-    kept = cap_per_day(rows, ["city", "day"], ["position"], 7)
-    assert sorted(r["value"] for r in kept.collect()) == [float(v) for v in range(7)]
+    assert sorted(r["value"] for r in rows.collect()) == [float(v) for v in range(150)]
 
 
 def test_history_csv_by_position(spark, tmp_path):
@@ -137,7 +136,8 @@ def test_live_ingest_compares_with_the_stored_past(spark, tmp_path):
     for hour, aqi in ((6, 100), (8, 150), (7, 120), (8, 60), (9, 700)):
         a = lines(tmp_path / f"a{hour}-{aqi}.json", [aqi_document(hour, 1, aqi)])
         w = lines(tmp_path / f"w{hour}-{aqi}.json", [weather_document(hour, 1)])
-        stored = ingest_payloads(spark, a, w, table, seq=hour * 1000 + aqi if hour != 8 else aqi * -1)
+        seq = hour * 1000 + aqi if hour != 8 else aqi * -1
+        stored = ingest_payloads(spark, a, w, table, seq, str(tmp_path / "rejects"))
     rows = {r["timestamp"].hour: r for r in stored.collect()}
     assert set(rows) == {6, 7, 8}  # the 700 fails the guard
     assert rows[7]["aqi_change_rate"] == 20.0
@@ -171,7 +171,8 @@ def test_a_died_swap_is_finished_by_the_next_upsert(spark, tmp_path):
     schema = "city STRING, timestamp TIMESTAMP, aqi DOUBLE, ingest_seq LONG"
     upsert(spark, path, spark.createDataFrame([("a", day(0), 1.0, 1)], schema))
     merged = spark.createDataFrame([("a", day(0), 1.0, 1), ("b", day(0), 2.0, 2)], schema)
-    merged.withColumn("event_date", F.to_date("timestamp")).write.parquet(path + "__pending")
+    dated = merged.withColumn("event_date", F.to_date("timestamp"))
+    dated.write.partitionBy("event_date").parquet(path + "__pending")
     for name in os.listdir(path):
         if name.startswith("event_date"):  # the old partition is gone, the new one not yet there
             os.rename(os.path.join(path, name), str(tmp_path / name))
@@ -232,14 +233,40 @@ def test_backfill_resumes_and_a_dry_run_commits_nothing(spark, tmp_path):
         spark.createDataFrame([(day(9).date(),)], "day DATE")
     )
     table, done = str(tmp_path / "t"), str(tmp_path / "done")
-    args = (spark, measurements, spine, table, done, "harbour", 1)
+    args = (spark, measurements, spine, table, done, 1, "harbour")
     dry = tuple(backfill(*args, dry_run=True).first())
-    assert dry == (5, 3, 0, 2) and load_processed_dates(spark, done).count() == 0
+    assert dry == (5, 3, 0, 2) and load_processed_dates(spark, done, True).count() == 0
     assert tuple(backfill(*args).first()) == (5, 3, 0, 2)
     assert spark.read.parquet(table).count() == 3
     assert tuple(backfill(*args).first()) == (5, 0, 5, 0)
-    save_processed_dates(spine, done)
-    assert load_processed_dates(spark, done).count() == 5
+    save_processed_dates(spine.withColumn("city", F.lit("harbour")), done)
+    assert load_processed_dates(spark, done, True).count() == 5
+
+
+def test_a_resumed_backfill_goes_on_from_the_stored_day(spark, tmp_path):
+    values = [("a", i, 20.0 + 10 * i) for i in range(3)] + [("b", i, 50.0 - 10 * i) for i in range(3)]
+    rows = spark.createDataFrame([(c, day(i).date(), v) for c, i, v in values], "city STRING, day DATE, value DOUBLE")
+    stored = {}
+    for name, spans in (("whole", [3]), ("resumed", [2, 3])):
+        table, done = str(tmp_path / name), str(tmp_path / (name + "-done"))
+        for seq, n in enumerate(spans):
+            span = rows.filter(F.col("day") < F.lit(day(n).date()))
+            backfill(spark, span, span.select("day"), table, done, seq)
+        stored[name] = {
+            (r["city"], r["timestamp"]): r["aqi_change_rate"] for r in spark.read.parquet(table).collect()
+        }
+    assert stored["whole"] == stored["resumed"] and len(stored["whole"]) == 6
+
+
+def test_payloads_that_are_turned_down_are_kept_or_fail(spark, tmp_path):
+    aqi = lines(tmp_path / "a.json", [aqi_document(6, 1, 100), aqi_document(7, 2, 900)])
+    weather = lines(tmp_path / "w.json", [weather_document(6, 1), weather_document(7, 2), weather_document(wind={})])
+    table, rejects = str(tmp_path / "t"), str(tmp_path / "r")
+    with pytest.raises(ValueError, match="turned down"):
+        ingest_payloads(spark, aqi, weather, table, 1)
+    assert ingest_payloads(spark, aqi, weather, table, 1, rejects).count() == 1
+    found = sorted((r["source"], r["reason"]) for r in spark.read.parquet(rejects).collect())
+    assert found == [("reading", "outside the ingest rules"), ("weather", "missing wind_speed")]
 
 
 def test_predictions_are_keyed_by_city_and_time(spark, tmp_path):
@@ -254,19 +281,69 @@ def test_predictions_are_keyed_by_city_and_time(spark, tmp_path):
     assert stored.select(F.hour("predicted_at")).first()[0] == 2
 
 
-def test_history_reach_is_one_row_per_city_before_the_batch(spark, tmp_path):
+def sequenced(df, seq):
+    return df.withColumn("ingest_seq", F.lit(seq).cast("bigint"))
+
+
+def test_neighbours_are_one_row_per_city_on_either_side(spark, tmp_path):
     path = str(tmp_path / "t")
-    upsert(spark, path, series(spark, [float(i) for i in range(10)]).withColumn("ingest_seq", F.lit(1)))
-    stored = spark.read.parquet(path)
-    batch = series(spark, [1.0] * 10).filter(F.dayofmonth("timestamp") >= 9)
-    placed = with_history(batch, stored)
-    old = sorted(r["timestamp"].day for r in placed.filter(~F.col("_new")).collect())
-    assert old == [8]
-    assert with_history(batch, stored, history_days=0).filter(~F.col("_new")).count() == 0
-    # Between two late days only the last row is needed.
-    late = series(spark, [1.0] * 10).filter(F.dayofmonth("timestamp").isin(3, 9))
-    old = sorted(r["timestamp"].day for r in with_history(late, stored).filter(~F.col("_new")).collect())
-    assert old == [2, 8]
+    upsert(spark, path, sequenced(series(spark, [float(i) for i in range(10)]), 1))
+    batch = sequenced(series(spark, [1.0] * 10).filter(F.dayofmonth("timestamp") >= 9), 2)
+    placed = with_neighbours(batch, path)
+    assert sorted(r["timestamp"].day for r in placed.filter(~F.col("_new")).collect()) == [8]
+    # A late day is stored again together with the day after it.
+    late = sequenced(series(spark, [1.0] * 10).filter(F.dayofmonth("timestamp").isin(3, 9)), 2)
+    placed = with_neighbours(late, path)
+    assert sorted(r["timestamp"].day for r in placed.filter("_new").collect()) == [3, 4, 9, 10]
+    assert sorted(r["timestamp"].day for r in placed.filter("NOT _new").collect()) == [2, 8]
+
+
+def test_neighbours_are_found_across_a_gap(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = series(spark, [float(i + 1) for i in range(40)]).filter("dayofyear(timestamp) IN (1, 40)")
+    upsert(spark, path, sequenced(old, 1))
+    batch = sequenced(series(spark, [100.0] * 40).filter("dayofyear(timestamp) = 20"), 2)
+    placed = {r["timestamp"].timetuple().tm_yday: r["_new"] for r in with_neighbours(batch, path).collect()}
+    assert placed == {1: False, 20: True, 40: True}
+
+
+def test_one_new_hour_reads_two_days_of_a_long_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, path, sequenced(series(spark, [float(i) for i in range(300)]), 1))
+    batch = sequenced(series(spark, [5.0] * 301).orderBy(F.desc("timestamp")).limit(1), 2)
+    read = []
+    original = joins._nearest
+
+    def watched(spark_, table, wanted, edge, ahead):
+        found = original(spark_, table, wanted, edge, ahead)
+        read.append(None if found is None else found.count())
+        return found
+
+    joins._nearest = watched
+    try:
+        placed = with_neighbours(batch, path)
+    finally:
+        joins._nearest = original
+    assert read == [1, None] and placed.count() == 2
+
+
+def test_a_late_older_reading_does_not_replace_the_stored_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "city STRING, timestamp TIMESTAMP, aqi DOUBLE, ingest_seq BIGINT"
+    upsert(spark, path, spark.createDataFrame([("a", day(0, 10), 100.0, 55)], schema))
+    batch = spark.createDataFrame([("a", day(0, 10), 50.0, 20), ("a", day(0, 11), 110.0, 65)], schema)
+    rows = add_change_rate(with_neighbours(batch, path)).filter("_new").orderBy("timestamp").collect()
+    assert [(r["aqi"], r["aqi_change_rate"]) for r in rows] == [(110.0, 10.0)]
+
+
+def test_equal_order_is_settled_by_arrival_or_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "city STRING, timestamp TIMESTAMP, aqi DOUBLE, ingest_seq BIGINT"
+    for value in (90.0, 20.0):
+        upsert(spark, path, spark.createDataFrame([("a", day(0), value, 1)], schema))
+    assert spark.read.parquet(path).first()["aqi"] == 20.0
+    with pytest.raises(ValueError, match="share"):
+        upsert(spark, path, spark.createDataFrame([("a", day(0), v, 1) for v in (1.0, 2.0)], schema))
 
 
 def test_scratch_is_the_session_checkpoint_folder(spark):

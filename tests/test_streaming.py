@@ -9,11 +9,13 @@ from zephyrine.operators.series import add_change_rate
 from zephyrine.schema import FEATURE_TABLE_COLUMNS
 from zephyrine.streaming.jobs import (
     event_time,
+    level_changes,
     read_stream,
     run_append,
     stream_alerts,
     stream_change_rate,
     stream_daily_mean,
+    stream_daily_mean_open,
     stream_dedup,
     stream_hourly_features,
 )
@@ -77,20 +79,47 @@ def test_hourly_features_equal_the_batch_run(spark, arrivals, tmp_path):
 
 
 def test_change_rate_carries_state_between_runs(spark, arrivals, tmp_path):
-    out, state, checkpoint = (str(tmp_path / n) for n in ("o", "s", "c"))
+    out, checkpoint = (str(tmp_path / n) for n in ("o", "c"))
     for rows in (FIRST, SECOND):
-        stream_change_rate(arrivals(rows), out, state, checkpoint)
+        stream_change_rate(arrivals(rows), out, checkpoint)
     expected = add_change_rate(hourly(spark).select("city", "timestamp", "aqi"))
     got = spark.read.parquet(out).select(*expected.columns)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+def test_an_hour_may_be_split_over_batches(spark, arrivals, tmp_path):
+    out, checkpoint = (str(tmp_path / n) for n in ("o", "c"))
+    parts = ([reading("a", 1, 10, 100.0, 5)], [reading("a", 2, 10, 200.0, 50), reading("a", 3, 11, 220.0, 5)])
+    for rows in parts:
+        stream_change_rate(arrivals(rows), out, checkpoint)
+    got = spark.read.parquet(out).orderBy("timestamp").collect()
+    assert [(r["timestamp"].hour, r["aqi"], r["aqi_change_rate"]) for r in got] == [(10, 200.0, 0.0), (11, 220.0, 10.0)]
+
+
+def test_a_late_older_reading_changes_nothing_after_it(spark, arrivals, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    parts = ([reading("a", 1, 10, 100.0, 55)], [reading("a", 2, 10, 50.0, 20), reading("a", 3, 11, 110.0, 5)])
+    for rows in parts:
+        stream_hourly_features(arrivals(rows), table, checkpoint)
+    got = spark.read.parquet(table).orderBy("timestamp").collect()
+    assert [(r["aqi"], r["aqi_change_rate"]) for r in got] == [(100.0, 0.0), (110.0, 10.0)]
+
+
+def test_the_hour_after_a_late_one_is_rated_again(spark, arrivals, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    parts = ([reading("a", 1, 9, 50.0), reading("a", 2, 60, 110.0)], [reading("a", 3, 30, 100.0)])
+    for rows in parts:
+        stream_hourly_features(arrivals(rows), table, checkpoint)
+    got = spark.read.parquet(table).orderBy("timestamp").collect()
+    assert [r["aqi_change_rate"] for r in got] == [0.0, 100.0, 10.0]
+
+
 def test_alerts_only_on_level_changes(spark, arrivals, tmp_path):
-    out, state, checkpoint = (str(tmp_path / n) for n in ("o", "s", "c"))
+    out, checkpoint = (str(tmp_path / n) for n in ("o", "c"))
     for rows in (FIRST, SECOND):
-        stream_alerts(arrivals(rows), out, state, checkpoint)
-    got = {(r["city"], r["level"], r["previous_level"]) for r in spark.read.parquet(out).collect()}
-    assert got == {
+        stream_alerts(arrivals(rows), out, checkpoint)
+    rows = level_changes(spark.read.parquet(out)).collect()
+    assert {(r["city"], r["level"], r["previous_level"]) for r in rows} == {
         ("a", "unhealthy_sensitive", None),
         ("a", "good", "unhealthy_sensitive"),
         ("a", "hazardous", "good"),
@@ -100,6 +129,15 @@ def test_alerts_only_on_level_changes(spark, arrivals, tmp_path):
     }
 
 
+def test_a_level_within_a_split_hour_is_told_once(spark, arrivals, tmp_path):
+    out, checkpoint = (str(tmp_path / n) for n in ("o", "c"))
+    parts = ([reading("a", 1, 10, 40.0, 5)], [reading("a", 2, 10, 120.0, 50), reading("a", 3, 11, 130.0, 5)])
+    for rows in parts:
+        stream_alerts(arrivals(rows), out, checkpoint)
+    rows = level_changes(spark.read.parquet(out)).collect()
+    assert [(r["level"], r["previous_level"]) for r in rows] == [("unhealthy_sensitive", None)]
+
+
 def test_dedup_keeps_the_first_arrival(spark, arrivals, tmp_path):
     out, checkpoint = str(tmp_path / "o"), str(tmp_path / "c")
     for rows in (FIRST[:3], [reading("a", 99, 1, 41.0)] + SECOND):
@@ -116,6 +154,14 @@ def test_daily_mean_emits_closed_days_only(spark, arrivals, tmp_path):
     assert got == {("a", 1): 143.75, ("b", 1): 150.0, ("a", 2): 32.5, ("b", 2): 15.0}
 
 
+def test_open_days_are_stored_and_replaced(spark, arrivals, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    for rows in (FIRST, SECOND):
+        stream_daily_mean_open(arrivals(rows), table, checkpoint, "3 days")
+    got = {(r["city"], r["day"].day): r["pm25"] for r in spark.read.parquet(table).collect()}
+    assert got == {("a", 1): 143.75, ("b", 1): 150.0, ("a", 2): 32.5, ("b", 2): 15.0, ("b", 3): 16.5}
+
+
 def test_a_rerun_reads_only_new_files(spark, arrivals, tmp_path):
     out, checkpoint = str(tmp_path / "o"), str(tmp_path / "c")
     run_append(arrivals(FIRST).select("reading_id"), checkpoint, out)

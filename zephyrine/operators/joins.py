@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from zephyrine.functions.calendar import date_spine, floor_hour
@@ -13,8 +14,8 @@ from zephyrine.functions.weather import approximate_weather, climatology
 from zephyrine.operators.blocks import over_series
 from zephyrine.operators.quality import filter_valid_measurements
 from zephyrine.schema import AQI_CAP, PM25_BREAKPOINTS, PM25_CAP
-from zephyrine.sources.store import DATE_COLUMN, latest_per_key
-from zephyrine.sources.tables import latest_rows
+from zephyrine.session import scratch_path
+from zephyrine.sources.store import DATE_COLUMN, SEQ_COLUMN, latest_per_key, read_table, stored_cities
 
 CLIMATE_COLUMNS = ["temperature", "humidity", "wind_speed", "pressure"]
 
@@ -50,22 +51,27 @@ def pending_dates(spine: DataFrame, processed: DataFrame) -> DataFrame:
 
 
 def day_status(
-    spine: DataFrame, processed: DataFrame, measurements: DataFrame, value: str = "value"
+    spine: DataFrame,
+    processed: DataFrame,
+    measurements: DataFrame,
+    value: str = "value",
+    keys: Sequence[str] = ("day",),
 ) -> DataFrame:
-    """Status per day: ``skipped`` if already done, ``failed`` without a valid
-    measurement, else ``pushed``."""
-    done = processed.select("day").distinct().withColumn("_done", F.lit(True))
+    """Status per day (or per other ``keys``): ``skipped`` if already done, ``failed`` without
+    a valid measurement, else ``pushed``."""
+    keys = list(keys)
+    done = processed.select(*keys).distinct().withColumn("_done", F.lit(True))
     valid = filter_valid_measurements(measurements, value)
-    seen = valid.groupBy("day").agg(F.count("*").alias("measurements"))
+    seen = valid.groupBy(*keys).agg(F.count("*").alias("measurements"))
     status = (
         F.when(F.col("_done"), F.lit("skipped"))
         .when(F.col("measurements").isNull(), F.lit("failed"))
         .otherwise(F.lit("pushed"))
     )
     return (
-        spine.join(done, "day", "left")
-        .join(seen, "day", "left")
-        .select("day", status.alias("status"), F.coalesce("measurements", F.lit(0)).alias("measurements"))
+        spine.join(done, keys, "left")
+        .join(seen, keys, "left")
+        .select(*keys, status.alias("status"), F.coalesce("measurements", F.lit(0)).alias("measurements"))
     )
 
 
@@ -90,23 +96,32 @@ def combine_sources(aqi: DataFrame, weather: DataFrame) -> DataFrame:
     return hourly(aqi).join(right, ["city", "timestamp"])
 
 
-def breakpoint_join(df: DataFrame, column: str = "pm25") -> DataFrame:
-    """Index from a breakpoint table (7-row broadcast range join), for data-driven tables.
+# Rows of a breakpoint table that may be broadcast.
+BREAKPOINT_ROWS = 1_000
 
-    Segments must not overlap. ``pm25_to_aqi`` is the expression form and the default.
+
+def breakpoint_join(df: DataFrame, breakpoints: DataFrame | None = None, column: str = "pm25") -> DataFrame:
+    """Index from a breakpoint table by a broadcast range join.
+
+    ``breakpoints`` has ``c_low, c_high, i_low, i_high`` and segments that do not overlap;
+    without one the fixed table is used. It may have ``BREAKPOINT_ROWS`` rows at most, which
+    is checked. ``pm25_to_aqi`` is the expression form of the fixed table and the default.
     """
     spark = df.sparkSession
-    table = spark.createDataFrame(
-        [(float(a), float(b), float(c), float(d)) for a, b, c, d in PM25_BREAKPOINTS],
-        "c_low DOUBLE, c_high DOUBLE, i_low DOUBLE, i_high DOUBLE",
-    )
+    if breakpoints is None:
+        breakpoints = spark.createDataFrame(
+            [tuple(map(float, row)) for row in PM25_BREAKPOINTS],
+            "c_low DOUBLE, c_high DOUBLE, i_low DOUBLE, i_high DOUBLE",
+        )
+    elif breakpoints.limit(BREAKPOINT_ROWS + 1).count() > BREAKPOINT_ROWS:
+        raise ValueError(f"a breakpoint table has at most {BREAKPOINT_ROWS} rows")
     level = F.least(F.col(column), F.lit(PM25_CAP))
     slope = (F.col("i_high") - F.col("i_low")) / (F.col("c_high") - F.col("c_low"))
     value = half_even(slope * (F.col("_level") - F.col("c_low")) + F.col("i_low"), 1)
     inside = F.col("_level").between(F.col("c_low"), F.col("c_high"))
     return (
         df.withColumn("_level", level)
-        .join(F.broadcast(table), inside, "left")
+        .join(F.broadcast(breakpoints), inside, "left")
         .withColumn("aqi", F.coalesce(value, F.lit(AQI_CAP)))
         .drop("_level", "c_low", "c_high", "i_low", "i_high")
     )
@@ -117,7 +132,7 @@ def previous_reading(
     batch: DataFrame,
     keys: Sequence[str] = ("city",),
     order: Sequence[str] = ("timestamp",),
-    block_rows: int | str | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """For each batch row the index just before it in history and batch together.
 
@@ -137,37 +152,108 @@ def previous_reading(
     )
 
 
-def with_history(
-    batch: DataFrame, stored: DataFrame | None, history_days: int | None = None
+def _nearest(
+    spark: SparkSession, table: DataFrame, wanted: DataFrame, edge: dt.date, ahead: bool
+) -> DataFrame | None:
+    """``city, timestamp, aqi``: per (city, day) of ``wanted`` the nearest stored row beyond it.
+
+    Reads the next stored dates first and goes twice as far each time, only for pairs without
+    a row so far, up to ``edge``, the furthest stored date.
+    """
+    step, reach = (1, 1) if ahead else (-1, 1)
+    found: DataFrame | None = None
+    offset = 1
+    while True:
+        days = [r["day"] for r in wanted.select("day").distinct().collect()]  # days of a batch
+        spans = [range(offset, offset + reach)] if days else []
+        dates = sorted({d + dt.timedelta(days=step * k) for d in days for span in spans for k in span})
+        dates = [d for d in dates if (d <= edge if ahead else d >= edge)]
+        if not dates:
+            return found
+        gap = F.datediff(F.col(DATE_COLUMN), F.col("day")) * step
+        rows = table.filter(F.col(DATE_COLUMN).isin(dates)).select("city", "timestamp", "aqi", DATE_COLUMN)
+        near = rows.join(wanted, "city").filter(gap.between(offset, offset + reach - 1))
+        pick = F.min_by if ahead else F.max_by
+        best = near.groupBy("city", "day").agg(
+            pick(F.struct("timestamp", "aqi"), "timestamp").alias("row")
+        )
+        path = scratch_path(spark, "neighbours")
+        best.select("city", "day", "row.*").write.parquet(path)
+        best = spark.read.parquet(path)
+        found = best if found is None else found.unionByName(best)
+        wanted = wanted.join(best.select("city", "day"), ["city", "day"], "left_anti")
+        offset, reach = offset + reach, reach * 2
+
+
+def with_neighbours(
+    batch: DataFrame,
+    path: str,
+    order: Sequence[str] = (SEQ_COLUMN,),
 ) -> DataFrame:
-    """Batch rows (``_new``) plus the stored rows their one-row look-back can reach.
+    """The rows to store again after ``batch`` arrives, amid the rows their look-back reaches.
 
-    Those are the stored rows of the batch's own days and, before each of these days, one
-    latest row per city. The latter is a partial aggregate over three columns, so stored
-    rows of other days are never shuffled, even if a batch holds very late readings.
-    ``history_days`` limits how many days before the first one are read at all. Stored
-    rows the batch replaces are left out.
+    Stored rows of the batch's days and the batch are merged first, the latest by ``order``
+    winning. Rows to store (``_new``) are those of the batch that won and, since their
+    predecessor may have changed, the rows right after a batch row. Beyond the batch's days
+    only the nearest stored row of a city on either side is looked up, over dates its city
+    has; a batch at the end of the table reads its own and the last date before it.
+
+    ``batch`` must have one row per (city, timestamp). Other columns of looked-up rows are
+    NULL, except those of rows to store, which are read whole.
     """
-    new = batch.withColumn("_new", F.lit(True))
-    if stored is None:
-        return new
+    spark = batch.sparkSession
+    stored, cities = read_table(spark, path), stored_cities(spark, path)
+    if stored is None or cities is None:
+        return batch.withColumn("_new", F.lit(True))
+    dated = batch.withColumn(DATE_COLUMN, F.to_date("timestamp"))
     # One value per calendar day of the batch.
-    found = batch.select(F.to_date("timestamp").alias("d")).distinct().collect()
-    days = sorted(r["d"] for r in found if r["d"] is not None)
+    days = sorted(r[0] for r in dated.select(DATE_COLUMN).distinct().collect() if r[0] is not None)
     if not days:
-        return new
-    stored_day = F.col(DATE_COLUMN)
-    same_days = stored.filter(stored_day.isin(days)).join(
-        batch.select("city", "timestamp"), ["city", "timestamp"], "left_anti"
-    )
-    other_days = stored.filter(~stored_day.isin(days) & (stored_day < F.lit(days[-1])))
-    if history_days is not None:
-        other_days = other_days.filter(stored_day >= F.date_sub(F.lit(days[0]), history_days))
-    batch_days = F.array(*[F.lit(d) for d in days])
-    gap = F.size(F.filter(batch_days, lambda d: d <= stored_day)).alias("_gap")
-    last = latest_rows(other_days.select("city", "timestamp", "aqi", gap), ["city", "_gap"]).drop("_gap")
+        return batch.withColumn("_new", F.lit(True))
     columns = [c for c in batch.columns if c in stored.columns]
-    history = same_days.select(*columns).unionByName(last, allowMissingColumns=True)
-    return new.select(*columns, "_new").unionByName(
-        history.withColumn("_new", F.lit(False)).select(*columns, "_new")
+    own = stored.filter(F.col(DATE_COLUMN).isin(days)).select(*columns, F.lit(False).alias("_batch"))
+    merged = latest_per_key(
+        own.unionByName(batch.select(*columns, F.lit(True).alias("_batch"))), order=[*order, "_batch"]
     )
+    merged_path = scratch_path(spark, "merged")
+    merged.write.parquet(merged_path)
+    merged = spark.read.parquet(merged_path)
+
+    pairs = dated.select("city", F.col(DATE_COLUMN).alias("day")).distinct()
+    bounded = pairs.join(cities, "city")
+    loaded = merged.select("city", F.to_date("timestamp").alias("day")).distinct()
+
+    def beyond(ahead: bool) -> DataFrame | None:
+        next_to = loaded.select("city", F.date_add("day", -1 if ahead else 1).alias("day"))
+        side = F.col("last_day") > F.col("day") if ahead else F.col("first_day") < F.col("day")
+        wanted = bounded.filter(side).join(next_to, ["city", "day"], "left_anti").select("city", "day")
+        edge = cities.agg(F.max("last_day") if ahead else F.min("first_day")).first()[0]
+        path_wanted = scratch_path(spark, "wanted")
+        wanted.write.parquet(path_wanted)
+        others = stored.filter(~F.col(DATE_COLUMN).isin(days))
+        return _nearest(spark, others, spark.read.parquet(path_wanted), edge, ahead)
+
+    before, after = beyond(False), beyond(True)
+    rows = merged.withColumn("_context", F.lit(False))
+    keyed = ["city", "timestamp"]
+    for side in (before, after):
+        if side is not None:
+            near = side.select("city", "timestamp").distinct()
+            if side is after:
+                dates = [r[0] for r in near.select(F.to_date("timestamp")).distinct().collect()]
+                full = stored.filter(F.col(DATE_COLUMN).isin(dates)).select(*columns)
+                near = full.join(near, keyed, "left_semi")
+            else:
+                near = side.select("city", "timestamp", "aqi").distinct()
+            near = near.withColumns({"_batch": F.lit(False), "_context": F.lit(True)})
+            rows = rows.unionByName(near, allowMissingColumns=True)
+    # A row may be looked up from both sides; its whole form is kept.
+    rows = rows.groupBy(*keyed).agg(
+        F.max_by(
+            F.struct(*[c for c in rows.columns if c not in keyed]),
+            F.struct(~F.col("_context"), *[F.col(o).isNotNull() for o in order]),
+        ).alias("_row")
+    ).select(*keyed, "_row.*")
+    previous = F.lag("_batch").over(Window.partitionBy("city").orderBy("timestamp"))
+    marked = rows.withColumn("_new", F.col("_batch") | F.coalesce(previous, F.lit(False)))
+    return marked.select(*columns, "_new")

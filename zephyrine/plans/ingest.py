@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zephyrine.functions.calendar import noon_stamp
@@ -11,56 +11,96 @@ from zephyrine.operators.joins import (
     climatology_join,
     combine_sources,
     day_status,
-    pending_dates,
-    with_history,
+    with_neighbours,
 )
 from zephyrine.operators.profiling import backfill_summary, daily_pm25_mean
 from zephyrine.operators.projection import assemble_feature_rows
 from zephyrine.operators.quality import ingest_rules, split_valid
 from zephyrine.session import scratch_path
 from zephyrine.sources.history import scan_history_csv, scan_named_history_csv
-from zephyrine.sources.payloads import scan_aqi_payloads, scan_weather_payloads
+from zephyrine.schema import AQI_PAYLOAD_SCHEMA, WEATHER_PAYLOAD_SCHEMA
+from zephyrine.sources.payloads import (
+    parse_aqi_payloads,
+    parse_weather_payloads,
+    read_payload_lines,
+)
 from zephyrine.sources.store import (
     SEQ_COLUMN,
     load_processed_dates,
-    read_table,
     save_processed_dates,
     upsert,
 )
 from zephyrine.sources.tables import read_feature_table, read_with_fallback
 
 
+def _rejected(df: DataFrame, source: str) -> DataFrame:
+    """What was turned down, whole as JSON, with its source and reason."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "reject_reason"]))
+    return df.select(F.lit(source).alias("source"), F.col("reject_reason").alias("reason"), row.alias("row"))
+
+
 def ingest_payloads(
     spark: SparkSession,
     aqi_path: str,
     weather_path: str,
     table: str,
     seq: int,
-    history_days: int | None = None,
+    rejects: str | None = None,
 ) -> DataFrame:
-    """Payload files of any number of cities and hours to upserted feature rows."""
-    readings = combine_sources(
-        scan_aqi_payloads(spark, aqi_path), scan_weather_payloads(spark, weather_path)
-    ).drop("fetched_at", "weather_desc")
+    """Payload files of any number of cities and hours to upserted feature rows.
+
+    Unreadable payloads and rows the guard turns down are appended to ``rejects`` (``source,
+    reason, row``); without such a path a single one of them fails the call, since nothing
+    may vanish unseen.
+    """
+    air, bad_air = parse_aqi_payloads(read_payload_lines(spark, aqi_path, AQI_PAYLOAD_SCHEMA))
+    weather, bad_weather = parse_weather_payloads(
+        read_payload_lines(spark, weather_path, WEATHER_PAYLOAD_SCHEMA)
+    )
+    readings = combine_sources(air, weather).drop("fetched_at", "weather_desc")
+    valid, turned_down = split_valid(readings, ingest_rules())
+    named = turned_down.withColumn("reject_reason", F.lit("outside the ingest rules"))
+    refused = [_rejected(bad_air, "aqi"), _rejected(bad_weather, "weather"), _rejected(named, "reading")]
+    all_refused = refused[0].unionByName(refused[1]).unionByName(refused[2])
+    if rejects is not None:
+        all_refused.write.mode("append").parquet(rejects)
+    elif not all_refused.isEmpty():
+        raise ValueError(f"payloads were turned down: {all_refused.first()}")
     # Written once: the days, the look-back and the merge all read these rows.
     path = scratch_path(spark, "readings")
-    split_valid(readings, ingest_rules())[0].drop(SEQ_COLUMN).write.parquet(path)
-    placed = with_history(spark.read.parquet(path), read_table(spark, table), history_days)
-    features = assemble_feature_rows(placed, extra=["_new"]).filter("_new").drop("_new")
-    return upsert(spark, table, features.withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint")))
+    valid.drop(SEQ_COLUMN).withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint")).write.parquet(path)
+    return store_features(spark, table, spark.read.parquet(path))
 
 
-def daily_feature_rows(daily: DataFrame) -> DataFrame:
-    """Daily (city, timestamp, pm25, aqi) rows with keyed stand-in weather.
+def store_features(
+    spark: SparkSession, table: str, rows: DataFrame, calendar: Column | None = None
+) -> DataFrame:
+    """Feature rows of readings, with change rates from true history, into the table.
 
-    Calendar features come from midnight; the stored stamp is noon.
+    ``rows`` has one row per city and time stamp, and ``ingest_seq``; ``calendar`` gives the
+    time calendar features come from where it is not the stamp.
     """
+    placed = with_neighbours(rows, table)
+    placed = placed.withColumn("_calendar", F.col("timestamp") if calendar is None else calendar)
+    features = assemble_feature_rows(placed, "_calendar", extra=[SEQ_COLUMN, "_new"])
+    return upsert(spark, table, features.filter("_new").drop("_new"))
+
+
+def daily_readings(daily: DataFrame) -> DataFrame:
+    """Daily (city, timestamp, pm25, aqi) rows with keyed stand-in weather, stamped at noon."""
     key = F.concat_ws("|", F.col("city"), F.unix_seconds("midnight"))
     weather = climatology_join(
         daily.withColumn("midnight", F.date_trunc("day", F.col("timestamp"))), "midnight", key
     )
-    stamped = weather.withColumn("timestamp", noon_stamp(F.col("midnight")))
-    return assemble_feature_rows(stamped, calendar_column="midnight")
+    return weather.withColumn("timestamp", noon_stamp(F.col("midnight")))
+
+
+def daily_feature_rows(daily: DataFrame) -> DataFrame:
+    """``daily_readings`` to feature-table columns.
+
+    Calendar features come from midnight; the stored stamp is noon.
+    """
+    return assemble_feature_rows(daily_readings(daily), calendar_column="midnight")
 
 
 def history_feature_rows(spark: SparkSession, csv_path: str, city: str) -> DataFrame:
@@ -69,6 +109,22 @@ def history_feature_rows(spark: SparkSession, csv_path: str, city: str) -> DataF
     return daily_feature_rows(history.withColumn("aqi", pm25_to_aqi(F.col("pm25"))))
 
 
+def csv_backfill(spark: SparkSession, csv_path: str, city: str, table: str, seq: int) -> DataFrame:
+    """A historical CSV into the feature table; returns ``total`` and ``pushed`` rows.
+
+    A day that occurs more than once keeps its largest value.
+    """
+    history = scan_history_csv(spark, csv_path).withColumn("city", F.lit(city))
+    once = history.groupBy("city", "timestamp").agg(F.max("pm25").alias("pm25"), F.count("*").alias("_n"))
+    path = scratch_path(spark, "history")
+    once.write.parquet(path)
+    once = spark.read.parquet(path)
+    rows = daily_readings(once.drop("_n").withColumn("aqi", pm25_to_aqi(F.col("pm25"))))
+    rows = rows.drop("midnight").withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint"))
+    store_features(spark, table, rows, F.date_trunc("day", F.col("timestamp")))
+    return once.agg(F.sum("_n").alias("total"), F.count("*").alias("pushed"))
+
+
 def fallback_features(spark: SparkSession, csv_path: str, city: str) -> DataFrame:
     """Stand-in for the feature table: local history with plain monthly climate means."""
     history = scan_named_history_csv(spark, csv_path, city)
@@ -88,22 +144,34 @@ def backfill(
     spine: DataFrame,
     table: str,
     processed_path: str,
-    city: str,
     seq: int,
+    city: str | None = None,
     dry_run: bool = False,
 ) -> DataFrame:
     """Daily means of the pending days to the feature table; returns the summary.
 
-    A day without valid measurements counts as failed and as processed. A dry run
-    writes nothing, the resume set included.
+    ``measurements`` has ``city, day, value``; with ``city`` all belong to that one. Days are
+    done per city, so cities may join later; the spine's days are expected of every city
+    that has measurements. A day without valid ones counts as failed and as processed. The
+    change rate of a resumed run goes on from the stored day before. A dry run writes
+    nothing, the resume set included.
     """
-    processed = load_processed_dates(spark, processed_path)
-    summary = backfill_summary(day_status(spine, processed, measurements)).first()
-    pending = pending_dates(spine, processed)
-    if not dry_run and summary["skipped"] < summary["total"]:
-        wanted = measurements.join(pending, "day", "left_semi").withColumn("city", F.lit(city))
+    if city is not None:
+        measurements = measurements.withColumn("city", F.lit(city))
+    days = sorted(r["day"] for r in spine.select("day").distinct().collect())  # calendar days
+    every_day = F.explode(F.array(*[F.lit(d) for d in days]).cast("array<date>")).alias("day")
+    expected = measurements.select("city").distinct().select("city", every_day)
+    processed = load_processed_dates(spark, processed_path, by_city=True)
+    path = scratch_path(spark, "status")
+    day_status(expected, processed, measurements, keys=("city", "day")).write.parquet(path)
+    status = spark.read.parquet(path)
+    summary = backfill_summary(status)
+    pending = status.filter("status <> 'skipped'").select("city", "day")
+    if not dry_run and not pending.isEmpty():
+        wanted = measurements.join(pending, ["city", "day"], "left_semi")
         daily = daily_pm25_mean(wanted).withColumn("timestamp", F.col("day").cast("timestamp"))
-        rows = daily_feature_rows(daily).withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint"))
-        upsert(spark, table, rows)
+        rows = daily_readings(daily).drop("midnight", "day")
+        rows = rows.withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint"))
+        store_features(spark, table, rows, F.date_trunc("day", F.col("timestamp")))
         save_processed_dates(pending, processed_path)
-    return spark.createDataFrame([summary], "total BIGINT, pushed BIGINT, skipped BIGINT, failed BIGINT")
+    return summary

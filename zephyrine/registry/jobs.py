@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zephyrine.plans.ingest import backfill, ingest_payloads
+from zephyrine.plans.ingest import backfill, csv_backfill, ingest_payloads
 from zephyrine.registry.base import (
     CLIMATE_SQL,
     INTERACTION_SQL,
     on_readings,
     query,
+    readings,
     sql_aqi,
     sql_calendar,
     sql_change,
@@ -21,7 +22,7 @@ from zephyrine.registry.base import (
     written,
 )
 from zephyrine.registry.relations import SPINE_SQL, measurements, spine
-from zephyrine.registry.scans import aqi_payloads, weather_payloads
+from zephyrine.registry.scans import aqi_payloads, history_csv, weather_payloads
 from zephyrine.schema import CALENDAR_COLUMNS, CYCLIC_COLUMNS, INTERACTION_COLUMNS
 from zephyrine.session import scratch_path
 
@@ -41,25 +42,62 @@ valid AS (SELECT * FROM air JOIN weather USING (city, h) WHERE aqi BETWEEN 0 AND
 )
 
 
-@query("e1_live_ingest", INGEST_SQL)
-def _live_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _deliveries(air: DataFrame, weather: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Payloads before and from the hour in the middle of their time range."""
+    stamp, hour = F.unix_seconds("fetched_at"), 3600
+    middle = air.agg(F.floor((F.min(stamp) + F.max(stamp)) / (2 * hour)) * hour).first()[0]
+    early = stamp < F.lit(middle)
+    return [(air.filter(part), weather.filter(part)) for part in (early, ~early)]
+
+
+def _ingested(spark: SparkSession, sf_dir: str, rejects: str) -> DataFrame:
     """Two deliveries of payload files, each upserted into the feature table."""
     table = scratch_path(spark, "features")
-    early = F.col("fetched_at") < F.lit("2024-01-16").cast("timestamp")
-    air, weather = aqi_payloads(spark, sf_dir), weather_payloads(spark, sf_dir)
-    for seq, part in enumerate((early, ~early), 1):
+    parts = _deliveries(aqi_payloads(spark, sf_dir), weather_payloads(spark, sf_dir))
+    for seq, (air, weather) in enumerate(parts, 1):
         stored = ingest_payloads(
             spark,
-            written(air.filter(part), "aqi-payloads", "json"),
-            written(weather.filter(part), "weather-payloads", "json"),
+            written(air, "aqi-payloads", "json"),
+            written(weather, "weather-payloads", "json"),
             table,
             seq,
+            rejects,
         )
-    return stored.select(
+    return stored
+
+
+@query("e1_live_ingest", INGEST_SQL)
+def _live_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, scratch_path(spark, "rejects")).select(
         "city", text("timestamp").alias("ts"), "aqi", "pm10", "temperature", "visibility", *ENGINEERED
     )
 
 
+REJECTS_SQL = on_readings(
+    """SELECT source, reason, count(*) AS n FROM (
+  SELECT 'aqi' AS source, 'status is not ok' AS reason FROM readings WHERE reading_id % 17 = 0
+  UNION ALL SELECT 'weather', CASE WHEN humidity IS NULL THEN 'missing humidity'
+    WHEN reading_id % 19 = 0 THEN 'missing wind_speed' ELSE 'missing weather_desc' END FROM readings
+  WHERE humidity IS NULL OR reading_id % 19 = 0 OR reading_id % 13 = 0
+  UNION ALL SELECT 'reading', 'outside the ingest rules' FROM both_sides
+  WHERE NOT (aqi BETWEEN 0 AND 500 AND temperature > -90)) GROUP BY ALL""",
+    """air AS (SELECT city, date_trunc('hour', ts) AS h, aqi FROM readings WHERE reading_id % 17 <> 0
+  QUALIFY row_number() OVER (PARTITION BY city, date_trunc('hour', ts) ORDER BY ts DESC, reading_id DESC) = 1),
+weather AS (SELECT city, date_trunc('hour', ts) AS h, temperature FROM readings
+  WHERE reading_id % 19 <> 0 AND reading_id % 13 <> 0 AND humidity IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY city, date_trunc('hour', ts) ORDER BY ts DESC, reading_id DESC) = 1),
+both_sides AS (SELECT * FROM air JOIN weather USING (city, h))""",
+)
+
+
+@query("e1_live_ingest_rejects", REJECTS_SQL)
+def _live_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the same deliveries turned down, by source and reason."""
+    rejects = scratch_path(spark, "rejects")
+    _ingested(spark, sf_dir, rejects)
+    return spark.read.parquet(rejects).groupBy("source", "reason").agg(F.count("*").alias("n"))
+
+
 BACKFILL_SQL = on_readings(
     f"""SELECT city, {sql_text('midnight + INTERVAL 12 HOUR')} AS ts, aqi, pm25, temperature, humidity,
   pressure, wind_speed, wind_direction, visibility, {sql_calendar('midnight')}, {INTERACTION_SQL},
@@ -80,7 +118,7 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily means of every day with data, with keyed weather, to the feature table."""
     table, done = scratch_path(spark, "features"), scratch_path(spark, "processed")
     backfill(
-        spark, measurements(spark, sf_dir), spine(spark, sf_dir), table, done, "harbour", seq=1
+        spark, measurements(spark, sf_dir), spine(spark, sf_dir), table, done, seq=1, city="harbour"
     )
     raw = ["aqi", "pm25", "temperature", "humidity", "pressure", "wind_speed", "wind_direction", "visibility"]
     return spark.read.parquet(table).select("city", text("timestamp").alias("ts"), *raw, *ENGINEERED)
@@ -97,5 +135,83 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _backfill_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, done = scratch_path(spark, "features"), scratch_path(spark, "processed")
     return backfill(
-        spark, measurements(spark, sf_dir), spine(spark, sf_dir), table, done, "harbour", seq=1, dry_run=True
+        spark,
+        measurements(spark, sf_dir),
+        spine(spark, sf_dir),
+        table,
+        done,
+        seq=1,
+        city="harbour",
+        dry_run=True,
+    )
+
+
+CITY_BACKFILL_SQL = on_readings(
+    f"""SELECT city, {sql_text('midnight + INTERVAL 12 HOUR')} AS ts, aqi, pm25, temperature, humidity,
+  pressure, wind_speed, wind_direction, visibility, {sql_calendar('midnight')}, {INTERACTION_SQL},
+  {sql_change('aqi', 'lag(aqi) OVER (PARTITION BY city ORDER BY midnight)')} AS aqi_change_rate FROM jittered""",
+    CLIMATE_SQL,
+    f"""means AS (SELECT city, CAST(day AS TIMESTAMP) AS midnight, pm25, {sql_aqi('pm25')} AS aqi FROM (
+    SELECT city, ts::DATE AS day, {sql_r('avg(pm25)', 2)} AS pm25 FROM readings
+    WHERE day(ts) % 7 <> 0 AND pm25 >= 0 GROUP BY 1, 2)),
+jittered AS (SELECT city, midnight, pm25, aqi,
+    {sql_jitter("concat(city, '|', CAST(CAST(epoch(midnight) AS BIGINT) AS VARCHAR))")}
+  FROM means JOIN clim ON clim.m = month(midnight))""",
+)
+
+
+def city_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements of every city that leave each seventh day without a valid value."""
+    usable = F.dayofmonth("ts") % 7 != 0
+    return readings(spark, sf_dir).select(
+        "city",
+        F.to_date("ts").alias("day"),
+        F.when(usable, F.col("pm25")).otherwise(F.lit(-1.0)).alias("value"),
+    )
+
+
+def half_spans(rows: DataFrame) -> list[DataFrame]:
+    """Rows before and from the middle day of their range."""
+    ends = rows.agg(F.min("day").alias("low"), F.max("day").alias("high")).first()
+    middle = ends["low"] + (ends["high"] - ends["low"]) / 2
+    return [rows.filter(F.col("day") < F.lit(middle)), rows.filter(F.col("day") >= F.lit(middle))]
+
+
+def stored_features(spark: SparkSession, table: str) -> DataFrame:
+    raw = ["aqi", "pm25", "temperature", "humidity", "pressure", "wind_speed", "wind_direction", "visibility"]
+    return spark.read.parquet(table).select("city", text("timestamp").alias("ts"), *raw, *ENGINEERED)
+
+
+@query("e1_backfill_resumed", CITY_BACKFILL_SQL)
+def _backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every city in two spans: the second goes on from the first and repeats none of it."""
+    table, done = scratch_path(spark, "features"), scratch_path(spark, "processed")
+    rows = city_measurements(spark, sf_dir)
+    first = half_spans(rows)[0]
+    backfill(spark, first, first.select("day"), table, done, seq=1)
+    backfill(spark, rows, rows.select("day"), table, done, seq=2)
+    return stored_features(spark, table)
+
+
+@query(
+    "e1_csv_backfill",
+    on_readings(
+        f"""SELECT city, {sql_text('midnight + INTERVAL 12 HOUR')} AS ts, aqi, pm25, temperature,
+  {sql_calendar('midnight')}, {sql_change('aqi', 'lag(aqi) OVER (ORDER BY midnight)')} AS aqi_change_rate
+FROM jittered""",
+        CLIMATE_SQL,
+        f"""means AS (SELECT date_trunc('day', ts) AS midnight, max(pm25) AS pm25, {sql_aqi('max(pm25)')} AS aqi
+  FROM readings WHERE reading_id % 7 <> 0 AND reading_id % 11 <> 0 GROUP BY 1),
+jittered AS (SELECT 'harbour' AS city, midnight, pm25, aqi,
+    {sql_jitter("concat('harbour|', CAST(CAST(epoch(midnight) AS BIGINT) AS VARCHAR))")}
+  FROM means JOIN clim ON clim.m = month(midnight))""",
+    ),
+)
+def _csv_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history CSV stored as daily feature rows."""
+    table = scratch_path(spark, "features")
+    csv_backfill(spark, history_csv(spark, sf_dir), "harbour", table, seq=1)
+    return spark.read.parquet(table).select(
+        "city", text("timestamp").alias("ts"), "aqi", "pm25", "temperature", *CALENDAR_COLUMNS, *CYCLIC_COLUMNS,
+        "aqi_change_rate",
     )

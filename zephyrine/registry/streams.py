@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +24,22 @@ from zephyrine.registry.base import (
     sql_text,
     text,
 )
+from zephyrine.registry.jobs import (
+    CITY_BACKFILL_SQL,
+    city_measurements,
+    half_spans,
+    stored_features,
+)
 from zephyrine.schema import CALENDAR_COLUMNS, CYCLIC_COLUMNS, INTERACTION_COLUMNS
 from zephyrine.session import scratch_path
 from zephyrine.streaming.jobs import (
     read_stream,
-    run_append,
+    level_changes,
     stream_alerts,
+    stream_backfill,
     stream_change_rate,
     stream_daily_mean,
+    stream_daily_mean_open,
     stream_dedup,
     stream_hourly_features,
 )
@@ -43,6 +53,28 @@ def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading_stream(spark, f"{sf_dir}/events*.parquet")
 
 
+DELIVERIES = 4
+
+
+def delivered(rows: DataFrame, time: str = "ts") -> list[DataFrame]:
+    """The rows in deliveries cut inside hours, with every eleventh row of all times last."""
+    ends = rows.agg(F.unix_micros(F.min(F.col(time).cast("timestamp"))).alias("low"),
+                    F.unix_micros(F.max(F.col(time).cast("timestamp"))).alias("high")).first()
+    span = max(1, (ends["high"] or 0) - (ends["low"] or 0))
+    share = (F.unix_micros(F.col(time).cast("timestamp")) - F.lit(ends["low"])) / F.lit(span)
+    on_time = F.least(F.floor(share * (DELIVERIES - 1)), F.lit(DELIVERIES - 2))
+    part = F.when(F.col("event_id") % 11 == 0, F.lit(DELIVERIES - 1)).otherwise(on_time)
+    return [rows.filter(part == i) for i in range(DELIVERIES)]
+
+
+def in_deliveries(spark: SparkSession, sf_dir: str, job: Callable[[DataFrame], None]) -> None:
+    """Runs the job once per delivery of ``events`` into a growing folder."""
+    source = scratch_path(spark, "arrivals")
+    for part in delivered(events(spark, sf_dir)):
+        part.write.mode("append").parquet(source)
+        job(reading_stream(spark, source))
+
+
 HOUR_WINDOW = 'OVER (PARTITION BY city ORDER BY "timestamp")'
 
 
@@ -56,7 +88,8 @@ HOUR_WINDOW = 'OVER (PARTITION BY city ORDER BY "timestamp")'
 )
 def _hourly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "stream-table")
-    stream_hourly_features(arriving(spark, sf_dir), table, scratch_path(spark, "checkpoint"))
+    checkpoint = scratch_path(spark, "checkpoint")
+    in_deliveries(spark, sf_dir, lambda readings: stream_hourly_features(readings, table, checkpoint))
     columns = [*CALENDAR_COLUMNS, *CYCLIC_COLUMNS, *INTERACTION_COLUMNS]
     return spark.read.parquet(table).select(
         "city", text("timestamp").alias("ts"), "aqi", "pm10", *columns
@@ -82,11 +115,9 @@ def _dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    output = scratch_path(spark, "stream-change")
-    stream_change_rate(
-        arriving(spark, sf_dir), output, scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
-    )
-    rows = spark.read.parquet(output)
+    table, checkpoint = scratch_path(spark, "stream-change"), scratch_path(spark, "checkpoint")
+    in_deliveries(spark, sf_dir, lambda readings: stream_change_rate(readings, table, checkpoint))
+    rows = spark.read.parquet(table)
     return rows.select("city", text("timestamp").alias("ts"), "aqi", "aqi_change_rate")
 
 
@@ -105,6 +136,21 @@ def _daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("day", day_text("day"))
 
 
+@query(
+    "st4_stream_daily_mean_open",
+    on_readings(
+        f"SELECT city, {sql_day('day')} AS day, pm25, {sql_aqi('pm25')} AS aqi FROM ("
+        f"SELECT city, CAST(ts AS DATE) AS day, {sql_r('avg(pm25)', 2)} AS pm25 FROM readings WHERE pm25 >= 0 "
+        "GROUP BY ALL)"
+    ),
+)
+def _daily_mean_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day, the open one included."""
+    table = scratch_path(spark, "stream-daily")
+    stream_daily_mean_open(arriving(spark, sf_dir), table, scratch_path(spark, "checkpoint"))
+    return spark.read.parquet(table).select("city", day_text("day").alias("day"), "pm25", "aqi")
+
+
 LEVEL_SQL = """CASE WHEN aqi <= 50 THEN 'good' WHEN aqi <= 100 THEN 'moderate'
   WHEN aqi <= 150 THEN 'unhealthy_sensitive' WHEN aqi <= 200 THEN 'unhealthy'
   WHEN aqi <= 300 THEN 'very_unhealthy' ELSE 'hazardous' END"""
@@ -119,23 +165,19 @@ LEVEL_SQL = """CASE WHEN aqi <= 50 THEN 'good' WHEN aqi <= 100 THEN 'moderate'
     ),
 )
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    output = scratch_path(spark, "stream-alerts")
-    stream_alerts(
-        arriving(spark, sf_dir), output, scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
-    )
-    rows = spark.read.parquet(output)
+    table, checkpoint = scratch_path(spark, "stream-alerts"), scratch_path(spark, "checkpoint")
+    in_deliveries(spark, sf_dir, lambda readings: stream_alerts(readings, table, checkpoint))
+    rows = level_changes(spark.read.parquet(table))
     return rows.select("city", text("timestamp").alias("ts"), "aqi", "level", "previous_level")
 
 
-@query("st6_resumed_stream", on_readings("SELECT reading_id, city, aqi FROM readings"))
+@query("st6_resumed_stream", CITY_BACKFILL_SQL)
 def _resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over a growing folder: the second reads only the files of the second half."""
-    source, output = scratch_path(spark, "arrivals"), scratch_path(spark, "stream-copy")
-    checkpoint = scratch_path(spark, "checkpoint")
-    rows = events(spark, sf_dir)
-    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
-    for part in (rows.filter(early), rows.filter(~early)):
+    """A backfill from files: the second run meets only those of the second half of the days."""
+    source, table = scratch_path(spark, "arrivals"), scratch_path(spark, "features")
+    processed, checkpoint = scratch_path(spark, "processed"), scratch_path(spark, "checkpoint")
+    for part in half_spans(city_measurements(spark, sf_dir)):
         part.write.mode("append").parquet(source)
-        copied = reading_stream(spark, source).select("reading_id", "city", "aqi")
-        run_append(copied, checkpoint, output)
-    return spark.read.parquet(output)
+        stream = read_stream(spark, source, "city STRING, day DATE, value DOUBLE")
+        stream_backfill(stream, table, processed, checkpoint)
+    return stored_features(spark, table)

@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zephyrine.session import scratch_path
+
 DATE_COLUMN = "event_date"
 SEQ_COLUMN = "ingest_seq"
 FEATURE_KEYS = ("city", "timestamp")
@@ -54,48 +56,124 @@ def upsert(
     batch: DataFrame,
     keys: Sequence[str] = FEATURE_KEYS,
     time_column: str = "timestamp",
+    order: Sequence[str] = (SEQ_COLUMN,),
 ) -> DataFrame:
     """Insert-or-replace ``batch`` into the ``event_date``-partitioned table at ``path``.
 
-    Needs an ``ingest_seq`` column; a higher one wins. Only the dates present in the
-    batch are read and rewritten. The merged dates are written in full beside the table
-    and then swapped in; if a run dies during the swap, the next one finishes it first.
-    One writer at a time; a reader during the swap may see some dates old, some new.
+    A higher ``order`` wins; at equal order the batch wins over what is stored. Rows of one
+    batch with equal keys and order must be equal, otherwise no last write exists and the
+    call fails. The batch is evaluated once; only its dates are read and rewritten. Merged
+    dates are written in full beside the table and their folders then renamed into place;
+    if a run dies in between, the next one finishes it first. One writer at a time; a reader
+    during the swap may see some dates old, some new, or one missing for a moment.
+
+    Beside the table lies one row per city with its first and last stored date.
     """
     pending = path.rstrip("/") + "__pending"
     if _exists(spark, f"{pending}/_SUCCESS"):
         _publish(spark, pending, path)
-    incoming = batch.withColumn(DATE_COLUMN, F.to_date(time_column))
+    arrived = scratch_path(spark, "batch")
+    batch.withColumn(DATE_COLUMN, F.to_date(time_column)).write.parquet(arrived)
+    incoming = spark.read.schema(
+        batch.withColumn(DATE_COLUMN, F.to_date(time_column)).schema
+    ).parquet(arrived)
+    try:
+        _merge(spark, path, pending, incoming, keys, order)
+    finally:
+        remove(spark, arrived)
+    return spark.read.parquet(path) if _exists(spark, path) else batch.limit(0)
+
+
+def _merge(
+    spark: SparkSession,
+    path: str,
+    pending: str,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+) -> None:
     # One value per calendar day of the batch, whatever its number of rows.
     days = [row[0] for row in incoming.select(DATE_COLUMN).distinct().collect()]
     if None in days:
         raise ValueError("rows without a timestamp cannot be stored under (city, timestamp)")
-    stored = read_table(spark, path)
     if not days:
-        return incoming if stored is None else stored
-    merged = incoming
+        return
+    rest = [c for c in incoming.columns if c not in (*keys, *order)]
+    if rest:
+        ends = incoming.groupBy(*keys, *order).agg(
+            F.min(F.struct(*rest)).alias("low"), F.max(F.struct(*rest)).alias("high")
+        )
+        if not ends.filter(~F.col("low").eqNullSafe(F.col("high"))).isEmpty():
+            raise ValueError(f"different rows of one batch share {[*keys, *order]}")
+    merged = incoming.withColumn("_arrived", F.lit(True))
+    stored = read_table(spark, path)
     if stored is not None:
-        touched = stored.filter(F.col(DATE_COLUMN).isin(days))
-        merged = touched.unionByName(incoming, allowMissingColumns=True)
-    latest_per_key(merged, [*keys, DATE_COLUMN]).write.mode("overwrite").parquet(pending)
+        touched = stored.filter(F.col(DATE_COLUMN).isin(days)).withColumn("_arrived", F.lit(False))
+        merged = touched.unionByName(merged, allowMissingColumns=True)
+    _note_cities(spark, path, incoming)
+    latest = latest_per_key(merged, [*keys, DATE_COLUMN], [*order, "_arrived"]).drop("_arrived")
+    # Rebalancing splits a hot day over several writers and puts small days together.
+    latest.hint("rebalance", DATE_COLUMN).write.mode("overwrite").partitionBy(DATE_COLUMN).parquet(pending)
     _publish(spark, pending, path)
-    return spark.read.parquet(path)
 
 
 def _publish(spark: SparkSession, pending: str, path: str) -> None:
-    """Swap the pending dates into the table; safe to repeat.
-
-    Rebalancing splits a hot day over several writers and puts small days together.
+    """Move the pending date folders into the table; safe to repeat."""
+    source, files = _hadoop(spark, pending)
+    target, _ = _hadoop(spark, path)
+    files.mkdirs(target)
+    for status in files.listStatus(source):  # one folder per day of the batch
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{DATE_COLUMN}="):
+            place, _ = _hadoop(spark, f"{path.rstrip('/')}/{name}")
+            files.delete(place, True)
+            if not files.rename(status.getPath(), place):
+                raise OSError(f"{name} could not be moved into {path}")
+    files.delete(source, True)
+    spark.catalog.refreshByPath(path)
+
+
+def stored_cities(spark: SparkSession, path: str) -> DataFrame | None:
+    """``city, first_day, last_day`` of the table, or None before the first write."""
+    sides = path.rstrip("/") + "__cities"
+    if not _exists(spark, sides):
+        return None
+    source, files = _hadoop(spark, sides)
+    whole = [
+        s.getPath().toString()
+        for s in files.listStatus(source)
+        if _exists(spark, f"{s.getPath().toString()}/_SUCCESS")
+    ]
+    return spark.read.parquet(max(whole)) if whole else None
+
+
+def _note_cities(spark: SparkSession, path: str, incoming: DataFrame) -> None:
+    """Widen the first and last date of the batch's cities, before the rows are stored.
+
+    A run that dies afterwards leaves dates too wide, which costs reading but no result.
     """
-    (
-        spark.read.parquet(pending)
-        .hint("rebalance", DATE_COLUMN)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DATE_COLUMN)
-        .parquet(path)
+    if "city" not in incoming.columns:
+        return
+    seen = incoming.groupBy("city").agg(
+        F.min(DATE_COLUMN).alias("first_day"), F.max(DATE_COLUMN).alias("last_day")
     )
-    hadoop_path, files = _hadoop(spark, pending)
+    before = stored_cities(spark, path)
+    if before is not None:
+        seen = before.unionByName(seen).groupBy("city").agg(
+            F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")
+        )
+    sides = path.rstrip("/") + "__cities"
+    source, files = _hadoop(spark, sides)
+    older = sorted(s.getPath().getName() for s in files.listStatus(source)) if _exists(spark, sides) else []
+    version = int(older[-1].split("-")[1]) + 1 if older else 0
+    seen.write.mode("overwrite").parquet(f"{sides}/v-{version:012d}")
+    for name in older[:-1]:  # the last but one may still be read
+        remove(spark, f"{sides}/{name}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder this process wrote for itself."""
+    hadoop_path, files = _hadoop(spark, path)
     files.delete(hadoop_path, True)
 
 
@@ -142,18 +220,21 @@ def prediction_documents(predictions: DataFrame, generated_at: dt.datetime) -> D
 
 
 def write_predictions_json(predictions: DataFrame, path: str, generated_at: dt.datetime) -> None:
-    prediction_documents(predictions, generated_at).write.mode("overwrite").partitionBy(
-        "city"
-    ).text(path)
+    """JSON lines, one per city: ``city`` and ``document``, in files of the writer's size."""
+    prediction_documents(predictions, generated_at).write.mode("overwrite").json(path)
 
 
 def save_processed_dates(dates: DataFrame, path: str) -> None:
-    """Append days (column ``day``) to the resume set; duplicates are harmless."""
-    dates.select(F.to_date("day").alias("day")).write.mode("append").parquet(path)
+    """Append days (column ``day``, and ``city`` where there is one) to the resume set.
+
+    Duplicates are harmless.
+    """
+    city = ["city"] if "city" in dates.columns else []
+    dates.select(*city, F.to_date("day").alias("day")).write.mode("append").parquet(path)
 
 
-def load_processed_dates(spark: SparkSession, path: str) -> DataFrame:
+def load_processed_dates(spark: SparkSession, path: str, by_city: bool = False) -> DataFrame:
     stored = read_table(spark, path)
     if stored is None:
-        return spark.createDataFrame([], "day DATE")
+        return spark.createDataFrame([], "city STRING, day DATE" if by_city else "day DATE")
     return stored.distinct()

@@ -2,27 +2,28 @@
 
 Each job drains what is there (``availableNow``) and stops, which is how an hourly
 schedule runs it; the checkpoint remembers the files done, so a rerun resumes.
-State between micro-batches is a small written table per batch number, so a batch
-that runs again after a failure reads the same state and rewrites the same output.
+The only state between micro-batches is the keyed table a job writes. A batch that
+runs again after a failure meets its own rows there and stores the same ones again, and
+the table is the same however the readings are cut into batches.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zephyrine.functions.calendar import floor_hour
 from zephyrine.functions.index import alert_level, pm25_to_aqi
 from zephyrine.functions.numeric import change_rate, half_even
-from zephyrine.operators.blocks import over_series
-from zephyrine.operators.joins import with_history
+from zephyrine.operators.joins import with_neighbours
 from zephyrine.operators.projection import assemble_feature_rows
 from zephyrine.operators.quality import filter_valid_measurements, ingest_rules, split_valid
 from zephyrine.operators.series import resample_latest
-from zephyrine.sources.store import SEQ_COLUMN, read_table, upsert
+from zephyrine.plans.ingest import backfill
+from zephyrine.session import scratch_path
+from zephyrine.sources.store import SEQ_COLUMN, remove, upsert
 
 
 def read_stream(
@@ -52,9 +53,27 @@ def run_append(stream: DataFrame, checkpoint: str, path: str) -> None:
 
 
 def _hourly(batch: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Latest reading per city and hour, stamped with the hour."""
+    """Latest reading per city and hour, stamped with the hour; ``seq_*`` keep its order."""
     slots = resample_latest(batch, ["city"], "hour", order, time_column="ts")
-    return slots.withColumn("timestamp", floor_hour(F.col("ts"))).drop("slot")
+    kept = {f"seq_{i}": F.col(c) for i, c in enumerate(order)}
+    return slots.withColumns({"timestamp": floor_hour(F.col("ts")), **kept}).drop("slot")
+
+
+def _store(
+    batch: DataFrame,
+    table: str,
+    seq: Sequence[str],
+    finish: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Places the batch amid its neighbours, finishes the rows to store and upserts them."""
+    spark = batch.sparkSession
+    hourly = scratch_path(spark, "hourly")
+    batch.write.parquet(hourly)
+    try:
+        placed = with_neighbours(spark.read.parquet(hourly), table, seq)
+        upsert(spark, table, finish(placed).filter("_new").drop("_new"), order=seq)
+    finally:
+        remove(spark, hourly)
 
 
 def stream_hourly_features(
@@ -62,23 +81,24 @@ def stream_hourly_features(
     table: str,
     checkpoint: str,
     order: Sequence[str] = ("ts", "reading_id"),
-    history_days: int | None = None,
+    rejects: str | None = None,
 ) -> None:
     """Readings to the keyed feature table: latest per hour, features, guard, upsert.
 
-    The change rate compares with the reading before, in the batch or in the table
-    (of which ``history_days`` limits how far back is read). A later reading of a
-    stored hour replaces it.
+    A later reading of a stored hour replaces it. The change rate compares with the hour
+    before, in the batch or in the table, and the hour after a late one is rated again.
+    Hours the guard turns down go to ``rejects``, one folder per batch, if one is named.
     """
+    seq = [f"seq_{i}" for i in range(len(order))]
+
+    def finish(placed: DataFrame) -> DataFrame:
+        return assemble_feature_rows(placed, extra=[*seq, "_new"])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        hourly = _hourly(batch, order).withColumn(SEQ_COLUMN, F.unix_micros("ts"))
-        valid = split_valid(hourly, ingest_rules())[0].persist()
-        placed = with_history(valid, read_table(spark, table), history_days)
-        features = assemble_feature_rows(placed, extra=[SEQ_COLUMN, "_new"])
-        upsert(spark, table, features.filter("_new").drop("_new"))
-        valid.unpersist()
+        valid, turned_down = split_valid(_hourly(batch, order), ingest_rules())
+        if rejects is not None:
+            turned_down.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        _store(valid, table, seq, finish)
 
     run_batches(readings, checkpoint, handle)
 
@@ -97,91 +117,50 @@ def stream_dedup(
 
 def _series_job(
     readings: DataFrame,
-    output: str,
-    state: str,
+    table: str,
     checkpoint: str,
     order: Sequence[str],
-    columns: Callable[[WindowSpec], dict[str, Column]],
-    prepare: Callable[[DataFrame], DataFrame],
-    keep: Callable[[DataFrame], DataFrame],
+    columns: dict[str, Column],
 ) -> None:
-    """One-row look-back per city across micro-batches.
+    """Hourly rows with ``columns`` over a one-row look-back per city, as a keyed table."""
+    seq = [f"seq_{i}" for i in range(len(order))]
 
-    State is the last row per city: state version n is written by batch n and read by
-    batch n + 1. Rows count in event order inside a batch, in arrival order across.
-    """
+    def finish(placed: DataFrame) -> DataFrame:
+        return placed.withColumns(columns)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        hourly = prepare(_hourly(batch, order)).withColumn("_new", F.lit(True)).persist()
-        current = hourly
-        before = read_table(spark, os.path.join(state, f"batch-{batch_id - 1}"))
-        if before is not None:
-            current = current.unionByName(before.withColumn("_new", F.lit(False)))
-        rows = over_series(current, ["city"], ["_new", "timestamp"], columns, back=1)
-        keep(rows.filter("_new").drop("_new")).write.mode("overwrite").parquet(
-            os.path.join(output, f"batch_id={batch_id}")
-        )
-        rest = [c for c in current.columns if c not in ("city", "_new")]
-        last = F.max_by(F.struct(*rest), F.struct("_new", "timestamp")).alias("_last")
-        current.groupBy("city").agg(last).select("city", "_last.*").write.mode(
-            "overwrite"
-        ).parquet(os.path.join(state, f"batch-{batch_id}"))
-        hourly.unpersist()
+        _store(_hourly(batch, order).select("city", "timestamp", "aqi", *seq), table, seq, finish)
 
     run_batches(readings, checkpoint, handle)
 
 
+def _hour_before(column: str) -> Column:
+    return F.lag(column, 1).over(Window.partitionBy("city").orderBy("timestamp"))
+
+
 def stream_change_rate(
-    readings: DataFrame,
-    output: str,
-    state: str,
-    checkpoint: str,
-    order: Sequence[str] = ("ts", "reading_id"),
+    readings: DataFrame, table: str, checkpoint: str, order: Sequence[str] = ("ts", "reading_id")
 ) -> None:
-    """Percent change of each hourly reading against the city's previous one."""
-
-    def columns(window: WindowSpec) -> dict[str, Column]:
-        return {"aqi_change_rate": change_rate(F.col("aqi"), F.lag("aqi", 1).over(window))}
-
-    _series_job(
-        readings,
-        output,
-        state,
-        checkpoint,
-        order,
-        columns,
-        prepare=lambda df: df.select("city", "timestamp", "aqi"),
-        keep=lambda df: df,
-    )
+    """Percent change of each hourly reading against the city's previous hour.
+
+    The table at ``table`` has one row per city and hour with ``aqi_change_rate``.
+    """
+    rate = change_rate(F.col("aqi"), _hour_before("aqi"))
+    _series_job(readings, table, checkpoint, order, {"aqi_change_rate": rate})
 
 
 def stream_alerts(
-    readings: DataFrame,
-    output: str,
-    state: str,
-    checkpoint: str,
-    order: Sequence[str] = ("ts", "reading_id"),
+    readings: DataFrame, table: str, checkpoint: str, order: Sequence[str] = ("ts", "reading_id")
 ) -> None:
-    """Hourly alert levels, only where the level differs from the city's previous one."""
-
-    def prepare(df: DataFrame) -> DataFrame:
-        alert = alert_level(F.col("aqi"))
-        return df.select("city", "timestamp", "aqi", alert.getField("level").alias("level"))
-
-    def columns(window: WindowSpec) -> dict[str, Column]:
-        return {"previous_level": F.lag("level", 1).over(window)}
-
-    _series_job(
-        readings,
-        output,
-        state,
-        checkpoint,
-        order,
-        columns,
-        prepare=prepare,
-        keep=lambda df: df.filter(~F.col("level").eqNullSafe(F.col("previous_level"))),
-    )
+    """Hourly alert levels with the city's previous one; ``level_changes`` reads the changes."""
+    level = alert_level(F.col("aqi")).getField("level")
+    previous = alert_level(_hour_before("aqi")).getField("level")
+    _series_job(readings, table, checkpoint, order, {"level": level, "previous_level": previous})
+
+
+def level_changes(levels: DataFrame) -> DataFrame:
+    """Only the hours whose level differs from the one before."""
+    return levels.filter(~F.col("level").eqNullSafe(F.col("previous_level")))
 
 
 def daily_mean_stream(readings: DataFrame, delay: str = "1 hour", value: str = "pm25") -> DataFrame:
@@ -201,3 +180,38 @@ def stream_daily_mean(
 ) -> None:
     """Append mode: a day is written once the watermark has passed its end."""
     run_append(daily_mean_stream(readings, delay, value), checkpoint, path)
+
+
+def stream_daily_mean_open(
+    readings: DataFrame, table: str, checkpoint: str, delay: str = "1 hour", value: str = "pm25"
+) -> None:
+    """Update mode: a day is stored as soon as it has a reading and replaced as it grows."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        stamped = batch.withColumns(
+            {"timestamp": F.col("day").cast("timestamp"), SEQ_COLUMN: F.lit(batch_id).cast("bigint")}
+        )
+        upsert(batch.sparkSession, table, stamped)
+
+    means = daily_mean_stream(readings, delay, value)
+    _drain(means.writeStream.outputMode("update").foreachBatch(handle), checkpoint)
+
+
+def stream_backfill(
+    measurements: DataFrame, table: str, processed_path: str, checkpoint: str
+) -> None:
+    """Measurement files (``city, day, value``) to daily feature rows, resumed by the checkpoint.
+
+    Each micro-batch backfills the days it brings. A day belongs to one delivery: one that is
+    done is skipped when more of it arrives.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        path = scratch_path(spark, "measurements")
+        batch.write.parquet(path)
+        rows = spark.read.schema(batch.schema).parquet(path)
+        backfill(spark, rows, rows.select("day").distinct(), table, processed_path, seq=batch_id)
+        remove(spark, path)
+
+    run_batches(measurements, checkpoint, handle)
