@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from zephyrine.registry import (  # noqa: F401
+    checks,
     expressions,
     jobs,
     models,

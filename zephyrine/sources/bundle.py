@@ -51,9 +51,26 @@ def save_model_bundle(spark: SparkSession, bundle: ModelBundle, path: str) -> No
 
 
 def load_model_bundle(spark: SparkSession, path: str) -> ModelBundle:
+    """The stored bundle; fails if its model does not score its own input schema."""
     row = spark.read.parquet(os.path.join(path, "metadata")).first()
     model = DefaultParamsReader.loadParamsInstance(os.path.join(path, "model"), spark)
-    return ModelBundle(model=model, **row.asDict())
+    bundle = ModelBundle(model=model, **row.asDict())
+    check_bundle(bundle)
+    return bundle
+
+
+def check_bundle(bundle: ModelBundle) -> None:
+    """Names, preparation and model width must agree, before anything is scored."""
+    if not bundle.features or len(set(bundle.features)) != len(bundle.features):
+        raise ValueError(f"bundle {bundle.name}: inputs are missing or repeated")
+    for part in ("medians", "means", "deviations"):
+        known = getattr(bundle, part)
+        absent = [f for f in bundle.features if f not in known]
+        if known and absent:
+            raise ValueError(f"bundle {bundle.name}: no {part} for {absent}")
+    width = getattr(bundle.model, "numFeatures", -1)
+    if width >= 0 and width != len(bundle.features):
+        raise ValueError(f"bundle {bundle.name}: the model takes {width} inputs, not {len(bundle.features)}")
 
 
 def best_bundle_path(spark: SparkSession, paths: list[str]) -> str:
