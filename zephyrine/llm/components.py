@@ -42,10 +42,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``(node, component)`` of every node with an edge; component is the smallest node.
+    """``(node, component)`` of every node with an edge to a smaller component.
+
+    ``component`` is the smallest node reachable; that node itself has no row.
 
     Edges may repeat, point both ways or join a node to itself; rows with a NULL end are no
-    edges. A node whose only edge joins it to itself has no row. Written once per round, so
+    edges. Written once per round, so
     a lost executor costs one round at most.
     """
     current = written(

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from zephyrine.llm.common import hashed_sample, small_batches, spare_name, written
 
@@ -213,7 +214,7 @@ def score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     small_batches(spark)
     shared = spark.sparkContext.broadcast(machine)
     kept = [F.col(f"`{c}`") for c in docs.columns]
-    types = docs.schema.add(name, "double")
+    types = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from zephyrine.llm.common import hashed_sample, small_batches, spare_name, written
 
@@ -324,7 +325,7 @@ def score(docs: DataFrame, scorer: Scorer, name: str = "score") -> DataFrame:
     shared = spark.sparkContext.broadcast(scorer)
     kept = [F.col(f"`{c}`") for c in docs.columns]
     text = spare_name(docs, "text_to_score")
-    types = docs.schema.add(name, "double")
+    types = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
