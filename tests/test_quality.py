@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import day, series
+from zephyrine.operators import ranking
 from zephyrine.operators.profiling import (
     backfill_summary,
     describe_column,
@@ -160,6 +161,13 @@ def test_time_split_is_disjoint_and_complete(spark):
     assert train.unionByName(test).exceptAll(rows).count() == 0
 
 
+def test_many_cities_are_split_without_a_broadcast(spark, monkeypatch):
+    rows = series(spark, [1.0] * 10).unionByName(series(spark, [1.0] * 4, "town"))
+    plain = [sorted(map(tuple, part.collect())) for part in time_split(rows, 2, per_city=True)]
+    monkeypatch.setattr(ranking, "BROADCAST_CITIES", 0)
+    assert [sorted(map(tuple, part.collect())) for part in time_split(rows, 2, per_city=True)] == plain
+
+
 def test_time_split_per_city_uses_each_citys_end(spark):
     rows = series(spark, [1.0] * 20, "a").unionByName(series(spark, [1.0] * 5, "b"))
     train, test = time_split(rows, 2, per_city=True)

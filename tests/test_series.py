@@ -149,6 +149,19 @@ def test_calendar_lag_ignores_missing_days(spark):
     assert [r["aqi_calendar_lag_1d"] for r in got] == [None, 1.0, None, 4.0]
 
 
+def test_calendar_lag_across_midnight_equals_a_scan(spark):
+    rng = random.Random(8)
+    hours = sorted(rng.sample(range(24 * 12), 120))
+    rows = spark.createDataFrame([("a", day(h // 24, h % 24), float(h)) for h in hours], "city STRING, timestamp TIMESTAMP, aqi DOUBLE")
+    for days in (1, 3):
+        got = {r["aqi"]: r["lag"] for r in calendar_lag(rows, days, name="lag").collect()}
+        for h in hours:
+            seen = [x for x in hours if h - 24 * (days + 1) < x <= h - 24 * days]
+            assert got[float(h)] == (float(seen[-1]) if seen else None)
+    with pytest.raises(ValueError, match="one day"):
+        calendar_lag(rows, 0)
+
+
 def test_latest_inference_row_needs_72_rows_of_history(spark):
     rows = series(spark, [float(v) for v in range(80)], "long").unionByName(
         series(spark, [1.0] * 72, "short")

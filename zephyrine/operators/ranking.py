@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zephyrine.session import scratch_path
+
 
 def sort_by_time(df: DataFrame, order: Sequence[str] = ("timestamp",)) -> DataFrame:
     """Global order, for output only: operators order inside their own windows."""
@@ -43,6 +45,24 @@ def rank_models(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("rank", F.row_number().over(best_first)).orderBy("rank")
 
 
+# Cities (about 40 bytes each) whose cutoffs may be broadcast, and parts a city is cut into
+# beyond that, so that a hot one does not meet its cutoff in a single task.
+BROADCAST_CITIES = 500_000
+CITY_PARTS = 64
+
+
+def _with_cutoffs(df: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """Adds each city's ``_cutoff`` without gathering the rows of a city."""
+    path = scratch_path(df.sparkSession, "cutoffs")
+    cutoffs.write.parquet(path)
+    stored = df.sparkSession.read.schema(cutoffs.schema).parquet(path)
+    if stored.count() <= BROADCAST_CITIES:
+        return df.join(F.broadcast(stored), "city")
+    parts = stored.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(CITY_PARTS - 1))))
+    dealt = df.withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.lit(CITY_PARTS)).cast("int"))
+    return dealt.join(parts, ["city", "_part"]).drop("_part")
+
+
 def time_split(
     df: DataFrame, days: int = 365, time_column: str = "timestamp", per_city: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -53,7 +73,7 @@ def time_split(
     back = F.expr(f"INTERVAL {int(days)} DAYS")
     if per_city:
         cutoffs = df.groupBy("city").agg((F.max(time_column) - back).alias("_cutoff"))
-        marked = df.join(cutoffs, "city")
+        marked = _with_cutoffs(df, cutoffs)
         train = marked.filter(F.col(time_column) <= F.col("_cutoff"))
         test = marked.filter(F.col(time_column) > F.col("_cutoff"))
         return train.drop("_cutoff"), test.drop("_cutoff")

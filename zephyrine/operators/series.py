@@ -211,11 +211,23 @@ def calendar_lag(
     """Index of the last reading in the 24 hours that end ``days`` days before each row.
 
     For tables mixing hourly and daily rows, where a row shift is not a time shift.
-    Timestamps must be unique within a series.
+    Timestamps must be unique within a series. The window runs per series and calendar day:
+    a day's rows meet only the readings of the two days their frames reach into, so a series
+    of any length spreads over its days.
     """
+    if days < 1:
+        raise ValueError("a calendar lag goes back one day at least")
+    name = name or f"aqi_calendar_lag_{days}d"
+    micros = 86_400_000_000
     seconds = F.unix_micros(F.col(time_column))
-    day = 86_400_000_000
-    frame = Window.partitionBy(*keys).orderBy(seconds).rangeBetween(
-        -(days + 1) * day + 1, -days * day
+    day = F.floor(seconds / F.lit(micros)).cast("bigint")
+    own = df.withColumns({"_day": day, "_home": F.lit(True)})
+    reached = df.select(*keys, time_column, "aqi").withColumn(
+        "_day", F.explode(F.array(day + days, day + days + 1))
     )
-    return df.withColumn(name or f"aqi_calendar_lag_{days}d", F.last("aqi").over(frame))
+    both = own.unionByName(reached.withColumn("_home", F.lit(False)), allowMissingColumns=True)
+    frame = Window.partitionBy(*keys, "_day").orderBy(F.unix_micros(F.col(time_column))).rangeBetween(
+        -(days + 1) * micros + 1, -days * micros
+    )
+    lagged = both.withColumn(name, F.last("aqi").over(frame))
+    return lagged.filter("_home").select(*df.columns, name)

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 
 _OWN_SCRATCH = "zephyrine.scratch.dir"
+# Scratch folders this process removes at its end.
+_FOLDERS: set[str] = set()
 
 
 def build_session(app: str = "zephyrine", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,5 +55,19 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path for one written table or one stream checkpoint."""
-    return os.path.join(scratch_root(spark), "zephyrine", f"{label}-{uuid.uuid4().hex}")
+    """A new, unused path for one written table or one stream checkpoint.
+
+    It lies in a folder of this application, which is removed when the application ends.
+    """
+    folder = os.path.join(scratch_root(spark), "zephyrine", spark.sparkContext.applicationId)
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove_folder, spark._jvm, spark._jsc.hadoopConfiguration(), folder)
+    return os.path.join(folder, f"{label}-{uuid.uuid4().hex}")
+
+
+def _remove_folder(jvm, conf, folder: str) -> None:
+    """Deletes the application's written tables; its JVM may already be gone."""
+    with contextlib.suppress(Py4JError, OSError):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
