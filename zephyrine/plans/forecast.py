@@ -10,6 +10,7 @@ from zephyrine.operators.reporting import alerts, max_horizon_aqi
 from zephyrine.operators.scoring import bundle_predictor, recursive_forecast, score_batch
 from zephyrine.operators.ranking import last_n_per_key
 from zephyrine.operators.series import DAILY_LAGS, add_daily_lag_features, latest_inference_rows
+from zephyrine.session import scratch_path
 from zephyrine.sources.bundle import ModelBundle
 from zephyrine.sources.tables import latest_rows
 
@@ -33,8 +34,14 @@ def forecast_with_alerts(
     order: Sequence[str] = ("timestamp",),
     advance: str = "hold",
 ) -> tuple[DataFrame, DataFrame]:
-    """(three forecast rows per series, one alert row per series)."""
-    latest = latest_feature_rows(features, keys, order)
+    """(three forecast rows per series, one alert row per series).
+
+    The latest rows, one per series, are written once: forecast and alerts both read them.
+    """
+    spark = features.sparkSession
+    path = scratch_path(spark, "latest")
+    latest_feature_rows(features, keys, order).write.parquet(path)
+    latest = spark.read.parquet(path)
     forecast = recursive_forecast(latest, bundle_predictor(bundle), keys, advance=advance)
     return forecast, alerts(max_horizon_aqi(latest, forecast, keys), keys)
 

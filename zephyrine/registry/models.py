@@ -245,7 +245,7 @@ def _consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _today_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = latest_daily(spark, sf_dir)
+    latest = spark.read.parquet(written(latest_daily(spark, sf_dir), "latest"))
     return today_plus_forecast(latest, fixed_forecast(latest), STATION)
 
 
@@ -261,7 +261,7 @@ def _today_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _horizon_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = latest_daily(spark, sf_dir)
+    latest = spark.read.parquet(written(latest_daily(spark, sf_dir), "latest"))
     peaks = max_horizon_aqi(latest, fixed_forecast(latest), STATION)
     return alerts(peaks, STATION).drop("message")
 
