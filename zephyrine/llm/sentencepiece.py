@@ -16,6 +16,7 @@ word begins: short documents and the inside of chunks are encoded word by word.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -37,42 +38,72 @@ FAN = 64
 REMEMBERED = 400_000
 SHORT = 64
 
-_UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_PLAIN_UNITS = f"{MARK}*[^{MARK}]+|{MARK}+"
+_UNITS = f"{MARK}*[{_LETTERS}]+|{MARK}*[^{MARK}{_LETTERS}]+|{MARK}+"
+# A piece in which letters meet other characters than marks in front of them.
+_MIXED = re.compile(f"[{_LETTERS}][^{_LETTERS}]|[^{MARK}{_LETTERS}][{_LETTERS}]")
 _CUT = re.compile(f"(?<=[^{MARK}]){MARK}")
 _UNREACHED = object()
 
 
+class _Words(dict):
+    """Packed ids of short words, filled on demand and emptied when it holds many."""
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> bytes:
+        pieces = self.pieces
+        if len(word) > SHORT:
+            return pieces.packed(pieces.trace(word, 0, len(word), None))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = pieces.packed(pieces.merge(word))
+        return found
+
+
 @dataclass
 class Pieces:
-    """The vocabulary of a byte-pair model and the two ways to encode with it."""
+    """The vocabulary of a byte-pair model and the two ways to encode with it.
+
+    ``ranks`` orders pieces by score, the best first; equal scores share a rank.
+    """
 
     ids: dict[str, int]
-    scores: dict[str, float]
+    ranks: dict[str, int]
     bytes_from: int
     texts: list[bytes]
     longest: int = 0
-    words: dict[str, bytes] = field(default_factory=dict)
+    units: str = _PLAIN_UNITS
+    words: _Words | None = None
     neighbours: dict[tuple[str, str], bool] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.ids), default=1)
+        if not any(map(_MIXED.search, self.ids)):  # then paths also meet where a word ends
+            self.units = _UNITS
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "words": {}, "neighbours": {}}
+        return {**self.__dict__, "words": None, "neighbours": {}}
 
     def merge(self, text: str) -> list[str]:
-        """Merges the best-scored neighbours, the leftmost of equal ones, until none is a piece."""
+        """Merges the best neighbours, the leftmost of equal ones, until none is a piece."""
         parts = list(text)
-        scores = self.scores
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                score = scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
+        rank, none = self.ranks.get, len(self.ranks)
+        ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            at = ranks.index(best)
+            parts[at] += parts.pop(at + 1)
+            ranks.pop(at)
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], none)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], none)
         return parts
 
     def stand(self, left: str | None, right: str) -> bool:
@@ -119,22 +150,13 @@ class Pieces:
                 numbers += [self.bytes_from + b for b in piece.encode("utf-8", "surrogatepass")]
             else:
                 numbers.append(known)
-        return np.array(numbers, np.int32).tobytes()
+        return array("i", numbers).tobytes()
 
     def encode_words(self, text: str) -> bytes:
         """Ids of marked text that begins and ends where paths meet."""
-        words, found = self.words, []
-        for unit in _UNITS.findall(text):
-            known = words.get(unit)
-            if known is None:
-                if len(unit) > SHORT:
-                    known = self.packed(self.trace(unit, 0, len(unit), None))
-                else:
-                    if len(words) >= REMEMBERED:
-                        words.clear()
-                    known = words[unit] = self.packed(self.merge(unit))
-            found.append(known)
-        return b"".join(found)
+        if self.words is None:
+            self.words = _Words(self)
+        return b"".join(map(self.words.__getitem__, re.findall(self.units, text)))
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode_words(marked(text)), np.int32)
@@ -143,8 +165,7 @@ class Pieces:
         """The text of ids; byte pieces that are no UTF-8 become replacement characters."""
         if ids is None:
             return None
-        texts = self.texts
-        joined = b"".join([texts[i] for i in ids])
+        joined = b"".join(map(self.texts.__getitem__, ids))
         return joined.removeprefix(b" ").decode("utf-8", "replace")
 
 
@@ -158,7 +179,8 @@ def load_pieces(path: str = MODEL) -> Pieces:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    ids, scores, texts = {}, {}, []
+    ids, texts = {}, []
+    scores: dict[str, float] = {}
     bytes_from = -1
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
@@ -173,7 +195,8 @@ def load_pieces(path: str = MODEL) -> Pieces:
             texts.append(piece.replace(MARK, " ").encode())
     if bytes_from < 0:
         raise ValueError(f"{path} has no byte pieces")
-    return Pieces(ids, scores, bytes_from, texts)
+    places = {score: k for k, score in enumerate(sorted(set(scores.values()), reverse=True))}
+    return Pieces(ids, {p: places[score] for p, score in scores.items()}, bytes_from, texts)
 
 
 @dataclass(frozen=True)
@@ -477,7 +500,12 @@ def decode(tokens: DataFrame, pieces: Pieces, keep: Iterable[str] = ("doc_id",))
 
     def decode_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [shared.value.decode(ids) for ids in batch.column(0).to_pylist()]
+            lists = batch.column(0)
+            numbers, ends = lists.flatten().to_numpy(), lists.value_lengths().fill_null(0).to_numpy().cumsum()
+            texts = [
+                shared.value.decode(numbers[begin:end].tolist() if known else None)
+                for begin, end, known in zip([0, *ends[:-1]], ends, lists.is_valid().to_pylist())
+            ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()), *batch.columns[1:]], ["text", *keep]
             )
