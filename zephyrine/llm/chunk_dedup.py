@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zephyrine.llm.common import small_batches, small_side, spare_name, written
+from zephyrine.llm.common import small_batches, spare_name, written
 
 # Mean distance of natural ends, and the shortest and longest chunk, in bytes.
 MEAN, LEAST, MOST = 24, 8, 256
@@ -120,7 +120,8 @@ def copied_chunks(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     halves = _chunks(docs, True).groupBy("d1").agg(F.count("*").alias("n"))
     twice = written(halves.filter("n > 1").select("d1"), "digests")
-    copies = written(_chunks(docs, False).join(small_side(twice), "d1", "left_semi"), "chunks")
+    # Both sides are shuffled at any size: the digests seen twice grow with the input.
+    copies = written(_chunks(docs, False).join(twice.hint("merge"), "d1", "left_semi"), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "start")
     first = copies.groupBy("d1", "d2").agg(F.min(place).alias("first"))
     first = first.select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "first")
