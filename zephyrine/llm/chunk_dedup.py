@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from zephyrine.llm.common import small_batches, spare_name, written
 
 # Mean distance of natural ends, and the shortest and longest chunk, in bytes.
-MEAN, LEAST, MOST = 24, 8, 256
+MEAN, LEAST, MOST = 24, 8, 64
 # A span of copied chunks counts from this many bytes.
 SPAN_BYTES = 100
 
