@@ -23,8 +23,8 @@ from zephyrine.llm.common import discard, written
 BINS = 1_024
 # Rows numbered together; a shard is numbered in as many blocks as it needs.
 BLOCK_ROWS = 100_000
-# Leaves the driver keeps histograms for.
-MOST_LEAVES = 4_096
+# Leaves whose cuts (about 40 bytes each) are broadcast.
+MOST_LEAVES = 100_000
 
 _TIES = ("text_bin", "row_bin")
 
@@ -68,8 +68,12 @@ def document_rows(docs: DataFrame) -> DataFrame:
     texts = rows.groupBy("text_hash", "size").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "lang", "source")).alias("first")
     )
-    texts = texts.select(
-        F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), "first.lang", "first.source"
+    # Written, so that Spark can split the rows of a hot text over tasks in the join.
+    texts = written(
+        texts.select(
+            F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), "first.lang", "first.source"
+        ),
+        "texts",
     )
     same = (F.col("text_hash") == F.col("_hash")) & (F.col("size") == F.col("_size"))
     return rows.drop("lang", "source").join(texts, same).select(
@@ -107,9 +111,9 @@ def _with_cuts(rows: DataFrame, nodes: list[_Node], dimensions: int) -> DataFram
     depth = len(nodes[0].cut)
     columns = {"cut_node": [n.number for n in nodes], "d": [n.dimension for n in nodes]}
     columns |= {f"c{i}": [n.cut[i] for n in nodes] for i in range(depth)}
-    cuts = rows.sparkSession.createDataFrame(pa.table(columns))
+    cuts = _small_table(rows, **columns)
     every = F.array(*[F.col(f"b{d}") for d in range(dimensions)])
-    joined = rows.join(F.broadcast(cuts), F.col("node") == F.col("cut_node"), "left")
+    joined = rows.join(cuts, F.col("node") == F.col("cut_node"), "left")
     return joined.withColumn("place", F.get(every, F.col("d"))).drop("cut_node", "d")
 
 
@@ -125,61 +129,78 @@ def _step(rows: DataFrame, nodes: list[_Node], dimensions: int) -> DataFrame:
     return _with_cuts(rows, nodes, dimensions).withColumn("node", child).select(*rows.columns)
 
 
-def _crossing(bins: dict[int, int], target: float) -> tuple[int, int]:
-    """The bin in which the running weight passes the target, and the weight before it."""
-    before = 0
-    last = 0
-    for at in sorted(bins):
-        last = at
-        if before + bins[at] > target:
-            return at, before
-        before += bins[at]
-    return last + 1, before
+def _running(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Per bin ``at`` its weight, the weight before it and that of all bins of the group."""
+    counted = rows.groupBy(*by, "at").agg(F.sum("size").alias("weight"))
+    whole = Window.partitionBy(*by)
+    before = F.sum("weight").over(whole.orderBy("at")) - F.col("weight")
+    return counted.select(
+        *by, "at", "weight", before.alias("before"), F.sum("weight").over(whole).alias("total")
+    )
 
 
-def _width(bins: dict[int, int]) -> int:
-    """Bins between the 5 % and 95 % points of the weight."""
-    total = sum(bins.values())
-    return _crossing(bins, 0.95 * total)[0] - _crossing(bins, 0.05 * total)[0]
+def _passed(goal: Column, *more: str) -> Column:
+    """Aggregate: the first bin in which the running weight passes the goal."""
+    passed = F.col("before") + F.col("weight") > goal
+    return F.min(F.when(passed, F.struct("at", *more)))
 
 
-def _histograms(rows: DataFrame, key: Column) -> dict[int, dict[tuple, int]]:
-    found: dict[int, dict[tuple, int]] = {}
-    counted = rows.groupBy("node", key.alias("key")).agg(F.sum("size").alias("weight"))
-    for row in counted.collect():  # nodes x dimensions x bins at most
-        found.setdefault(row["node"], {})[tuple(row["key"])] = row["weight"]
-    return found
+def _small_table(rows: DataFrame, **columns: list) -> DataFrame:
+    """A broadcast of one row per node; there are fewer nodes than leaves."""
+    return F.broadcast(rows.sparkSession.createDataFrame(pa.table(columns)))
 
 
 def _level(rows: DataFrame, nodes: list[_Node], dimensions: int) -> list[_Node]:
-    """Finds the cuts of all nodes of a level; nodes without rows are cut anywhere."""
-    every = F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"b{d}").alias("at")) for d in range(dimensions)])
-    spread = rows.select("node", "size", F.explode(every).alias("place"))
-    found = _histograms(spread, F.struct("place.d", "place.at"))
-    left_of: dict[int, float] = {}
+    """Finds the cuts of all nodes of a level; nodes without rows are cut anywhere.
+
+    Histograms stay in Spark, one row per node comes back.
+    """
+    by_number = {n.number: n for n in nodes}
+    left = {n.number: 0.0 for n in nodes}
     for node in nodes:
-        bins = [{at: w for (d, at), w in found.get(node.number, {}).items() if d == k} for k in range(dimensions)]
-        node.dimension = max(range(dimensions), key=lambda k: (_width(bins[k]) if bins[k] else 0, -k))
-        chosen = bins[node.dimension]
-        target = sum(chosen.values()) * (node.leaves // 2) / node.leaves
-        at, before = _crossing(chosen, target)
-        node.cut = (at,)
-        left_of[node.number] = target - before
+        node.dimension, node.cut = 0, (0,)
+    every = F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"b{d}").alias("at")) for d in range(dimensions)])
+    spread = rows.select("node", "size", F.inline(every))
+    shares = _small_table(
+        rows, node=[n.number for n in nodes], share=[(n.leaves // 2) / n.leaves for n in nodes]
+    )
+    total = F.col("total")
+    each = _running(spread, ["node", "d"]).join(shares, "node").groupBy("node", "d").agg(
+        _passed(0.05 * total).alias("low"),
+        _passed(0.95 * total).alias("high"),
+        _passed(total * F.col("share"), "before").alias("cut"),
+        F.first(total * F.col("share")).alias("goal"),
+    )
+    # The widest dimension between its 5 % and 95 % points, the first of equal ones.
+    width = (F.col("high.at") - F.col("low.at")).alias("width")
+    widest = each.groupBy("node").agg(
+        F.max(F.struct(width, (-F.col("d")).alias("d"), "cut", "goal")).alias("best")
+    )
+    for row in widest.select("node", "best.*").collect():
+        node = by_number[row["node"]]
+        node.dimension, node.cut = -row["d"], (row["cut"]["at"],)
+        left[node.number] = row["goal"] - row["cut"]["before"]
     for depth, tie in enumerate(_TIES):
         on_cut = F.col("place") == F.col("c0")
         for i in range(depth):
             on_cut = on_cut & (F.col(_TIES[i]) == F.col(f"c{i + 1}"))
-        here = _with_cuts(rows, nodes, dimensions).filter(on_cut)
-        found = _histograms(here, F.struct(F.col(tie).alias("at")))
+        here = _with_cuts(rows, nodes, dimensions).filter(on_cut).select("node", "size", F.col(tie).alias("at"))
+        goals = _small_table(rows, node=list(left), goal=list(left.values()))
+        told = _running(here, ["node"]).join(goals, "node").groupBy("node").agg(
+            _passed(F.col("goal"), "before", "weight").alias("cut"),
+            F.max("at").alias("last"),
+            F.first("total").alias("total"),
+        )
+        found = {row["node"]: row for row in told.collect()}
         for node in nodes:
-            bins = {at: w for (at,), w in found.get(node.number, {}).items()}
-            at, before = _crossing(bins, left_of[node.number]) if bins else (0, 0)
-            left = left_of[node.number] - before
+            at, before, weight = 0, 0, 0
+            if row := found.get(node.number):
+                at, before, weight = row["cut"] or (row["last"] + 1, row["total"], 0)
+            left[node.number] -= before
             # The last cut falls between bins: take the nearer side.
-            if depth == len(_TIES) - 1 and left > bins.get(at, 0) / 2:
+            if depth == len(_TIES) - 1 and left[node.number] > weight / 2:
                 at += 1
             node.cut += (at,)
-            left_of[node.number] = left
     return nodes
 
 
