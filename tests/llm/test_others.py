@@ -399,3 +399,18 @@ def test_pipeline_of_nothing_and_of_odd_rows(spark, tmp_path):
         spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT").write.parquet(f"{path}/labels.parquet")
         spark.createDataFrame([], "item_id BIGINT, text STRING").write.parquet(f"{path}/benchmark.parquet")
         assert corpus_pipeline.run(spark, path).count() == (0 if not texts else len(set(map(bool, texts))) + 7)
+
+
+def test_copies_of_a_toxic_text_teach_nothing_new(spark):
+    rng = random.Random(12)
+    copied = words(rng, 80) + " rareword anotherone"
+    texts = [words(rng, 60) + (" moron " if i % 5 == 0 else " ") + words(rng, 3) for i in range(200)]
+    near = []
+    for i in range(40):
+        split = (copied + " moron").split()
+        split[rng.randrange(78)] = f"w{i}"
+        near.append(" ".join(split))
+    labels = [(i, int(i % 5 == 0)) for i in range(200)] + [(200 + i, 1) for i in range(40)]
+    frame = spark.createDataFrame(labels, "doc_id BIGINT, toxic INT")
+    scorer = toxicity.fit(documents(spark, texts + near), frame)
+    assert scorer.score("a moron") > 0.5 and scorer.score("rareword anotherone") < 0.5

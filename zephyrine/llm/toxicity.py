@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -56,6 +57,8 @@ _PUNCTUATION = "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~«»“”„…"
 _FRONT = _PUNCTUATION.replace("!", "").replace("|", "")
 # Beginnings of words, in characters, that are weighed besides whole words.
 BEGINNINGS = range(3, 9)
+# Odd factors that put hashes in different orders.
+_ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 # Share of toxic documents from which a beginning of telling words tells by itself.
 PURE = 0.9
 
@@ -239,6 +242,34 @@ def _surprising(rows: pd.DataFrame, rate: float) -> pd.DataFrame:
     return rows[(k > n * rate) & (ratio >= math.log(max(len(rows), 1)) + 3)]
 
 
+def signatures(text: str | None) -> list[int]:
+    """Three numbers of which near copies share at least one, nearly always: for each of three
+    orders of the hashes of word triples the smallest one."""
+    words = (text or "").lower().encode("utf-8", "surrogatepass").split()
+    triples = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = np.array([xxhash.xxh64_intdigest(t) for t in triples], np.uint64)
+    return [int((hashes * np.uint64(k)).min() >> np.uint64(1)) for k in _ORDERS]
+
+
+def _without_copies(chosen: DataFrame) -> DataFrame:
+    """One row of those that share a signature: copies are no evidence of their own."""
+
+    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [signatures(t) for t in batch.column(1).to_pylist()]
+            columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(len(_ORDERS))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
+
+    marks = [f"s{i}" for i in range(len(_ORDERS))]
+    names = ["doc_id", "text", "toxic", *marks]
+    rows = chosen.select(F.col("doc_id").cast("bigint"), "text", F.col("toxic").cast("int")).mapInArrow(
+        sign, "doc_id bigint, text string, toxic int, " + ", ".join(f"{m} bigint" for m in marks)
+    )
+    for mark in marks:
+        rows = rows.groupBy(mark).agg(F.min_by(F.struct(*names), "doc_id").alias("row")).select("row.*")
+    return rows.drop(*marks)
+
+
 def _counted(chosen: DataFrame, model, left_out) -> pd.DataFrame:
     """Documents and toxic documents per feature; words in ``left_out`` are passed over.
 
@@ -280,7 +311,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Scorer
     """Counts the language model over ``docs`` and learns weights from ``labels``.
 
     ``labels`` has ``doc_id`` and ``toxic``; about ``sample`` ids drawn by hash are used, an id
-    labelled twice counts as its larger label. A weight is the share of toxic documents among
+    labelled twice counts as its larger label. Of near copies one is counted, since a toxic
+    text that is copied would make all its words telling. A weight is the share of toxic documents among
     those with the feature. Telling words are found first; a beginning is weighed by the
     other words that have it, and by telling words only if there are no others. Without
     labels of both kinds all scores are the base rate.
@@ -293,7 +325,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Scorer
         "labels",
     )
     drawn = hashed_sample(known, "doc_id", known.count(), sample)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # ``sample`` rows
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # ``sample`` rows
+    chosen = written(_without_copies(found), "sample")
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(model)
 
