@@ -124,7 +124,8 @@ def copied_chunks(docs: DataFrame) -> DataFrame:
     copies = written(_chunks(docs, False).join(twice.hint("merge"), "d1", "left_semi"), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "start")
     first = copies.groupBy("d1", "d2").agg(F.min(place).alias("first"))
-    first = first.select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "first")
+    # Written, so that Spark can split the rows of a hot digest over tasks in the join.
+    first = written(first.select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "first"), "firsts")
     return (
         copies.withColumn("place", place)
         .join(first, (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")))

@@ -203,8 +203,12 @@ def _groups(docs: DataFrame, words: int, reach: int, leaf_rows: int = LEAF_ROWS)
     points = written(marked.select("fp").distinct(), "points")
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     roots = connected_components(fingerprint_links(points, reach, leaf_rows))
-    rooted = points.join(roots, F.col("fp") == F.col("node"), "left").select(
-        F.col("fp").alias("point"), F.coalesce("component", "fp").alias("root")
+    # Written, so that Spark can split the rows of a hot fingerprint over tasks in the join.
+    rooted = written(
+        points.join(roots, F.col("fp") == F.col("node"), "left").select(
+            F.col("fp").alias("point"), F.coalesce("component", "fp").alias("root")
+        ),
+        "roots",
     )
     return marked.join(rooted, F.col("fp") == F.col("point")).drop("point")
 
@@ -220,7 +224,7 @@ def near_duplicates(
     and get the smallest id they reach, or NULL if there is none. Repeated rows stay.
     """
     found = written(_groups(docs, words, reach, leaf_rows), "groups")
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = written(found.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     return found.join(least, "root").select("doc_id", "text_hash", "fp", "component_id")
 
 
