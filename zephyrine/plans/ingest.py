@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zephyrine.functions.calendar import noon_stamp
 from zephyrine.functions.index import pm25_to_aqi
+from zephyrine.functions.numeric import half_even
 from zephyrine.operators.joins import (
     climatology_join,
     combine_sources,
@@ -25,8 +26,11 @@ from zephyrine.sources.payloads import (
     read_payload_lines,
 )
 from zephyrine.sources.store import (
+    DATE_COLUMN,
     SEQ_COLUMN,
     load_processed_dates,
+    read_table,
+    remove,
     save_processed_dates,
     upsert,
 )
@@ -169,9 +173,66 @@ def backfill(
     pending = status.filter("status <> 'skipped'").select("city", "day")
     if not dry_run and not pending.isEmpty():
         wanted = measurements.join(pending, ["city", "day"], "left_semi")
-        daily = daily_pm25_mean(wanted).withColumn("timestamp", F.col("day").cast("timestamp"))
-        rows = daily_readings(daily).drop("midnight", "day")
-        rows = rows.withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint"))
-        store_features(spark, table, rows, F.date_trunc("day", F.col("timestamp")))
+        store_daily(spark, daily_pm25_mean(wanted), table, seq)
         save_processed_dates(pending, processed_path)
     return summary
+
+
+def store_daily(spark: SparkSession, daily: DataFrame, table: str, seq: int) -> None:
+    """Daily ``city, day, pm25, aqi`` as feature rows into the table."""
+    rows = daily_readings(daily.withColumn("timestamp", F.col("day").cast("timestamp")))
+    rows = rows.drop("midnight", "day").withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint"))
+    store_features(spark, table, rows, F.date_trunc("day", F.col("timestamp")))
+
+
+def backfill_delivery(
+    spark: SparkSession, measurements: DataFrame, table: str, processed_path: str, seq: int
+) -> None:
+    """One delivery of measurements (``city, day, value``), merged with those before it.
+
+    Beside the resume set lies one row per city, day and delivery with the sum and count of its
+    valid measurements; the mean of a day comes from all of them, so a day may be cut over any
+    deliveries, and a delivery that runs again replaces its own rows. Only the days a city has
+    rows for are done. Days that another job has put into the resume set are skipped.
+    """
+    sums_path = processed_path.rstrip("/") + "__sums"
+    valid = F.col("value").isNotNull() & (F.col("value") >= 0)
+    delivery, pending = scratch_path(spark, "delivery"), scratch_path(spark, "wanted")
+    measurements.filter("city IS NOT NULL AND day IS NOT NULL").groupBy("city", "day").agg(
+        F.coalesce(F.sum(F.when(valid, F.col("value"))), F.lit(0.0)).alias("total"),
+        F.count(F.when(valid, 1)).alias("n"),
+    ).write.parquet(delivery)
+    arrived = spark.read.parquet(delivery)
+    dates = F.broadcast(arrived.select(F.col("day").alias(DATE_COLUMN)).distinct())  # calendar days
+    done = load_processed_dates(spark, processed_path, by_city=True).select("city", "day")
+    stored = read_table(spark, sums_path)
+    if stored is not None:
+        known = stored.join(dates, DATE_COLUMN, "left_semi")
+        done = done.join(known.select("city", F.col(DATE_COLUMN).alias("day")), ["city", "day"], "left_anti")
+    arrived.join(done, ["city", "day"], "left_anti").write.parquet(pending)
+    wanted = spark.read.schema(arrived.schema).parquet(pending)
+    if not wanted.isEmpty():
+        _merge_delivery(spark, wanted, dates, sums_path, table, seq)
+        save_processed_dates(wanted.select("city", "day"), processed_path)
+    remove(spark, delivery)
+    remove(spark, pending)
+
+
+def _merge_delivery(
+    spark: SparkSession, wanted: DataFrame, dates: DataFrame, sums_path: str, table: str, seq: int
+) -> None:
+    """Stores the delivery's sums and the means of its days over all deliveries."""
+    own = wanted.withColumns(
+        {"timestamp": F.col("day").cast("timestamp"), "delivery": F.lit(seq).cast("bigint")}
+    ).withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint"))
+    sums = upsert(spark, sums_path, own.drop("day"), keys=("city", "timestamp", "delivery"))
+    merged = (
+        sums.join(dates, DATE_COLUMN, "left_semi")
+        .withColumnRenamed(DATE_COLUMN, "day")
+        .join(wanted.select("city", "day"), ["city", "day"], "left_semi")
+        .groupBy("city", "day")
+        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        .filter("n > 0")
+        .select("city", "day", half_even(F.col("total") / F.col("n"), 2).alias("pm25"))
+    )
+    store_daily(spark, merged.withColumn("aqi", pm25_to_aqi(F.col("pm25"))), table, seq)

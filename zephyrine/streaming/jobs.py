@@ -21,7 +21,7 @@ from zephyrine.operators.joins import with_neighbours
 from zephyrine.operators.projection import assemble_feature_rows
 from zephyrine.operators.quality import filter_valid_measurements, ingest_rules, split_valid
 from zephyrine.operators.series import resample_latest
-from zephyrine.plans.ingest import backfill
+from zephyrine.plans.ingest import backfill_delivery
 from zephyrine.session import scratch_path
 from zephyrine.sources.store import SEQ_COLUMN, remove, upsert
 
@@ -202,8 +202,8 @@ def stream_backfill(
 ) -> None:
     """Measurement files (``city, day, value``) to daily feature rows, resumed by the checkpoint.
 
-    Each micro-batch backfills the days it brings. A day belongs to one delivery: one that is
-    done is skipped when more of it arrives.
+    Each micro-batch does the days it has rows for, per city. A day is computed anew from all its
+    delivered measurements when more of it arrives.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -211,7 +211,7 @@ def stream_backfill(
         path = scratch_path(spark, "measurements")
         batch.write.parquet(path)
         rows = spark.read.schema(batch.schema).parquet(path)
-        backfill(spark, rows, rows.select("day").distinct(), table, processed_path, seq=batch_id)
+        backfill_delivery(spark, rows, table, processed_path, seq=batch_id)
         remove(spark, path)
 
     run_batches(measurements, checkpoint, handle)
