@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from zephyrine.session import scratch_path, use_utc
 
@@ -83,6 +84,11 @@ def spare_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def extended(df: DataFrame, more: str) -> StructType:
+    """The frame's schema and the fields of ``more``."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
 def hashed_sample(df: DataFrame, key: str, rows: int, wanted: int) -> DataFrame:
     """About ``wanted`` of ``rows`` rows, chosen by a hash of their key; all if there are fewer.
 

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from zephyrine.llm import (
     chunk_dedup,
     decontaminate,
+    embedding_dedup,
     factorisation,
     line_dedup,
     outliers,
+    ranked_search,
     sentencepiece,
     sharding,
     simhash,
     sql,
     toxicity,
     url_filter,
+    whitening,
 )
 from zephyrine.llm.common import ORACLES, QUERIES, fold, query, table  # noqa: F401
 
@@ -91,3 +94,35 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     machine = factorisation.fit(docs, labels.filter(factorisation.training_fold()))
     return _judged(factorisation.score(docs, machine), 4, 2, 0.7)
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.fixed_point(table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(vectors, components=8)
+    error = whitening.identity_error(whitening.whiten(vectors, model), model)
+    sums = F.array(*[F.lit(s) for s in model.sums]).cast("array<bigint>")
+    away = F.zip_with("x", sums, lambda x, s: F.lit(model.n).cast("bigint") * x - s)
+    deviation = F.aggregate(away, F.lit(0).cast("bigint"), lambda total, a: total + a * a)
+    told = whitening.whiten(vectors.withColumn("deviation", deviation), model, ["vec_id", "deviation"])
+    explained = F.array(*[F.lit(e) for e in model.explained]).cast("array<double>")
+    rows = told.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+@query("op12_embedding_near_duplicates")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_ranked_search", sql.RANKED)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

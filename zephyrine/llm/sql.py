@@ -151,3 +151,28 @@ SELECT page_id, host, path, rule,
     AS verdict, component
 FROM ruled
 """
+
+
+def _terms(text: str) -> str:
+    lowered = _LOWER.format(f"coalesce({text}, '')")
+    return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+RANKED = rf"""
+WITH item AS (
+  SELECT DISTINCT item_id, unnest({_terms('text')}) AS term FROM benchmark),
+doc AS (SELECT doc_id, {_terms('text')} AS terms FROM documents),
+sized AS (SELECT doc_id, terms, CAST(len(terms) AS HUGEINT) AS n FROM doc WHERE len(terms) > 0),
+total AS (SELECT CAST(count(*) AS HUGEINT) AS documents, sum(n) AS length FROM sized),
+one AS (SELECT doc_id, n, unnest(terms) AS term FROM sized),
+tf AS (SELECT doc_id, n, term, CAST(count(*) AS HUGEINT) AS tf FROM one GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+score AS (
+  SELECT item_id, doc_id, sum(
+      CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS HUGEINT)
+      * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // length)))) AS score
+  FROM item JOIN tf USING (term) JOIN df USING (term), total GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM score WHERE score > 0) WHERE rank <= 10
+"""
