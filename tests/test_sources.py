@@ -266,7 +266,7 @@ def test_payloads_that_are_turned_down_are_kept_or_fail(spark, tmp_path):
         ingest_payloads(spark, aqi, weather, table, 1)
     assert ingest_payloads(spark, aqi, weather, table, 1, rejects).count() == 1
     found = sorted((r["source"], r["reason"]) for r in spark.read.parquet(rejects).collect())
-    assert found == [("reading", "outside the ingest rules"), ("weather", "missing wind_speed")]
+    assert found == [("aqi", "outside the ingest rules"), ("weather", "missing wind_speed")]
 
 
 def test_predictions_are_keyed_by_city_and_time(spark, tmp_path):

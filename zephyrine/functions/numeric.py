@@ -17,6 +17,32 @@ def half_even(value: Column, digits: int) -> Column:
     return F.rint(value * scale) / scale + F.lit(0.0)
 
 
+# Binary places at which a value is split, so that sums of both parts are whole numbers.
+COARSE, FINE = 2.0**20, 2.0**32
+
+
+def exact_parts(value: Column) -> tuple[Column, Column]:
+    """Two whole numbers that make up a value to 52 binary places.
+
+    Sums of them are exact in any order and any grouping: for values under 2**33 in groups of
+    2**30 rows no sum leaves a long.
+    """
+    scaled = value * F.lit(COARSE)
+    coarse = F.floor(scaled)
+    return coarse, F.floor((scaled - coarse) * F.lit(FINE))
+
+
+def joined_parts(coarse: Column, fine: Column) -> Column:
+    """The value of summed parts."""
+    return coarse.cast("double") / F.lit(COARSE) + fine.cast("double") / F.lit(COARSE * FINE)
+
+
+def exact_mean(value: Column) -> Column:
+    """Aggregate: the mean of exact sums, equal whatever the order and grouping of the rows."""
+    coarse, fine = exact_parts(value)
+    return joined_parts(F.sum(coarse), F.sum(fine)) / F.count(value)
+
+
 def nan_to_null(value: Column) -> Column:
     return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zephyrine.functions.calendar import year_month
 from zephyrine.functions.index import pm25_to_aqi
-from zephyrine.functions.numeric import half_even
+from zephyrine.functions.numeric import exact_mean, half_even
 from zephyrine.operators.quality import filter_valid_measurements
 from zephyrine.operators.quantiles import exact_quantiles
 
@@ -17,8 +17,8 @@ from zephyrine.operators.quantiles import exact_quantiles
 def daily_pm25_mean(
     df: DataFrame, keys: Sequence[str] = ("city", "day"), value: str = "value"
 ) -> DataFrame:
-    """Mean of the valid measurements per key, two decimals, and its index."""
-    mean = half_even(F.avg(value), 2)
+    """Mean of the valid measurements per key, two decimals, and its index; exact in any order."""
+    mean = half_even(exact_mean(F.col(value)), 2)
     daily = filter_valid_measurements(df, value).groupBy(*keys).agg(mean.alias("pm25"))
     return daily.withColumn("aqi", pm25_to_aqi(F.col("pm25")))
 

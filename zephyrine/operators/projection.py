@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zephyrine.functions.calendar import time_features
-from zephyrine.functions.numeric import cast_nullable_doubles
+from zephyrine.functions.numeric import cast_nullable_doubles, change_rate
 from zephyrine.functions.weather import interaction_features
 from zephyrine.operators.series import add_change_rate
 from zephyrine.schema import (
@@ -73,13 +73,28 @@ def assemble_feature_rows(
     ``calendar_column`` may differ from the stored ``timestamp``: daily history rows
     are stamped at noon while their calendar features come from midnight.
     """
+    rated = add_change_rate(_with_row_features(df, calendar_column), keys, order, block_rows)
+    return _feature_columns(rated, extra)
+
+
+def feature_rows_beside_previous(
+    df: DataFrame, calendar_column: str = "timestamp", previous: str = "previous_aqi"
+) -> DataFrame:
+    """``assemble_feature_rows`` for rows that carry the index before theirs: no window."""
+    rate = change_rate(F.col("aqi"), F.col(previous))
+    return _feature_columns(_with_row_features(df, calendar_column).withColumn("aqi_change_rate", rate))
+
+
+def _with_row_features(df: DataFrame, calendar_column: str) -> DataFrame:
     absent = [
         c for c in [*POLLUTANT_COLUMNS, *WEATHER_COLUMNS] if c not in df.columns
     ]
     full = df.withColumns({c: F.lit(None).cast("double") for c in absent}) if absent else df
     full = cast_nullable_doubles(full, NULLABLE_DOUBLE_COLUMNS)
-    full = add_interaction_features(add_calendar_features(full, calendar_column))
-    full = add_change_rate(full, keys, order, block_rows)
+    return add_interaction_features(add_calendar_features(full, calendar_column))
+
+
+def _feature_columns(full: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     types = {f.name: f.dataType for f in feature_table_schema().fields}
     return full.select(
         *[F.col(c).cast(types[c]).alias(c) for c in FEATURE_TABLE_COLUMNS], *extra

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zephyrine.functions.calendar import noon_stamp
+from zephyrine.functions.calendar import floor_hour, noon_stamp
 from zephyrine.functions.index import pm25_to_aqi
-from zephyrine.functions.numeric import half_even
+from zephyrine.functions.numeric import exact_parts, half_even, joined_parts
 from zephyrine.operators.joins import (
     climatology_join,
     combine_sources,
@@ -28,19 +28,109 @@ from zephyrine.sources.payloads import (
 from zephyrine.sources.store import (
     DATE_COLUMN,
     SEQ_COLUMN,
+    latest_per_key,
     load_processed_dates,
+    merge_batches,
     read_table,
     remove,
     save_processed_dates,
     upsert,
+    versions,
 )
 from zephyrine.sources.tables import read_feature_table, read_with_fallback
 
 
-def _rejected(df: DataFrame, source: str) -> DataFrame:
+def as_rejected(df: DataFrame, source: str | Column) -> DataFrame:
     """What was turned down, whole as JSON, with its source and reason."""
     row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "reject_reason"]))
-    return df.select(F.lit(source).alias("source"), F.col("reject_reason").alias("reason"), row.alias("row"))
+    named = F.lit(source) if isinstance(source, str) else source
+    return df.select(named.alias("source"), F.col("reject_reason").alias("reason"), row.alias("row"))
+
+
+# How long payloads that have met a partner are kept for newer partners, in days.
+PARTNER_DAYS = 7
+SIDES = ("aqi", "weather")
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hours(payloads: DataFrame) -> DataFrame:
+    hour = floor_hour(F.col("fetched_at"))
+    return payloads.select(F.col("city").alias("_city"), hour.alias("_hour")).distinct()
+
+
+def _of_hours(payloads: DataFrame, hours: DataFrame, how: str) -> DataFrame:
+    hour = floor_hour(F.col("fetched_at"))
+    return payloads.join(hours, (F.col("city") == F.col("_city")) & (hour == F.col("_hour")), how)
+
+
+def _kept_folder(table: str, side: str) -> str:
+    return f"{table.rstrip('/')}__{side}"
+
+
+def _with_kept(spark: SparkSession, payloads: DataFrame, table: str, side: str, seq: int) -> DataFrame:
+    """The payloads of a delivery and those kept from the deliveries before it."""
+    folder = _kept_folder(table, side)
+    older = [v for v in versions(spark, folder) if v < f"v-{seq:012d}"]
+    if not older:
+        return payloads
+    return payloads.unionByName(spark.read.schema(payloads.schema).parquet(f"{folder}/{older[-1]}"))
+
+
+def _keep(payloads: DataFrame, others: DataFrame, table: str, side: str, seq: int) -> None:
+    """Keeps the latest payload per city and hour: alone ones, and those of the last days."""
+    spark = payloads.sparkSession
+    latest = latest_per_key(
+        payloads.withColumn("_at", floor_hour(F.col("fetched_at"))), ["city", "_at"], ["fetched_at", SEQ_COLUMN]
+    )
+    newest = payloads.agg(F.max("fetched_at")).first()[0]
+    since = F.lit(newest) - F.expr(f"INTERVAL {PARTNER_DAYS} DAYS")
+    recent = latest.filter(F.col("_at") >= since)
+    old_and_alone = _of_hours(latest.filter(F.col("_at") < since), _hours(others), "left_anti")
+    folder = _kept_folder(table, side)
+    kept = recent.unionByName(old_and_alone).drop("_at")
+    kept.write.mode("overwrite").parquet(f"{folder}/v-{seq:012d}")
+    for name in versions(spark, folder)[:-2]:  # the last but one serves a run that is repeated
+        remove(spark, f"{folder}/{name}")
+
+
+def payloads_alone(spark: SparkSession, table: str) -> DataFrame | None:
+    """``side, city, hour`` of payloads that wait for a partner, after the last delivery."""
+    found = {}
+    for side in SIDES:
+        folder = _kept_folder(table, side)
+        names = versions(spark, folder)
+        if not names:
+            return None
+        found[side] = _hours(spark.read.parquet(f"{folder}/{names[-1]}"))
+    parts = []
+    for side, other in (SIDES, SIDES[::-1]):
+        alone = found[side].join(found[other], ["_city", "_hour"], "left_anti")
+        parts.append(alone.select(F.lit(side).alias("side"), F.col("_city").alias("city"), F.col("_hour").alias("hour")))
+    return parts[0].unionByName(parts[1])
+
+
+def sifted_payloads(raw_air: DataFrame, raw_weather: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Valid air and valid weather payloads, and ``source, reason, row`` of all others.
+
+    The guard in front of the store is applied to each side, so that the latest valid payload
+    counts. Works on streams, too.
+    """
+    air, bad_air = parse_aqi_payloads(raw_air)
+    weather, bad_weather = parse_weather_payloads(raw_weather)
+    of_weather = {"temperature"}
+    good_air, odd_air = split_valid(air, [r for r in ingest_rules() if r.name not in of_weather])
+    good_weather, odd_weather = split_valid(weather, [r for r in ingest_rules() if r.name in of_weather])
+
+    def named(odd: DataFrame) -> DataFrame:
+        return odd.drop("violations").withColumn("reject_reason", F.lit("outside the ingest rules"))
+
+    refused = [(bad_air, "aqi"), (bad_weather, "weather"), (named(odd_air), "aqi"), (named(odd_weather), "weather")]
+    return good_air, good_weather, merge_batches([as_rejected(df, source) for df, source in refused])
 
 
 def ingest_payloads(
@@ -53,27 +143,34 @@ def ingest_payloads(
 ) -> DataFrame:
     """Payload files of any number of cities and hours to upserted feature rows.
 
-    Unreadable payloads and rows the guard turns down are appended to ``rejects`` (``source,
-    reason, row``); without such a path a single one of them fails the call, since nothing
-    may vanish unseen.
+    A payload without a partner of its city and hour waits beside the table and is matched
+    with later deliveries (``payloads_alone`` shows them); those that met one stay for newer
+    partners for ``PARTNER_DAYS``. ``seq`` must rise from delivery to delivery, a repeated run
+    keeps its number. Of an hour the latest valid payload of either side counts. Unreadable payloads and those the guard turns down are appended to
+    ``rejects`` (``source, reason, row``); without such a path a single one of them fails the
+    call, since nothing may vanish unseen.
     """
-    air, bad_air = parse_aqi_payloads(read_payload_lines(spark, aqi_path, AQI_PAYLOAD_SCHEMA))
-    weather, bad_weather = parse_weather_payloads(
-        read_payload_lines(spark, weather_path, WEATHER_PAYLOAD_SCHEMA)
+    good_air, good_weather, all_refused = sifted_payloads(
+        read_payload_lines(spark, aqi_path, AQI_PAYLOAD_SCHEMA),
+        read_payload_lines(spark, weather_path, WEATHER_PAYLOAD_SCHEMA),
     )
-    readings = combine_sources(air, weather).drop("fetched_at", "weather_desc")
-    valid, turned_down = split_valid(readings, ingest_rules())
-    named = turned_down.withColumn("reject_reason", F.lit("outside the ingest rules"))
-    refused = [_rejected(bad_air, "aqi"), _rejected(bad_weather, "weather"), _rejected(named, "reading")]
-    all_refused = refused[0].unionByName(refused[1]).unionByName(refused[2])
     if rejects is not None:
         all_refused.write.mode("append").parquet(rejects)
     elif not all_refused.isEmpty():
         raise ValueError(f"payloads were turned down: {all_refused.first()}")
-    # Written once: the days, the look-back and the merge all read these rows.
-    path = scratch_path(spark, "readings")
-    valid.drop(SEQ_COLUMN).withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint")).write.parquet(path)
-    return store_features(spark, table, spark.read.parquet(path))
+    # Written once: the match, the days, the look-back and the merge all read these rows.
+    good_air, good_weather = _written(good_air, "air"), _written(good_weather, "weather")
+    every_air = _written(_with_kept(spark, good_air, table, "aqi", seq), "all-air")
+    every_weather = _written(_with_kept(spark, good_weather, table, "weather", seq), "all-weather")
+    touched = _written(_hours(good_air).union(_hours(good_weather)).distinct(), "hours")
+    readings = combine_sources(
+        _of_hours(every_air, touched, "left_semi"), _of_hours(every_weather, touched, "left_semi")
+    ).drop("fetched_at", "weather_desc")
+    stamped = readings.drop(SEQ_COLUMN).withColumn(SEQ_COLUMN, F.lit(seq).cast("bigint"))
+    stored = store_features(spark, table, _written(stamped, "readings"))
+    _keep(every_air, every_weather, table, "aqi", seq)
+    _keep(every_weather, every_air, table, "weather", seq)
+    return stored
 
 
 def store_features(
@@ -190,16 +287,18 @@ def backfill_delivery(
 ) -> None:
     """One delivery of measurements (``city, day, value``), merged with those before it.
 
-    Beside the resume set lies one row per city, day and delivery with the sum and count of its
-    valid measurements; the mean of a day comes from all of them, so a day may be cut over any
+    Beside the resume set lies one row per city, day and delivery with the exact sum and the
+    count of its valid measurements; the mean of a day comes from all of them, so a day may be cut over any
     deliveries, and a delivery that runs again replaces its own rows. Only the days a city has
     rows for are done. Days that another job has put into the resume set are skipped.
     """
     sums_path = processed_path.rstrip("/") + "__sums"
     valid = F.col("value").isNotNull() & (F.col("value") >= 0)
+    coarse, fine = exact_parts(F.col("value"))
     delivery, pending = scratch_path(spark, "delivery"), scratch_path(spark, "wanted")
     measurements.filter("city IS NOT NULL AND day IS NOT NULL").groupBy("city", "day").agg(
-        F.coalesce(F.sum(F.when(valid, F.col("value"))), F.lit(0.0)).alias("total"),
+        F.coalesce(F.sum(F.when(valid, coarse)), F.lit(0)).alias("coarse"),
+        F.coalesce(F.sum(F.when(valid, fine)), F.lit(0)).alias("fine"),
         F.count(F.when(valid, 1)).alias("n"),
     ).write.parquet(delivery)
     arrived = spark.read.parquet(delivery)
@@ -231,7 +330,7 @@ def _merge_delivery(
         .withColumnRenamed(DATE_COLUMN, "day")
         .join(wanted.select("city", "day"), ["city", "day"], "left_semi")
         .groupBy("city", "day")
-        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        .agg(joined_parts(F.sum("coarse"), F.sum("fine")).alias("total"), F.sum("n").alias("n"))
         .filter("n > 0")
         .select("city", "day", half_even(F.col("total") / F.col("n"), 2).alias("pm25"))
     )

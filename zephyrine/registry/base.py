@@ -147,6 +147,15 @@ def sql_r(column: str, digits: int = 6) -> str:
     return f"round_even({column}, {digits}) + 0.0"
 
 
+def sql_exact_mean(column: str) -> str:
+    """Mean from whole-number sums of the two parts of a value, so that no order of adding counts."""
+    scaled = f"({column} * 1048576.0::DOUBLE)"
+    coarse = f"CAST(floor({scaled}) AS HUGEINT)"
+    fine = f"CAST(floor(({scaled} - floor({scaled})) * 4294967296.0::DOUBLE) AS HUGEINT)"
+    total = f"CAST(sum({coarse}) AS DOUBLE) / 1048576 + CAST(sum({fine}) AS DOUBLE) / 4503599627370496"
+    return f"(({total}) / count({column}))"
+
+
 def sql_rounded(columns: Sequence[str]) -> str:
     return ", ".join(f"{sql_r(c)} AS {c}" for c in columns)
 

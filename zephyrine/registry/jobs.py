@@ -15,6 +15,7 @@ from zephyrine.registry.base import (
     sql_aqi,
     sql_calendar,
     sql_change,
+    sql_exact_mean,
     sql_jitter,
     sql_r,
     sql_text,
@@ -28,33 +29,61 @@ from zephyrine.session import scratch_path
 
 ENGINEERED = [*CALENDAR_COLUMNS, *CYCLIC_COLUMNS, *INTERACTION_COLUMNS]
 
+# Accepted payloads: latest valid air and weather per city and hour.
+PAYLOAD_SQL = [
+    """payload AS (SELECT *, date_trunc('hour', ts) AS h,
+    CASE WHEN reading_id % 23 = 0 THEN aqi + 1000 ELSE aqi END AS told_aqi,
+    CASE WHEN reading_id % 29 = 0 THEN -95 ELSE temperature END AS told_temperature FROM readings)""",
+    """air_payload AS (SELECT * FROM payload WHERE reading_id % 17 <> 0 AND told_aqi BETWEEN 0 AND 500)""",
+    """weather_payload AS (SELECT * FROM payload WHERE reading_id % 19 <> 0 AND reading_id % 13 <> 0
+    AND humidity IS NOT NULL AND told_temperature > -90)""",
+    """air AS (SELECT city, h, told_aqi AS aqi, pm10 FROM air_payload
+  QUALIFY row_number() OVER (PARTITION BY city, h ORDER BY ts DESC, reading_id DESC) = 1)""",
+    """weather AS (SELECT city, h, told_temperature AS temperature, humidity, pressure, wind_speed,
+    CASE WHEN reading_id % 4 <> 0 THEN CAST(reading_id % 10000 AS DOUBLE) END AS visibility
+  FROM weather_payload QUALIFY row_number() OVER (PARTITION BY city, h ORDER BY ts DESC, reading_id DESC) = 1)""",
+    "valid AS (SELECT * FROM air JOIN weather USING (city, h))",
+]
 INGEST_SQL = on_readings(
     f"""SELECT city, {sql_text('h')} AS ts, aqi, pm10, temperature, visibility, {sql_calendar('h')},
   {INTERACTION_SQL}, {sql_change('aqi', 'lag(aqi) OVER (PARTITION BY city ORDER BY h)')} AS aqi_change_rate
 FROM valid""",
-    """air AS (SELECT city, date_trunc('hour', ts) AS h, aqi, pm10 FROM readings WHERE reading_id % 17 <> 0
-  QUALIFY row_number() OVER (PARTITION BY city, date_trunc('hour', ts) ORDER BY ts DESC, reading_id DESC) = 1),
-weather AS (SELECT city, date_trunc('hour', ts) AS h, temperature, humidity, pressure, wind_speed,
-    CASE WHEN reading_id % 4 <> 0 THEN CAST(reading_id % 10000 AS DOUBLE) END AS visibility
-  FROM readings WHERE reading_id % 19 <> 0 AND reading_id % 13 <> 0 AND humidity IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY city, date_trunc('hour', ts) ORDER BY ts DESC, reading_id DESC) = 1),
-valid AS (SELECT * FROM air JOIN weather USING (city, h) WHERE aqi BETWEEN 0 AND 500 AND temperature > -90)""",
+    *PAYLOAD_SQL,
 )
+STORED = ["aqi", "pm10", "temperature", "visibility", *ENGINEERED]
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Air and weather payloads, some of them outside the ingest rules."""
+    number = F.col("ingest_seq")
+    air, weather = aqi_payloads(spark, sf_dir), weather_payloads(spark, sf_dir)
+    aqi = F.when(number % 23 == 0, F.col("data.aqi") + 1000).otherwise(F.col("data.aqi"))
+    temp = F.when(number % 29 == 0, F.lit(-95.0)).otherwise(F.col("main.temp"))
+    return (
+        air.withColumn("data", F.col("data").withField("aqi", aqi)),
+        weather.withColumn("main", F.col("main").withField("temp", temp)),
+    )
 
 
-def _deliveries(air: DataFrame, weather: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """Payloads before and from the hour in the middle of their time range."""
-    stamp, hour = F.unix_seconds("fetched_at"), 3600
-    middle = air.agg(F.floor((F.min(stamp) + F.max(stamp)) / (2 * hour)) * hour).first()[0]
-    early = stamp < F.lit(middle)
-    return [(air.filter(part), weather.filter(part)) for part in (early, ~early)]
+def deliveries(air: DataFrame, weather: DataFrame, count: int = 3) -> list[tuple[DataFrame, DataFrame]]:
+    """Payloads cut at equal times inside hours, the weather always twelve hours later than the
+    air: of the hours in between the partners come in different deliveries."""
+    stamp = F.unix_micros("fetched_at")
+    ends = air.agg(F.min(stamp).alias("low"), F.max(stamp).alias("high")).first()
+    low, span = ends["low"] or 0, max(1, (ends["high"] or 0) - (ends["low"] or 0))
+    half_day = 12 * 3_600_000_000
+
+    def part(shift: int):
+        share = F.floor((stamp - F.lit(low) - F.lit(shift)) * F.lit(count) / F.lit(span))
+        return F.greatest(F.lit(0), F.least(share, F.lit(count - 1)))
+
+    return [(air.filter(part(0) == k), weather.filter(part(half_day) == k)) for k in range(count)]
 
 
 def _ingested(spark: SparkSession, sf_dir: str, rejects: str) -> DataFrame:
-    """Two deliveries of payload files, each upserted into the feature table."""
+    """Deliveries of payload files, each upserted into the feature table."""
     table = scratch_path(spark, "features")
-    parts = _deliveries(aqi_payloads(spark, sf_dir), weather_payloads(spark, sf_dir))
-    for seq, (air, weather) in enumerate(parts, 1):
+    for seq, (air, weather) in enumerate(deliveries(*payloads(spark, sf_dir)), 1):
         stored = ingest_payloads(
             spark,
             written(air, "aqi-payloads", "json"),
@@ -68,29 +97,24 @@ def _ingested(spark: SparkSession, sf_dir: str, rejects: str) -> DataFrame:
 
 @query("e1_live_ingest", INGEST_SQL)
 def _live_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, sf_dir, scratch_path(spark, "rejects")).select(
-        "city", text("timestamp").alias("ts"), "aqi", "pm10", "temperature", "visibility", *ENGINEERED
-    )
+    rows = _ingested(spark, sf_dir, scratch_path(spark, "rejects"))
+    return rows.select("city", text("timestamp").alias("ts"), *STORED)
 
 
-REJECTS_SQL = on_readings(
-    """SELECT source, reason, count(*) AS n FROM (
-  SELECT 'aqi' AS source, 'status is not ok' AS reason FROM readings WHERE reading_id % 17 = 0
+REFUSED_SQL = """
+  SELECT 'aqi' AS source, CASE WHEN reading_id % 17 = 0 THEN 'status is not ok'
+    ELSE 'outside the ingest rules' END AS reason FROM payload
+  WHERE reading_id % 17 = 0 OR NOT told_aqi BETWEEN 0 AND 500
   UNION ALL SELECT 'weather', CASE WHEN humidity IS NULL THEN 'missing humidity'
-    WHEN reading_id % 19 = 0 THEN 'missing wind_speed' ELSE 'missing weather_desc' END FROM readings
-  WHERE humidity IS NULL OR reading_id % 19 = 0 OR reading_id % 13 = 0
-  UNION ALL SELECT 'reading', 'outside the ingest rules' FROM both_sides
-  WHERE NOT (aqi BETWEEN 0 AND 500 AND temperature > -90)) GROUP BY ALL""",
-    """air AS (SELECT city, date_trunc('hour', ts) AS h, aqi FROM readings WHERE reading_id % 17 <> 0
-  QUALIFY row_number() OVER (PARTITION BY city, date_trunc('hour', ts) ORDER BY ts DESC, reading_id DESC) = 1),
-weather AS (SELECT city, date_trunc('hour', ts) AS h, temperature FROM readings
-  WHERE reading_id % 19 <> 0 AND reading_id % 13 <> 0 AND humidity IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY city, date_trunc('hour', ts) ORDER BY ts DESC, reading_id DESC) = 1),
-both_sides AS (SELECT * FROM air JOIN weather USING (city, h))""",
-)
+    WHEN reading_id % 19 = 0 THEN 'missing wind_speed' WHEN reading_id % 13 = 0 THEN 'missing weather_desc'
+    ELSE 'outside the ingest rules' END FROM payload
+  WHERE humidity IS NULL OR reading_id % 19 = 0 OR reading_id % 13 = 0 OR told_temperature <= -90"""
 
 
-@query("e1_live_ingest_rejects", REJECTS_SQL)
+@query(
+    "e1_live_ingest_rejects",
+    on_readings(f"SELECT source, reason, count(*) AS n FROM ({REFUSED_SQL}) GROUP BY ALL", *PAYLOAD_SQL[:1]),
+)
 def _live_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the same deliveries turned down, by source and reason."""
     rejects = scratch_path(spark, "rejects")
@@ -105,7 +129,7 @@ BACKFILL_SQL = on_readings(
     SPINE_SQL,
     CLIMATE_SQL,
     f"""means AS (SELECT CAST(day AS TIMESTAMP) AS midnight, pm25, {sql_aqi('pm25')} AS aqi FROM (
-    SELECT ts::DATE AS day, {sql_r('avg(pm25)', 2)} AS pm25 FROM readings
+    SELECT ts::DATE AS day, {sql_r(sql_exact_mean('pm25'), 2)} AS pm25 FROM readings
     WHERE day(ts) % 7 <> 0 AND pm25 >= 0 GROUP BY 1)),
 jittered AS (SELECT 'harbour' AS city, midnight, pm25, aqi,
     {sql_jitter("concat('harbour|', CAST(CAST(epoch(midnight) AS BIGINT) AS VARCHAR))")}
@@ -152,7 +176,7 @@ CITY_BACKFILL_SQL = on_readings(
   {sql_change('aqi', 'lag(aqi) OVER (PARTITION BY city ORDER BY midnight)')} AS aqi_change_rate FROM jittered""",
     CLIMATE_SQL,
     f"""means AS (SELECT city, CAST(day AS TIMESTAMP) AS midnight, pm25, {sql_aqi('pm25')} AS aqi FROM (
-    SELECT city, ts::DATE AS day, {sql_r('avg(pm25)', 2)} AS pm25 FROM readings
+    SELECT city, ts::DATE AS day, {sql_r(sql_exact_mean('pm25'), 2)} AS pm25 FROM readings
     WHERE day(ts) % 7 <> 0 AND pm25 >= 0 GROUP BY 1, 2)),
 jittered AS (SELECT city, midnight, pm25, aqi,
     {sql_jitter("concat(city, '|', CAST(CAST(epoch(midnight) AS BIGINT) AS VARCHAR))")}
@@ -170,6 +194,12 @@ def city_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cut_spans(rows: DataFrame, count: int = 3) -> list[DataFrame]:
+    """Rows in deliveries cut inside days and between cities."""
+    part = F.pmod(F.xxhash64("city", F.floor(F.col("value") * 7)), F.lit(count))
+    return [rows.filter(part == k) for k in range(count)]
+
+
 def half_spans(rows: DataFrame) -> list[DataFrame]:
     """Rows before and from the middle day of their range."""
     ends = rows.agg(F.min("day").alias("low"), F.max("day").alias("high")).first()

@@ -52,6 +52,7 @@ from zephyrine.registry.base import (
     rounded,
     sql_aqi,
     sql_day,
+    sql_exact_mean,
     sql_r,
     sql_text,
     text,
@@ -237,7 +238,7 @@ def _time_split_per_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     "a1_daily_pm25_mean",
     on_readings(
         f"SELECT city, {sql_day('day')} AS day, pm25, {sql_aqi('pm25')} AS aqi FROM ("
-        f"SELECT city, CAST(ts AS DATE) AS day, {sql_r('avg(pm25)', 2)} AS pm25 FROM readings "
+        f"SELECT city, CAST(ts AS DATE) AS day, {sql_r(sql_exact_mean('pm25'), 2)} AS pm25 FROM readings "
         "WHERE pm25 >= 0 GROUP BY ALL)"
     ),
 )

@@ -375,10 +375,12 @@ def _predictions_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = dt.datetime(2024, 2, 1, 6, tzinfo=dt.timezone.utc)
     write_predictions_json(simple_predictions(spark, sf_dir), path, made)
     values = ", ".join(f"aqi_pred_{h}h: DOUBLE" for h in (24, 48, 72))
-    back = spark.read.schema(
-        "city STRING, generated_at TIMESTAMP, based_on_data_at TIMESTAMP, "
+    document = (
+        "generated_at TIMESTAMP, based_on_data_at TIMESTAMP, "
         f"predictions STRUCT<{values}>, horizons_hours ARRAY<INT>"
-    ).json(path)
+    )
+    lines = spark.read.schema("city STRING, document STRING").json(path)
+    back = lines.select("city", F.from_json("document", document).alias("document")).select("city", "document.*")
     return back.select(
         "city",
         text("based_on_data_at").alias("based_on_data_at"),

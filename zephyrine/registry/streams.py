@@ -20,21 +20,30 @@ from zephyrine.registry.base import (
     sql_calendar,
     sql_change,
     sql_day,
+    sql_exact_mean,
     sql_r,
     sql_text,
     text,
 )
 from zephyrine.registry.jobs import (
     CITY_BACKFILL_SQL,
+    INGEST_SQL,
+    PAYLOAD_SQL,
+    REFUSED_SQL,
+    STORED,
     city_measurements,
+    cut_spans,
+    deliveries,
     half_spans,
+    payloads,
     stored_features,
 )
 from zephyrine.schema import CALENDAR_COLUMNS, CYCLIC_COLUMNS, INTERACTION_COLUMNS
 from zephyrine.session import scratch_path
 from zephyrine.streaming.jobs import (
-    read_stream,
     level_changes,
+    read_rejects,
+    read_stream,
     stream_alerts,
     stream_backfill,
     stream_change_rate,
@@ -42,6 +51,7 @@ from zephyrine.streaming.jobs import (
     stream_daily_mean_open,
     stream_dedup,
     stream_hourly_features,
+    stream_payloads,
 )
 
 
@@ -75,27 +85,82 @@ def in_deliveries(spark: SparkSession, sf_dir: str, job: Callable[[DataFrame], N
         job(reading_stream(spark, source))
 
 
+def with_invalid(readings: DataFrame) -> DataFrame:
+    """Every 23rd reading lies outside the guard."""
+    told = F.when(F.col("reading_id") % 23 == 0, F.col("aqi") + 1000).otherwise(F.col("aqi"))
+    return readings.withColumn("aqi", told)
+
+
+VALID_HOURLY_SQL = """hourly AS (
+  SELECT *, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp" FROM readings
+  WHERE reading_id % 23 <> 0 AND aqi BETWEEN 0 AND 500 AND temperature > -90
+  QUALIFY row_number() OVER (PARTITION BY city, date_trunc('hour', ts)
+                             ORDER BY ts DESC, reading_id DESC) = 1)"""
+# Longer than the readings span: the last delivery holds some of every time.
+ANY_TIME = "400 days"
+
 HOUR_WINDOW = 'OVER (PARTITION BY city ORDER BY "timestamp")'
 
 
 @query(
     "st1_stream_hourly_features",
-    on_hourly(
+    on_readings(
         f"SELECT city, {sql_text('\"timestamp\"')} AS ts, aqi, pm10, {sql_calendar('\"timestamp\"')}, "
-        f"{INTERACTION_SQL}, {sql_change('aqi', f'lag(aqi) {HOUR_WINDOW}')} AS aqi_change_rate FROM hourly "
-        "WHERE aqi BETWEEN 0 AND 500 AND temperature > -90"
+        f"{INTERACTION_SQL}, {sql_change('aqi', f'lag(aqi) {HOUR_WINDOW}')} AS aqi_change_rate FROM hourly",
+        VALID_HOURLY_SQL,
     ),
 )
 def _hourly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "stream-table")
     checkpoint = scratch_path(spark, "checkpoint")
-    in_deliveries(spark, sf_dir, lambda readings: stream_hourly_features(readings, table, checkpoint))
+
+    def job(readings: DataFrame) -> None:
+        stream_hourly_features(with_invalid(readings), table, checkpoint, delay=ANY_TIME)
+
+    in_deliveries(spark, sf_dir, job)
     columns = [*CALENDAR_COLUMNS, *CYCLIC_COLUMNS, *INTERACTION_COLUMNS]
     return spark.read.parquet(table).select(
         "city", text("timestamp").alias("ts"), "aqi", "pm10", *columns
     )
 
 
+def _payload_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Deliveries with partners apart, drained one after the other; table and rejects."""
+    table, state, rejects = (scratch_path(spark, n) for n in ("stream-table", "state", "rejects"))
+    sources = scratch_path(spark, "aqi-arrivals"), scratch_path(spark, "weather-arrivals")
+    for parts in deliveries(*payloads(spark, sf_dir)):
+        for part, source in zip(parts, sources):
+            part.write.mode("append").json(source)
+        stream_payloads(spark, *sources, table, state, rejects)
+    return table, rejects
+
+
+@query("st1_payload_stream", INGEST_SQL)
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of payload files through the stream-stream join to the feature table."""
+    table, _ = _payload_stream(spark, sf_dir)
+    return spark.read.parquet(table).select("city", text("timestamp").alias("ts"), *STORED)
+
+
+@query(
+    "st1_payload_rejects",
+    on_readings(
+        f"SELECT source, reason, count(*) AS n FROM ({REFUSED_SQL} "
+        "UNION ALL SELECT 'aqi', 'no weather of the hour' FROM air_payload a, mark "
+        "WHERE h <= closed AND NOT EXISTS (FROM weather_payload w WHERE w.city = a.city AND w.h = a.h) "
+        "UNION ALL SELECT 'weather', 'no air reading of the hour' FROM weather_payload w, mark "
+        "WHERE h <= closed AND NOT EXISTS (FROM air_payload a WHERE w.city = a.city AND w.h = a.h)) GROUP BY ALL",
+        *PAYLOAD_SQL[:3],
+        "mark AS (SELECT least((SELECT max(h) FROM air_payload), (SELECT max(h) FROM weather_payload)) "
+        "- INTERVAL 1 DAY AS closed)",
+    ),
+)
+def _payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the payload stream turned down, by source and reason."""
+    _, rejects = _payload_stream(spark, sf_dir)
+    return read_rejects(spark, rejects).groupBy("source", "reason").agg(F.count("*").alias("n"))
+
+
 @query(
     "st2_stream_dedup",
     on_readings(f"SELECT DISTINCT city, {sql_text("date_trunc('hour', ts)")} AS hour_ts FROM readings"),
@@ -116,7 +181,7 @@ def _dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _change(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, checkpoint = scratch_path(spark, "stream-change"), scratch_path(spark, "checkpoint")
-    in_deliveries(spark, sf_dir, lambda readings: stream_change_rate(readings, table, checkpoint))
+    in_deliveries(spark, sf_dir, lambda readings: stream_change_rate(readings, table, checkpoint, delay=ANY_TIME))
     rows = spark.read.parquet(table)
     return rows.select("city", text("timestamp").alias("ts"), "aqi", "aqi_change_rate")
 
@@ -125,7 +190,7 @@ def _change(spark: SparkSession, sf_dir: str) -> DataFrame:
     "st4_stream_daily_mean",
     on_readings(
         f"SELECT city, {sql_day('day')} AS day, pm25, {sql_aqi('pm25')} AS aqi FROM ("
-        f"SELECT city, CAST(ts AS DATE) AS day, {sql_r('avg(pm25)', 2)} AS pm25 FROM readings WHERE pm25 >= 0 "
+        f"SELECT city, CAST(ts AS DATE) AS day, {sql_r(sql_exact_mean('pm25'), 2)} AS pm25 FROM readings WHERE pm25 >= 0 "
         "GROUP BY ALL) WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM readings) - INTERVAL 1 HOUR"
     ),
 )
@@ -140,7 +205,7 @@ def _daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     "st4_stream_daily_mean_open",
     on_readings(
         f"SELECT city, {sql_day('day')} AS day, pm25, {sql_aqi('pm25')} AS aqi FROM ("
-        f"SELECT city, CAST(ts AS DATE) AS day, {sql_r('avg(pm25)', 2)} AS pm25 FROM readings WHERE pm25 >= 0 "
+        f"SELECT city, CAST(ts AS DATE) AS day, {sql_r(sql_exact_mean('pm25'), 2)} AS pm25 FROM readings WHERE pm25 >= 0 "
         "GROUP BY ALL)"
     ),
 )
@@ -166,7 +231,7 @@ LEVEL_SQL = """CASE WHEN aqi <= 50 THEN 'good' WHEN aqi <= 100 THEN 'moderate'
 )
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, checkpoint = scratch_path(spark, "stream-alerts"), scratch_path(spark, "checkpoint")
-    in_deliveries(spark, sf_dir, lambda readings: stream_alerts(readings, table, checkpoint))
+    in_deliveries(spark, sf_dir, lambda readings: stream_alerts(readings, table, checkpoint, delay=ANY_TIME))
     rows = level_changes(spark.read.parquet(table))
     return rows.select("city", text("timestamp").alias("ts"), "aqi", "level", "previous_level")
 
@@ -181,3 +246,15 @@ def _resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = read_stream(spark, source, "city STRING, day DATE, value DOUBLE")
         stream_backfill(stream, table, processed, checkpoint)
     return stored_features(spark, table)
+
+
+@query("st6_stream_cut_inside_days", CITY_BACKFILL_SQL)
+def _resumed_inside_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from deliveries that each hold a part of every day, cities cut differently."""
+    source, table = scratch_path(spark, "arrivals"), scratch_path(spark, "features")
+    processed, checkpoint = scratch_path(spark, "processed"), scratch_path(spark, "checkpoint")
+    for part in cut_spans(city_measurements(spark, sf_dir)):
+        part.write.mode("append").parquet(source)
+        stream = read_stream(spark, source, "city STRING, day DATE, value DOUBLE")
+        stream_backfill(stream, table, processed, checkpoint)
+    return stored_features(spark, table)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from zephyrine.session import scratch_path
 
@@ -50,6 +51,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+_CONFLICT = "different rows of one batch share their keys and order"
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -60,10 +64,10 @@ def upsert(
 ) -> DataFrame:
     """Insert-or-replace ``batch`` into the ``event_date``-partitioned table at ``path``.
 
-    A higher ``order`` wins; at equal order the batch wins over what is stored. Rows of one
-    batch with equal keys and order must be equal, otherwise no last write exists and the
-    call fails. The batch is evaluated once; only its dates are read and rewritten. Merged
-    dates are written in full beside the table and their folders then renamed into place;
+    A higher ``order`` wins; at equal order the batch wins over what is stored. If the rows
+    of one batch that would win under a key differ, no last write exists and the call fails,
+    the table untouched. The batch is evaluated once; only its dates are read and rewritten.
+    Merged dates are written in full beside the table and their folders then renamed into place;
     if a run dies in between, the next one finishes it first. One writer at a time; a reader
     during the swap may see some dates old, some new, or one missing for a moment.
 
@@ -73,15 +77,17 @@ def upsert(
     if _exists(spark, f"{pending}/_SUCCESS"):
         _publish(spark, pending, path)
     arrived = scratch_path(spark, "batch")
-    batch.withColumn(DATE_COLUMN, F.to_date(time_column)).write.parquet(arrived)
-    incoming = spark.read.schema(
-        batch.withColumn(DATE_COLUMN, F.to_date(time_column)).schema
-    ).parquet(arrived)
+    dated = batch.withColumn(DATE_COLUMN, F.to_date(time_column))
+    dated.write.parquet(arrived)
+    incoming = spark.read.schema(dated.schema).parquet(arrived)
     try:
-        _merge(spark, path, pending, incoming, keys, order)
+        schema = _merge(spark, path, pending, incoming, keys, order)
     finally:
         remove(spark, arrived)
-    return spark.read.parquet(path) if _exists(spark, path) else batch.limit(0)
+    if schema is None:
+        stored = read_table(spark, path)
+        return batch.limit(0) if stored is None else stored
+    return spark.read.schema(schema).parquet(path)
 
 
 def _merge(
@@ -91,30 +97,51 @@ def _merge(
     incoming: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-) -> None:
+) -> StructType | None:
+    """Merges and publishes; the schema of the table, None for an empty batch."""
     # One value per calendar day of the batch, whatever its number of rows.
     days = [row[0] for row in incoming.select(DATE_COLUMN).distinct().collect()]
     if None in days:
         raise ValueError("rows without a timestamp cannot be stored under (city, timestamp)")
     if not days:
-        return
-    rest = [c for c in incoming.columns if c not in (*keys, *order)]
-    if rest:
-        ends = incoming.groupBy(*keys, *order).agg(
-            F.min(F.struct(*rest)).alias("low"), F.max(F.struct(*rest)).alias("high")
-        )
-        if not ends.filter(~F.col("low").eqNullSafe(F.col("high"))).isEmpty():
-            raise ValueError(f"different rows of one batch share {[*keys, *order]}")
+        return None
     merged = incoming.withColumn("_arrived", F.lit(True))
     stored = read_table(spark, path)
     if stored is not None:
         touched = stored.filter(F.col(DATE_COLUMN).isin(days)).withColumn("_arrived", F.lit(False))
         merged = touched.unionByName(merged, allowMissingColumns=True)
     _note_cities(spark, path, incoming)
-    latest = latest_per_key(merged, [*keys, DATE_COLUMN], [*order, "_arrived"]).drop("_arrived")
+    latest = _latest_unless_torn(merged, [*keys, DATE_COLUMN], [*order, "_arrived"]).drop("_arrived")
     # Rebalancing splits a hot day over several writers and puts small days together.
-    latest.hint("rebalance", DATE_COLUMN).write.mode("overwrite").partitionBy(DATE_COLUMN).parquet(pending)
+    spread = latest.hint("rebalance", DATE_COLUMN).write.mode("overwrite").partitionBy(DATE_COLUMN)
+    try:
+        spread.parquet(pending)
+    except PySparkException as error:
+        if _CONFLICT in str(error):
+            raise ValueError(f"{_CONFLICT}: {[*keys, *order]}") from error
+        raise
     _publish(spark, pending, path)
+    return latest.schema
+
+
+def _latest_unless_torn(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` that fails if the winners of a key differ, in the same aggregate.
+
+    The largest hash and the largest complement of a hash among the winners belong to one
+    row, unless rows differ.
+    """
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    if not rest:
+        return latest_per_key(df, keys, order)
+    content = F.xxhash64(*rest)
+    found = df.groupBy(*keys).agg(
+        F.max(F.struct(*order, *rest)).alias("_latest"),
+        F.max(F.struct(*order, content.alias("h"))).getField("h").alias("_high"),
+        F.max(F.struct(*order, F.bitwise_not(content).alias("h"))).getField("h").alias("_low"),
+    )
+    torn = F.col("_latest._arrived") & (F.col("_high") != F.bitwise_not("_low"))
+    checked = F.when(torn, F.raise_error(F.lit(_CONFLICT)).cast("boolean")).otherwise(F.lit(True))
+    return found.filter(checked).select(*keys, "_latest.*").select(*df.columns)
 
 
 def _publish(spark: SparkSession, pending: str, path: str) -> None:
@@ -136,15 +163,19 @@ def _publish(spark: SparkSession, pending: str, path: str) -> None:
 def stored_cities(spark: SparkSession, path: str) -> DataFrame | None:
     """``city, first_day, last_day`` of the table, or None before the first write."""
     sides = path.rstrip("/") + "__cities"
-    if not _exists(spark, sides):
+    whole = versions(spark, sides)
+    if not whole:
         return None
-    source, files = _hadoop(spark, sides)
-    whole = [
-        s.getPath().toString()
-        for s in files.listStatus(source)
-        if _exists(spark, f"{s.getPath().toString()}/_SUCCESS")
-    ]
-    return spark.read.parquet(max(whole)) if whole else None
+    return spark.read.schema("city STRING, first_day DATE, last_day DATE").parquet(f"{sides}/{whole[-1]}")
+
+
+def versions(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the finished writes in a folder of versions, the oldest first."""
+    if not _exists(spark, folder):
+        return []
+    source, files = _hadoop(spark, folder)
+    names = sorted(s.getPath().getName() for s in files.listStatus(source))
+    return [n for n in names if _exists(spark, f"{folder}/{n}/_SUCCESS")]
 
 
 def _note_cities(spark: SparkSession, path: str, incoming: DataFrame) -> None:
@@ -166,7 +197,8 @@ def _note_cities(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     source, files = _hadoop(spark, sides)
     older = sorted(s.getPath().getName() for s in files.listStatus(source)) if _exists(spark, sides) else []
     version = int(older[-1].split("-")[1]) + 1 if older else 0
-    seen.write.mode("overwrite").parquet(f"{sides}/v-{version:012d}")
+    named = seen.select(F.col("city").cast("string").alias("city"), "first_day", "last_day")
+    named.write.mode("overwrite").parquet(f"{sides}/v-{version:012d}")
     for name in older[:-1]:  # the last but one may still be read
         remove(spark, f"{sides}/{name}")
 

@@ -1,33 +1,48 @@
-"""Structured Streaming jobs over readings that arrive as files.
+"""Structured Streaming jobs over payloads and readings that arrive as files.
 
 Each job drains what is there (``availableNow``) and stops, which is how an hourly
 schedule runs it; the checkpoint remembers the files done, so a rerun resumes.
-The only state between micro-batches is the keyed table a job writes. A batch that
-runs again after a failure meets its own rows there and stores the same ones again, and
-the table is the same however the readings are cut into batches.
+Hourly jobs keep the open hours of a city as keyed state and replace rows of a keyed table,
+so the table is the same however the readings are cut, as long as none is later than the
+job's delay. Later ones are dropped, as are rows behind the watermark of the deduplication
+and the daily means; ``dropped_late`` counts them. A batch that runs again after a failure
+stores the same rows again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from zephyrine.functions.calendar import floor_hour
 from zephyrine.functions.index import alert_level, pm25_to_aqi
-from zephyrine.functions.numeric import change_rate, half_even
-from zephyrine.operators.joins import with_neighbours
-from zephyrine.operators.projection import assemble_feature_rows
+from zephyrine.functions.numeric import change_rate, exact_mean, half_even
+from zephyrine.operators.projection import feature_rows_beside_previous
 from zephyrine.operators.quality import filter_valid_measurements, ingest_rules, split_valid
-from zephyrine.operators.series import resample_latest
-from zephyrine.plans.ingest import backfill_delivery
+from zephyrine.plans.ingest import as_rejected, backfill_delivery, sifted_payloads
+from zephyrine.schema import (
+    AQI_PAYLOAD_SCHEMA,
+    POLLUTANT_COLUMNS,
+    WEATHER_COLUMNS,
+    WEATHER_PAYLOAD_SCHEMA,
+)
 from zephyrine.session import scratch_path
+from zephyrine.sources.payloads import CORRUPT
 from zephyrine.sources.store import SEQ_COLUMN, remove, upsert
+from zephyrine.streaming.hours import hourly_with_previous
+
+# How late a reading may be before its hour is closed.
+DELAY = "7 days"
+# How far apart the air and weather payloads of one hour may arrive.
+PARTNER_DELAY = "1 day"
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: str, file_format: str = "parquet", **options: object
+    spark: SparkSession, path: str, schema: str | StructType, file_format: str = "parquet", **options: object
 ) -> DataFrame:
     return spark.readStream.schema(schema).options(**options).format(file_format).load(path)
 
@@ -37,43 +52,46 @@ def event_time(df: DataFrame, column: str = "ts") -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
-def _drain(writer, checkpoint: str) -> None:
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _start(writer, checkpoint: str) -> StreamingQuery:
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _drain(writer, checkpoint: str) -> StreamingQuery:
+    query = _start(writer, checkpoint)
     query.awaitTermination()
+    return query
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark, over the batches of a drained query."""
+    states = [state for batch in query.recentProgress for state in batch["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
 
 
 def run_batches(
-    stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]
-) -> None:
-    _drain(stream.writeStream.foreachBatch(handle), checkpoint)
+    stream: DataFrame,
+    checkpoint: str,
+    handle: Callable[[DataFrame, int], None],
+    mode: str = "append",
+) -> StreamingQuery:
+    return _drain(stream.writeStream.outputMode(mode).foreachBatch(handle), checkpoint)
 
 
-def run_append(stream: DataFrame, checkpoint: str, path: str) -> None:
-    _drain(stream.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
+def _appending(stream: DataFrame, path: str):
+    return stream.writeStream.outputMode("append").format("parquet").option("path", path)
 
 
-def _hourly(batch: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Latest reading per city and hour, stamped with the hour; ``seq_*`` keep its order."""
-    slots = resample_latest(batch, ["city"], "hour", order, time_column="ts")
-    kept = {f"seq_{i}": F.col(c) for i, c in enumerate(order)}
-    return slots.withColumns({"timestamp": floor_hour(F.col("ts")), **kept}).drop("slot")
+def run_append(stream: DataFrame, checkpoint: str, path: str) -> StreamingQuery:
+    return _drain(_appending(stream, path), checkpoint)
 
 
-def _store(
-    batch: DataFrame,
-    table: str,
-    seq: Sequence[str],
-    finish: Callable[[DataFrame], DataFrame],
-) -> None:
-    """Places the batch amid its neighbours, finishes the rows to store and upserts them."""
-    spark = batch.sparkSession
-    hourly = scratch_path(spark, "hourly")
-    batch.write.parquet(hourly)
-    try:
-        placed = with_neighbours(spark.read.parquet(hourly), table, seq)
-        upsert(spark, table, finish(placed).filter("_new").drop("_new"), order=seq)
-    finally:
-        remove(spark, hourly)
+def _store_hours(hours: DataFrame, table: str, checkpoint: str) -> int:
+    """Upserts the rows of each batch, the last one sent of an hour winning; late rows dropped."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch.sparkSession, table, batch, order=())
+
+    return dropped_late(run_batches(hours, checkpoint, handle, "update"))
 
 
 def stream_hourly_features(
@@ -82,25 +100,100 @@ def stream_hourly_features(
     checkpoint: str,
     order: Sequence[str] = ("ts", "reading_id"),
     rejects: str | None = None,
-) -> None:
-    """Readings to the keyed feature table: latest per hour, features, guard, upsert.
+    delay: str = DELAY,
+) -> int:
+    """Readings to the keyed feature table: guard, latest valid one per hour, features, upsert.
+
+    A later reading of a stored hour replaces it. The change rate compares with the valid
+    hour before, and the hour after a late one is rated again. Readings the guard turns down
+    go to ``rejects``, with their checkpoint beside it, if one is named. Returns how many
+    readings came later than ``delay`` and were dropped.
+    """
+    valid, turned_down = split_valid(event_time(readings), ingest_rules())
+    if rejects is not None:
+        run_append(turned_down, f"{checkpoint}-rejects", rejects)
+    present = [c for c in [*POLLUTANT_COLUMNS, *WEATHER_COLUMNS] if c in readings.columns]
+    hours = hourly_with_previous(valid, order, delay, present)
+    return _store_hours(feature_rows_beside_previous(hours), table, checkpoint)
+
+
+def _hour_of(payloads: DataFrame, side: str, delay: str) -> DataFrame:
+    """Payloads of one side under their hour, its time watermarked; other names get a prefix."""
+    named = {c: f"{side}_{c}" for c in ("fetched_at", "ingest_seq")}
+    hour = floor_hour(F.col("fetched_at")).alias(f"{side}_hour")
+    rest = [c for c in payloads.columns if c not in ("city", *named)]
+    return payloads.select(
+        F.col("city").alias(f"{side}_city"), hour, *[F.col(c).alias(n) for c, n in named.items()], *rest
+    ).withWatermark(f"{side}_hour", delay)
+
+
+def pair_payloads(air: DataFrame, weather: DataFrame, delay: str = PARTNER_DELAY) -> DataFrame:
+    """Every air payload with every weather payload of its city and hour, as a stream.
 
-    A later reading of a stored hour replaces it. The change rate compares with the hour
-    before, in the batch or in the table, and the hour after a late one is rated again.
-    Hours the guard turns down go to ``rejects``, one folder per batch, if one is named.
+    A payload whose hour the watermark of both sides passes without a partner comes alone,
+    once. Either side waits in the join's state for ``delay`` at most.
     """
-    seq = [f"seq_{i}" for i in range(len(order))]
+    left, right = _hour_of(air, "aqi", delay), _hour_of(weather, "weather", delay)
+    same = (F.col("aqi_city") == F.col("weather_city")) & (F.col("aqi_hour") == F.col("weather_hour"))
+    joined = left.join(right, same, "full_outer")
+    alone = F.when(F.col("weather_hour").isNull(), "no weather of the hour").when(
+        F.col("aqi_hour").isNull(), "no air reading of the hour"
+    )
+    return joined.select(
+        F.coalesce("aqi_city", "weather_city").alias("city"),
+        F.coalesce("aqi_hour", "weather_hour").alias("ts"),
+        *[c for c in joined.columns if c not in ("aqi_city", "weather_city", "aqi_hour", "weather_hour")],
+        alone.alias("reject_reason"),
+    )
 
-    def finish(placed: DataFrame) -> DataFrame:
-        return assemble_feature_rows(placed, extra=[*seq, "_new"])
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        valid, turned_down = split_valid(_hourly(batch, order), ingest_rules())
-        if rejects is not None:
-            turned_down.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-        _store(valid, table, seq, finish)
+PAIR_ORDER = ["aqi_fetched_at", "aqi_ingest_seq", "weather_fetched_at", "weather_ingest_seq"]
+
+
+def stream_payloads(
+    spark: SparkSession,
+    aqi_path: str,
+    weather_path: str,
+    table: str,
+    state: str,
+    rejects: str,
+    partner_delay: str = PARTNER_DELAY,
+    delay: str = DELAY,
+) -> int:
+    """Payload files of both kinds, in any deliveries, to the keyed feature table.
+
+    Air and weather payloads of one city and hour meet in a stream-stream join, also if they
+    arrive in different deliveries; of several pairs of an hour the one of the latest valid
+    air and the latest valid weather payload is stored. ``state`` holds checkpoints and the
+    pairs between the two steps. ``rejects`` gets ``source, reason, row`` of what is turned
+    down: unreadable payloads, those the guard refuses, and those without a partner once
+    their hour is closed. Returns the payloads and pairs dropped because they came too late.
+    """
+
+    def lines(path: str, schema: str) -> DataFrame:
+        options = {"columnNameOfCorruptRecord": CORRUPT}
+        return read_stream(spark, path, f"{schema}, {CORRUPT} STRING", "json", **options)
+
+    air, weather, refused = sifted_payloads(
+        lines(aqi_path, AQI_PAYLOAD_SCHEMA), lines(weather_path, WEATHER_PAYLOAD_SCHEMA)
+    )
+    pairs = pair_payloads(air, weather.drop("weather_desc"), partner_delay)
+    sifting = _start(_appending(refused, f"{rejects}/refused"), f"{state}/refused")
+    late = dropped_late(run_append(pairs, f"{state}/pairing", f"{state}/pairs"))
+    sifting.awaitTermination()
+
+    met = read_stream(spark, f"{state}/pairs", pairs.schema)
+    source = F.when(F.col("aqi_fetched_at").isNotNull(), "aqi").otherwise("weather")
+    alone = as_rejected(met.filter("reject_reason IS NOT NULL"), source)
+    run_append(alone, f"{state}/alone", f"{rejects}/alone")
+    valid = met.filter("reject_reason IS NULL").drop("reject_reason")
+    return late + stream_hourly_features(valid, table, f"{state}/features", PAIR_ORDER, delay=delay)
+
 
-    run_batches(readings, checkpoint, handle)
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """``source, reason, row`` of everything ``stream_payloads`` turned down."""
+    parts = [spark.read.parquet(f"{rejects}/{part}") for part in ("refused", "alone")]
+    return parts[0].unionByName(parts[1])
 
 
 def stream_dedup(
@@ -115,47 +208,36 @@ def stream_dedup(
     run_append(unique, checkpoint, path)
 
 
-def _series_job(
+def stream_change_rate(
     readings: DataFrame,
     table: str,
     checkpoint: str,
-    order: Sequence[str],
-    columns: dict[str, Column],
-) -> None:
-    """Hourly rows with ``columns`` over a one-row look-back per city, as a keyed table."""
-    seq = [f"seq_{i}" for i in range(len(order))]
-
-    def finish(placed: DataFrame) -> DataFrame:
-        return placed.withColumns(columns)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        _store(_hourly(batch, order).select("city", "timestamp", "aqi", *seq), table, seq, finish)
-
-    run_batches(readings, checkpoint, handle)
-
-
-def _hour_before(column: str) -> Column:
-    return F.lag(column, 1).over(Window.partitionBy("city").orderBy("timestamp"))
-
-
-def stream_change_rate(
-    readings: DataFrame, table: str, checkpoint: str, order: Sequence[str] = ("ts", "reading_id")
-) -> None:
+    order: Sequence[str] = ("ts", "reading_id"),
+    delay: str = DELAY,
+) -> int:
     """Percent change of each hourly reading against the city's previous hour.
 
     The table at ``table`` has one row per city and hour with ``aqi_change_rate``.
     """
-    rate = change_rate(F.col("aqi"), _hour_before("aqi"))
-    _series_job(readings, table, checkpoint, order, {"aqi_change_rate": rate})
+    hours = hourly_with_previous(event_time(readings), order, delay)
+    rate = change_rate(F.col("aqi"), F.col("previous_aqi"))
+    rated = hours.withColumn("aqi_change_rate", rate).drop("previous_aqi")
+    return _store_hours(rated, table, checkpoint)
 
 
 def stream_alerts(
-    readings: DataFrame, table: str, checkpoint: str, order: Sequence[str] = ("ts", "reading_id")
-) -> None:
+    readings: DataFrame,
+    table: str,
+    checkpoint: str,
+    order: Sequence[str] = ("ts", "reading_id"),
+    delay: str = DELAY,
+) -> int:
     """Hourly alert levels with the city's previous one; ``level_changes`` reads the changes."""
+    hours = hourly_with_previous(event_time(readings), order, delay)
     level = alert_level(F.col("aqi")).getField("level")
-    previous = alert_level(_hour_before("aqi")).getField("level")
-    _series_job(readings, table, checkpoint, order, {"level": level, "previous_level": previous})
+    previous = alert_level(F.col("previous_aqi")).getField("level")
+    told = hours.withColumns({"level": level, "previous_level": previous}).drop("previous_aqi")
+    return _store_hours(told, table, checkpoint)
 
 
 def level_changes(levels: DataFrame) -> DataFrame:
@@ -166,7 +248,7 @@ def level_changes(levels: DataFrame) -> DataFrame:
 def daily_mean_stream(readings: DataFrame, delay: str = "1 hour", value: str = "pm25") -> DataFrame:
     """Tumbling one-day mean per city; readings later than the watermark are dropped."""
     valid = filter_valid_measurements(readings.withWatermark("ts", delay), value)
-    mean = half_even(F.avg(value), 2)
+    mean = half_even(exact_mean(F.col(value)), 2)
     return (
         valid.groupBy(F.window("ts", "1 day"), "city")
         .agg(mean.alias("pm25"))
