@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from tests.llm.helpers import ODD_TEXTS, documents, words
 from zephyrine.llm import near_copies
@@ -64,3 +66,44 @@ def test_copies_and_odd_rows(spark):
     assert sum(r["text"] == "word" for r in got) == 1
     empty = documents(spark, texts, ids).limit(0)
     assert near_copies.first_of_near_copies(empty).count() == 0
+
+
+def template_pages(rng: random.Random, n: int, own: int = 16) -> list[str]:
+    """Pages of 120 words of which ``own`` at their end are their own: similar at about 0.75."""
+    frame = words(rng, 120 - own)
+    return [frame + " " + " ".join(f"own{rng.randrange(10**9)}" for _ in range(own)) for _ in range(n)]
+
+
+def test_pages_of_a_template_are_not_compared_in_pairs(spark, monkeypatch):
+    compared = []
+    told = near_copies._told
+
+    def counting(pairs, sets, similarity):
+        compared.append(pairs.count())
+        return told(pairs, sets, similarity)
+
+    monkeypatch.setattr(near_copies, "_told", counting)
+    sizes = {}
+    for n in (200, 400):
+        texts = template_pages(random.Random(n), n)
+        assert 0.7 < share(texts[0], texts[1]) < 0.8
+        compared.clear()
+        assert near_copies.first_of_near_copies(documents(spark, texts)).count() == n
+        sizes[n] = sum(compared)
+    assert sizes[400] < 2.2 * sizes[200] and sizes[400] < 400 * 25
+
+
+def test_similar_sets_share_a_rare_key():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 5, 64)
+    for _ in range(400):
+        n, m = rng.integers(1, 60, 2)
+        common = int(rng.integers(0, min(n, m) + 1))
+        pool = rng.choice(10**9, n + m - common, replace=False).astype(np.uint64)
+        a, b = np.sort(pool[:n]), np.sort(np.concatenate([pool[:common], pool[n:]]))
+        for least in (0.5, 0.8, 0.95):
+            if near_copies.similar(a, b, least):
+                one, two = (
+                    set(zip(*(v.tolist() for v in near_copies.prefix_keys(x, counts, least)))) for x in (a, b)
+                )
+                assert any((key, -side) in two for key, side in one), (n, m, common, least)

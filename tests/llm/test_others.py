@@ -37,7 +37,7 @@ def test_disguised_words_are_restored():
     model = model_of(words(rng, 4000) + " idiot stupid moron loser scum " * 60)
     disguises = {
         "idiot": ["1d10t", "i.d.i.o.t", "idiooot", "!d!ot", "iiidiot", "i-d-i-o-t", "id1ot!!!", "idiot***"],
-        "stupid": ["5tup1d", "$tupid", "sstupid"[1:], "st.up.id", "stuuuupid"],
+        "stupid": ["5tup1d", "$tupid", "sstupid", "st.up.id", "stuuuupid"],
         "moron": ["m0r0n", "m.o.r.o.n", "mo_ron"],
         "scum": ["$cum", "scuuum", "s-c-u-m"],
     }
@@ -47,6 +47,14 @@ def test_disguised_words_are_restored():
     assert [toxicity.words_of(r, model, True) for r in toxicity.spaced_runs("an i d i o t, l o s e r!")] == [
         ["idiot"], ["loser"],
     ]
+    for text in ("so i  d  i  o  t", "i\td\ti\to\tt x1y", "i \n d i o  t"):
+        assert [toxicity.words_of(r, model, True) for r in toxicity.spaced_runs(text)] == [["idiot"]], text
+    for form, word in (
+        ("iidiiott", "idiot"), ("loosser", "loser"), ("i---d---i---o---t", "idiot"), ("m***o***r***o***n", "moron"),
+        ("4$$", None), ("70$3|2", None), ("!!!moron$$$", "moron"),
+    ):
+        found = toxicity.words_of(form, model)
+        assert found == [word] if word else found, form
     for word in ("plain", "straße", "汉字", "о"):
         assert toxicity.words_of(word, model) == [word]
     assert toxicity.words_of("12345", model) == [] and toxicity.words_of("?!", model) == []

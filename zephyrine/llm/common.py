@@ -17,8 +17,8 @@ ORACLES: dict[str, str] = {}
 # Rows of ids or short keys that may be broadcast: 16 bytes each, 16 MB at most.
 BROADCAST_ROWS = 1_000_000
 
-# Texts per Arrow batch: a worker holds one batch at a time.
-BATCH_ROWS = 256
+# Texts per Arrow batch, and its bytes: a worker holds one batch at a time.
+BATCH_ROWS, BATCH_BYTES = 256, "4m"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -49,6 +49,7 @@ def fold(doc_id: str | Column, parts: int) -> Column:
 def small_batches(spark: SparkSession) -> None:
     """Long texts make large batches, so a batch of them holds few rows."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

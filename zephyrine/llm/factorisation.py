@@ -30,7 +30,7 @@ BATCH = 64
 RATE = 0.02
 DECAY = 1e-4
 SEED = 20_240_101
-REMEMBERED = 400_000
+REMEMBERED = 50_000
 
 _SYMBOLS = re.compile(r"[#*$%&|<>!]")
 _DIGITS = re.compile(r"[0-9]")

@@ -2,9 +2,13 @@
 
 Min-hash bands name the candidates: two documents agree in a band of five minima with the
 fifth power of their similarity, so of pairs at 0.8 fewer than one in ten thousand agree in
-none of 24 bands. Every candidate pair is then told by its exact shingle sets. In a large
-band the documents are compared with a few of their own, those found similar leave, and the
-rest is compared again, so no band lists all its pairs.
+none of 24 bands. Every candidate pair is then told by its exact shingle sets. The documents
+of a band are compared with its first one, and those found similar leave.
+
+Pages of one template agree in bands without being near copies, so a large band that is left
+is divided by rare shingles: two sets that share 0.8 of their union share one of their first
+few shingles in any fixed order, a ninth of a set if the two are equally long. In an order
+from rare to frequent, pages of a template differ in those, and none of them are compared.
 """
 
 from __future__ import annotations
@@ -17,16 +21,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zephyrine.llm.common import small_batches, small_side, spare_name, written
+from zephyrine.llm.common import extended, small_batches, small_side, spare_name, written
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 24, 5
-# Documents of a band that all others are compared with: one in the first round, then each
-# time so many times more, so that what is left of a band takes few rounds.
+# Documents that all others of a group are compared with: one in the first round, then each
+# time so many times more, so that what is left of a group takes few rounds.
 MORE_LEADERS = 8
-# Shingle sets (a few kB each) that may be broadcast.
-BROADCAST_SETS = 4_000
+# Documents of a band from which it is divided by rare shingles.
+LARGE_BAND = 64
+# Counters of shingles that tell rare from frequent ones, and steps of set sizes.
+COUNTERS, SIZE_STEP = 1 << 18, 1.05
+# Bytes of shingle sets that may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 _SEED = 42
 _FACTORS = np.random.default_rng(_SEED).integers(0, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * 2 + 1
@@ -95,10 +103,101 @@ def _marked(docs: DataFrame, words: int) -> DataFrame:
     return source.mapInArrow(scan, "doc_id bigint, text_hash bigint, copy bigint, keys array<bigint>")
 
 
+_SIZES = np.unique(np.ceil(SIZE_STEP ** np.arange(0, 600)).astype(np.float64))
+
+
+def prefix_keys(
+    hashes: np.ndarray, counts: np.ndarray, similarity: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of which two sets of that similarity share at least one, and their sides.
+
+    Of two sets with n and m values, similar ones share ``need`` values, so each holds one of
+    the shared ones among its first n + 1 - need. Sizes are told in steps: a key names a
+    shingle and the steps of both sizes, its side whether the set is the smaller (-1) or the
+    larger one (1) or both are of one step (0). Sets of one side need not meet there.
+    """
+    n = len(hashes)
+    order = np.lexsort((hashes, counts[hashes % np.uint64(len(counts))]))
+    ranked = hashes[order]
+    own = int(np.searchsorted(_SIZES, n, "right"))
+    least = max(1, int(np.ceil(similarity * n - 1e-9)))
+    low, high = (int(np.searchsorted(_SIZES, m, "right")) for m in (least, int(n / similarity + 1e-9)))
+    found, sides = [], []
+    for step in range(low, high + 1):
+        smallest = max(least, int(_SIZES[step - 1]))
+        need = int(np.ceil(similarity / (1 + similarity) * (n + smallest) - 1e-9))
+        pair = np.array([min(own, step), max(own, step)], np.uint64).tobytes()
+        mark = np.uint64(xxhash.xxh64_intdigest(pair, _SEED) | 1)
+        found.append(ranked[: max(n + 1 - need, 0)] * mark)
+        sides.append(np.full(len(found[-1]), np.sign(own - step), np.int8))
+    return np.concatenate(found).view(np.int64), np.concatenate(sides)
+
+
+def _counters(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur, by their remainder: a fixed number of counters."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                np.add.at(total, np.frombuffer(packed, np.uint64) % np.uint64(COUNTERS), 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["at", "n"])
+
+    rows = sets.select("hashes").mapInArrow(scan, "at bigint, n bigint")
+    found = rows.groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # COUNTERS rows at most
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return counts
+
+
+def _divided(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Members of small bands as they are; those of large bands under their rare shingles."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    large = written(sizes.filter(F.col("n") > LARGE_BAND).select(F.col("key").alias("_key")), "large")
+    if large.isEmpty():
+        return members
+    within = small_side(large)
+    small = members.join(within, F.col("key") == F.col("_key"), "left_anti")
+    crowded = members.join(within, F.col("key") == F.col("_key"), "left_semi")
+    named = written(crowded.select(F.col("copy").alias("_copy")).distinct(), "crowded")
+    own = sets.join(small_side(named), F.col("copy") == F.col("_copy"), "left_semi")
+    counts = members.sparkSession.sparkContext.broadcast(_counters(own))  # COUNTERS numbers
+    types = extended(own.select("copy", "place"), "keys array<bigint>, sides array<tinyint>")
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [
+                prefix_keys(np.frombuffer(packed, np.uint64), counts.value, similarity)
+                for packed in batch.column(2).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([k for k, _ in keys], pa.list_(pa.int64())),
+                    pa.array([s for _, s in keys], pa.list_(pa.int8())),
+                ],
+                types.names,
+            )
+
+    rare = own.select("copy", "place", "hashes").mapInArrow(scan, types)
+    rare = rare.select("copy", F.explode(F.arrays_zip("keys", "sides")).alias("of"), "place")
+    rare = rare.select("copy", F.col("of.keys").alias("key"), F.col("of.sides").alias("side"), "place")
+    out = written(_shared(written(rare, "rare")).unionByName(small), "divided")
+    counts.destroy()
+    return out
+
+
 def _shared(members: DataFrame) -> DataFrame:
-    """``(copy, key)`` rows of the keys that two or more copies have."""
-    keys = members.groupBy("key").agg(F.min("copy").alias("low"), F.max("copy").alias("high"))
-    several = written(keys.filter("low <> high").select(F.col("key").alias("_key")), "shared")
+    """The rows of the keys that two or more copies have, on both sides if it has sides."""
+    keys = members.groupBy("key").agg(
+        F.min("copy").alias("low"),
+        F.max("copy").alias("high"),
+        (F.min("side") * F.max("side")).alias("sides"),
+    )
+    met = keys.filter("low <> high AND sides <= 0")
+    several = written(met.select(F.col("key").alias("_key")), "shared")
     return members.join(small_side(several), F.col("key") == F.col("_key"), "left_semi")
 
 
@@ -138,7 +237,9 @@ def _told(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         "leaders",
     )
     own = pairs.join(sets.withColumnRenamed("copy", "_copy"), F.col("copy") == F.col("_copy"))
-    both = own.join(small_side(led, bound=BROADCAST_SETS), F.col("leader") == F.col("_leader"))
+    held = led.agg(F.sum(F.length("leader_hashes") + 64)).first()[0] or 0
+    side = F.broadcast(led) if held <= BROADCAST_BYTES else led
+    both = own.join(side, F.col("leader") == F.col("_leader"))
     later = F.when(F.col("place") > F.col("leader_place"), F.col("copy")).otherwise(F.col("leader"))
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +256,13 @@ def _gone(docs: DataFrame, firsts: DataFrame, words: int, similarity: float) ->
     """``gone``: copies similar to an earlier one, by rounds over what is not yet compared."""
     spark = docs.sparkSession
     members = written(
-        _shared(written(firsts.select("copy", F.explode("keys").alias("key")), "bands")), "members"
+        _shared(
+            written(
+                firsts.select("copy", F.explode("keys").alias("key"), F.lit(0).cast("tinyint").alias("side")),
+                "bands",
+            )
+        ),
+        "members",
     )
     if members.isEmpty():
         return None
@@ -182,6 +289,8 @@ def _gone(docs: DataFrame, firsts: DataFrame, words: int, similarity: float) ->
         left = members.join(small_side(found), F.col("copy") == F.col("gone"), "left_anti")
         left = written(left.join(small_side(chosen), led, "left_anti"), "left")
         members = written(_shared(left), "members")
+        if salts == 1:
+            members = _divided(members, sets, similarity)
         salts *= MORE_LEADERS
     return written(every.distinct(), "all-gone")
 

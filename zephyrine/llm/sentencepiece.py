@@ -35,7 +35,7 @@ MARK = "▁"
 CHUNK = 16_384
 FAN = 64
 # Words a worker remembers, and the longest word worth remembering.
-REMEMBERED = 400_000
+REMEMBERED = 50_000
 SHORT = 64
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"

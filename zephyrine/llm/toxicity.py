@@ -1,17 +1,16 @@
 """Toxicity scores of deobfuscated text.
 
 A noisy-channel decoder restores disguised words: each odd token becomes a lattice of what
-its characters may stand for (look-alike digits and symbols, repeated letters, separators
-between letters, single spaced letters), and the Viterbi path under a character trigram
-model gives the words. The model is counted over every document. Restored words and their
-beginnings are then weighed by how often they occur in documents labelled toxic.
+its characters may stand for (look-alike digits and symbols, letters repeated twice or more,
+separators of any length between letters, single spaced letters), and the Viterbi path under
+a character trigram model gives the words. The model is counted over every document. Words,
+as they stand and restored, and their beginnings are then weighed by how often they occur in
+documents labelled toxic.
 """
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -19,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -28,7 +27,7 @@ from zephyrine.llm.common import hashed_sample, small_batches, spare_name, writt
 # Labelled documents the weights are learned from, about.
 SAMPLE_ROWS = 20_000
 # Tokens a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 50_000
 
 # Look-alikes: what a digit or symbol between letters may stand for.
 LOOK_ALIKES = {
@@ -39,6 +38,8 @@ LOOK_ALIKES = {
 
 # Costs of the channel, in natural logarithms.
 SUBSTITUTE, DELETE, BREAK, COLLAPSE, SPACED_BREAK = 1.0, 1.0, 2.0, 1.5, 3.0
+# A letter that stands twice is as likely doubled by the writer as by the word.
+COLLAPSE_TWO = 0.25
 # Look-alikes are meant to be read: dropping one costs this many times a separator.
 READ_SYMBOL, READ_DIGIT = 8, 12
 
@@ -50,15 +51,19 @@ _TABLE = np.zeros(257, np.int64)
 for _c, _i in _CLASS.items():
     _TABLE[ord(_c)] = _i
 
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}[.,;:!?]*(?!\S)")
-_REPEATED = re.compile(r"(.)\1\1", re.S)
-_SYMBOL_RUN = re.compile(r"([^\w\s])\1\1+")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}[.,;:!?]*(?!\S)")
+_REPEATED = re.compile(r"(.)\1", re.S)
+# Three or more equal symbols at an end are decoration.
+_DECORATION = re.compile(r"^(?:([^\w\s])\1\1+)+|(?:([^\w\s])\2\2+)+$")
 _PUNCTUATION = "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~«»“”„…"
 _FRONT = _PUNCTUATION.replace("!", "").replace("|", "")
 # Beginnings of words, in characters, that are weighed besides whole words.
 BEGINNINGS = range(3, 9)
 # Odd factors that put hashes in different orders.
 _ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+# Share of the telling words, and of the telling beginnings, that may be so by chance:
+# beginnings stand in many more documents.
+CHANCE, CHANCE_BEGINNING = 0.15, 0.001
 # Share of toxic documents from which a beginning of telling words tells by itself.
 PURE = 0.9
 
@@ -122,7 +127,7 @@ def _options(char: str, run: int, spaced: bool) -> list[tuple[str, float]]:
     """What a run of one character may stand for, with costs; a space is a word border."""
     found: list[tuple[str, float]] = []
     if char in _CLASS:
-        once = 0.0 if run != 2 else COLLAPSE
+        once = 0.0 if run != 2 else COLLAPSE_TWO
         found.append((char, once))
         if run > 1:
             found.append((char * 2, COLLAPSE if run > 2 else 0.0))
@@ -134,6 +139,8 @@ def _options(char: str, run: int, spaced: bool) -> list[tuple[str, float]]:
         if run > 1:
             found.append((letter * 2, SUBSTITUTE * 2))
     weight = 1 if char not in LOOK_ALIKES else READ_DIGIT if char.isdigit() else READ_SYMBOL
+    if run > 2 and not char.isdigit():  # a long run separates
+        weight = 1
     found.append(("", DELETE * weight))
     found.append((" ", BREAK * max(1, weight // 2)))
     return found
@@ -167,22 +174,32 @@ def restore(token: str, model: list, spaced: bool = False) -> list[str]:
 
 
 def words_of(token: str, model: list, spaced: bool = False) -> list[str]:
-    """Restored words of a white-space token; none without any letter or look-alike."""
-    core = _SYMBOL_RUN.sub(" ", token).strip()
-    if " " in core:
-        return [w for part in core.split() for w in words_of(part, model, spaced)]
+    """Restored words of a white-space token; none without any letter or look-alike symbol."""
+    core = token
+    while (bare := _DECORATION.sub("", core)) != core:
+        core = bare
     core = core.rstrip(_PUNCTUATION).lstrip(_FRONT)
     if not spaced and core.isalpha() and not _REPEATED.search(core):
         return [core]
     if not any(c in _CLASS for c in core):
-        # Other scripts and plain numbers stay as they are; spaced look-alikes need a letter.
-        return [core] if core.isalpha() else []
+        if core.isalpha():  # other scripts stay as they are
+            return [core]
+        read = sum(c in LOOK_ALIKES for c in core)
+        if spaced or read < 3 or core.isdigit() or not any(c in LOOK_ALIKES for c in core if not c.isdigit()):
+            return []  # plain numbers; spaced look-alikes need a letter
     return restore(core, model, spaced)
 
 
+def readings(token: str, model: list, spaced: bool = False) -> list[str]:
+    """The restored words, and the token itself if it is a plain word."""
+    restored = words_of(token, model, spaced)
+    plain = token.strip(_PUNCTUATION)
+    return [*restored, plain] if plain.isalpha() and plain not in restored and not spaced else restored
+
+
 def spaced_runs(text: str) -> list[str]:
-    """Three or more single characters with a space between them, put together."""
-    return [run.replace(" ", "") for run in _SPACED.findall(text)]
+    """Three or more single characters with white space between them, put together."""
+    return ["".join(run.split()) for run in _SPACED.findall(text)]
 
 
 def features(word: str) -> list[str]:
@@ -192,9 +209,9 @@ def features(word: str) -> list[str]:
 
 def document_words(text: str | None, model: list) -> set[str]:
     lowered = (text or "").lower()
-    found = {w for token in set(lowered.split()) for w in words_of(token, model)}
+    found = {w for token in set(lowered.split()) for w in readings(token, model)}
     for run in set(spaced_runs(lowered)):
-        found.update(words_of(run, model, True))
+        found.update(readings(run, model, True))
     return found
 
 
@@ -212,7 +229,7 @@ class Scorer:
 
     def weight(self, token: str, spaced: bool = False) -> float:
         get = self.weights.get
-        found = [get(f, 0.0) for w in words_of(token, self.model, spaced) for f in features(w)]
+        found = [get(f, 0.0) for w in readings(token, self.model, spaced) for f in features(w)]
         return max(found, default=0.0)
 
     def score(self, text: str | None) -> float:
@@ -233,13 +250,35 @@ class Scorer:
         return max(top, self.base)
 
 
-def _surprising(rows: pd.DataFrame, rate: float) -> pd.DataFrame:
-    """Features more common in toxic documents than chance allows among as many as were tried."""
+def _surprising(
+    rows: pd.DataFrame, rate: float, tried: dict[int, int], chance: float
+) -> pd.DataFrame:
+    """Features more common in toxic documents than chance allows.
+
+    ``tried`` has the number of such features per power of two of their documents. Of those
+    of one size the best are taken, as many as keep the share that chance would give them
+    under ``chance`` of what is taken, and under one feature.
+    """
     k, n = rows["toxic"].to_numpy(float), rows["n"].to_numpy(float)
-    ratio = k * np.log(np.maximum(k, 1) / (n * rate))
-    rest = n - k
-    ratio += np.where(rest > 0, rest * np.log(np.maximum(rest, 1) / (n * (1 - rate))), 0)
-    return rows[(k > n * rate) & (ratio >= math.log(max(len(rows), 1)) + 3)]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = k * np.log(k / (n * rate))
+        rest = np.maximum(n - k, 0)
+        ratio += np.where(rest > 1e-9, rest * np.log(rest / (n * (1 - rate))), 0)
+    odds = np.where(k > n * rate, np.exp(-ratio), 1.0)
+    sizes = np.array(_sizes(n), int)
+    taken = np.zeros(len(rows), bool)
+    for size in np.unique(sizes):
+        own = np.flatnonzero(sizes == size)
+        ranked = own[np.argsort(odds[own], kind="stable")]
+        by_chance = odds[ranked] * tried.get(int(size), 1)
+        fits = by_chance <= np.minimum(chance * np.arange(1, len(ranked) + 1), 1.0)
+        if fits.any():
+            taken[ranked[: np.flatnonzero(fits)[-1] + 1]] = True
+    return rows[taken]
+
+
+def _sizes(n: np.ndarray) -> list[int]:
+    return np.floor(np.log2(np.maximum(n, 1e-9))).astype(int).tolist()
 
 
 def signatures(text: str | None) -> list[int]:
@@ -251,69 +290,84 @@ def signatures(text: str | None) -> list[int]:
     return [int((hashes * np.uint64(k)).min() >> np.uint64(1)) for k in _ORDERS]
 
 
-def _without_copies(chosen: DataFrame) -> DataFrame:
-    """One row of those that share a signature: copies are no evidence of their own."""
+def _weighed(chosen: DataFrame) -> DataFrame:
+    """``text, toxic, weight``: copies under one label count together as one document.
+
+    A row weighs one over the most rows of its label that share one of its signatures. Rows
+    are the bounded sample.
+    """
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [signatures(t) for t in batch.column(1).to_pylist()]
+            found = [signatures(t) for t in batch.column(0).to_pylist()]
             columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(len(_ORDERS))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
 
     marks = [f"s{i}" for i in range(len(_ORDERS))]
-    names = ["doc_id", "text", "toxic", *marks]
-    rows = chosen.select(F.col("doc_id").cast("bigint"), "text", F.col("toxic").cast("int")).mapInArrow(
-        sign, "doc_id bigint, text string, toxic int, " + ", ".join(f"{m} bigint" for m in marks)
+    names = ["text", "toxic", *marks]
+    rows = chosen.select("text", F.col("toxic").cast("int")).mapInArrow(
+        sign, "text string, toxic int, " + ", ".join(f"{m} bigint" for m in marks)
     )
-    for mark in marks:
-        rows = rows.groupBy(mark).agg(F.min_by(F.struct(*names), "doc_id").alias("row")).select("row.*")
-    return rows.drop(*marks)
+    alike = [F.count("*").over(Window.partitionBy("toxic", mark)) for mark in marks]
+    return rows.select("text", "toxic", (F.lit(1.0) / F.greatest(*alike)).alias("weight"))
 
 
-def _counted(chosen: DataFrame, model, left_out) -> pd.DataFrame:
-    """Documents and toxic documents per feature; words in ``left_out`` are passed over.
+def _counted(
+    chosen: DataFrame, model, left_out: set[str]
+) -> tuple[pd.DataFrame, dict[bool, dict[int, int]]]:
+    """Weights of all and of toxic documents per feature; words in ``left_out`` are passed over.
 
-    Only features of four toxic documents or more come back: their number is bounded by the
-    sample. The empty feature stands for every document.
+    Only features of two toxic documents' weight or more come back, bounded by the sample,
+    with the number of words and of beginnings per power of two of their weight. The empty
+    feature stands for every document.
     """
+    passed = chosen.sparkSession.sparkContext.broadcast(left_out)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every: Counter[str] = Counter()
-        toxic: Counter[str] = Counter()
+        every: dict[str, float] = {}
+        toxic: dict[str, float] = {}
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = document_words(text, model.value) - left_out.value
+            for text, label, weight in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                found = document_words(text, model.value) - passed.value
                 seen = {f for w in found for f in features(w)}
                 seen.add("")
-                every.update(seen)
-                if label:
-                    toxic.update(seen)
+                for f in seen:
+                    every[f] = every.get(f, 0.0) + weight
+                    if label:
+                        toxic[f] = toxic.get(f, 0.0) + weight
         keys = list(every)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(keys, pa.string()),
-                pa.array([toxic[k] for k in keys], pa.int64()),
-                pa.array([every[k] for k in keys], pa.int64()),
+                pa.array([toxic.get(k, 0.0) for k in keys], pa.float64()),
+                pa.array([every[k] for k in keys], pa.float64()),
             ],
             ["feature", "toxic", "n"],
         )
 
-    counts = (
-        chosen.select("text", F.col("toxic").cast("int").alias("toxic"))
-        .mapInArrow(count, "feature string, toxic bigint, n bigint")
+    counts = written(
+        chosen.mapInArrow(count, "feature string, toxic double, n double")
         .groupBy("feature")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+        .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")),
+        "counts",
     )
-    return counts.filter("feature = '' OR toxic >= 4").toPandas()
+    size = F.floor(F.log2(F.greatest("n", F.lit(1e-9)))).cast("int")
+    kinds = counts.groupBy(F.startswith("feature", F.lit("^")).alias("begins"), size.alias("size")).count()
+    tried: dict[bool, dict[int, int]] = {False: {}, True: {}}
+    for r in kinds.collect():  # a row per kind and power of two
+        tried[r["begins"]][r["size"]] = r["count"]
+    rows = counts.filter("feature = '' OR toxic >= 1.99").toPandas()
+    passed.destroy()
+    return rows, tried
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Scorer:
     """Counts the language model over ``docs`` and learns weights from ``labels``.
 
     ``labels`` has ``doc_id`` and ``toxic``; about ``sample`` ids drawn by hash are used, an id
-    labelled twice counts as its larger label. Of near copies one is counted, since a toxic
-    text that is copied would make all its words telling. A weight is the share of toxic documents among
-    those with the feature. Telling words are found first; a beginning is weighed by the
+    labelled twice counts as its larger label. Near copies of one label count together as one
+    document, since a toxic text that is copied would make all its words telling. A weight is
+    the share of toxic documents among those with the feature. Telling words are found first; a beginning is weighed by the
     other words that have it, and by telling words only if there are no others. Without
     labels of both kinds all scores are the base rate.
     """
@@ -326,24 +380,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Scorer
     )
     drawn = hashed_sample(known, "doc_id", known.count(), sample)
     found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # ``sample`` rows
-    chosen = written(_without_copies(found), "sample")
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast(model)
+    chosen = written(_weighed(found), "sample")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    rows = _counted(chosen, shared, context.broadcast(set()))
+    rows, tried = _counted(chosen, shared, set())
     whole = rows[rows["feature"] == ""]
-    total, positive = int(whole["n"].sum()), int(whole["toxic"].sum())
+    total, positive = float(whole["n"].sum()), float(whole["toxic"].sum())
     if not 0 < positive < total:
+        shared.destroy()
         return Scorer(model, {}, positive / total if total else 0.0)
     rate = positive / total
     rows = rows[rows["feature"] != ""]
     beginnings = rows["feature"].str.startswith("^")
-    words = _surprising(rows[~beginnings], rate)
-    rest = _counted(chosen, shared, context.broadcast(set(words["feature"])))
+    words = _surprising(rows[~beginnings], rate, tried[False], CHANCE)
+    rest, still_tried = _counted(chosen, shared, set(words["feature"]))
+    shared.destroy()
     others = rest[rest["feature"].str.startswith("^")]
     pure = rows[beginnings & (rows["toxic"] >= PURE * rows["n"])]
     pure = pure[~pure["feature"].isin(set(others["feature"]))]
-    telling = pd.concat([words, _surprising(others, rate), _surprising(pure, rate)])
+    begun = [
+        _surprising(others, rate, still_tried[True], CHANCE_BEGINNING),
+        _surprising(pure, rate, tried[True], CHANCE_BEGINNING),
+    ]
+    telling = pd.concat([words, *begun])
     shares = (telling["toxic"] + rate) / (telling["n"] + 1)
     return Scorer(model, dict(zip(telling["feature"], shares)), 0.1 * rate)
 
