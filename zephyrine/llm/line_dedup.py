@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from zephyrine.llm.common import small_side, spare_name, written
 
-# Shorter lines are left alone: a copy cannot be told from coincidence.
+# Shorter lines are not held against lines one edit away: many words are that close.
 MIN_CHARS = 20
+# A line with a word.
+WORD = r"[^\x20\x09-\x0D]"
 # Shortest segment whose variants are listed; longer lines use the root of their length.
 SEGMENT = 16
 
@@ -30,14 +32,14 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "line_no")
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``place, line, line_id`` of every line with enough characters; a NULL text has none."""
+def _lines(docs: DataFrame, min_chars: int = 0) -> DataFrame:
+    """``place, line, line_id`` of every line with a word and enough characters."""
     exploded = docs.select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
         F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
     )
-    return exploded.filter(F.length("line") >= min_chars).select(
+    return exploded.filter((F.length("line") >= min_chars) & F.col("line").rlike(WORD)).select(
         _place().alias("place"), "line", F.unhex(F.md5("line")).alias("line_id")
     )
 
@@ -149,13 +151,14 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     earlier line equals it, else as ``near`` if an earlier line is within one edit (one
     character put in, taken away or replaced). The kept line named is the earliest equal
     one, or the earliest within one edit. Lines are in order of ``doc_id``, NULL last, equal
-    ids by text. Lines under ``min_chars`` characters stay, so blank ones do, and NULL and
+    ids by text. Lines of any length are dropped as ``exact``; as ``near`` only those of
+    ``min_chars`` characters or more, against such. Lines without a word stay, and NULL and
     empty texts drop nothing. Rows equal in id and text are one document. Columns other than
     ``doc_id`` and ``text`` are not read.
     """
     docs = docs.select("doc_id", "text")
     near = written(_near(docs, min_chars), "near")
-    lines = _lines(docs, min_chars).select("line_id", "place")
+    lines = _lines(docs).select("line_id", "place")
     counted = lines.groupBy("line_id").agg(
         F.min("place").alias("first"), F.max("place").alias("last")
     )
@@ -201,6 +204,6 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataF
     stay = F.array_except(F.sequence(F.lit(0), F.size(rest) - 1), gone)
     text = F.array_join(F.transform(stay, lambda i: F.get(rest, i)), "\n")
     cut = split.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(text))
-    return cut.filter(F.col(gone).isNull() | F.col("text").rlike(r"\S")).select(
+    return cut.filter(F.col(gone).isNull() | F.col("text").rlike(WORD)).select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )

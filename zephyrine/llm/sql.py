@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from zephyrine.llm.decontaminate import UPPER
-from zephyrine.llm.line_dedup import MIN_CHARS
 from zephyrine.llm.url_filter import RULES
 
 _LOWER = f"translate({{0}}, '{UPPER}', '{UPPER.lower()}')"
@@ -19,11 +18,12 @@ WITH split AS (
   SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 line AS (
   SELECT doc_id, i - 1 AS line_no, lines[i] AS line, doc_id * 1000000 + i - 1 AS place
-  FROM split, unnest(range(1, len(lines) + 1)) AS t(i) WHERE length(lines[i]) >= {MIN_CHARS}),
+  FROM split, unnest(range(1, len(lines) + 1)) AS t(i) WHERE regexp_matches(lines[i], '[^\x20\x09-\x0D]')),
 firsts AS (SELECT line, length(line) AS n, min(place) AS place FROM line GROUP BY line),
 half AS (
   SELECT f.*, m, side, CASE side WHEN 'l' THEN left(line, m // 2) ELSE right(line, m // 2) END AS piece
-  FROM firsts f, unnest([n - 1, n]) AS t(m), (VALUES ('l'), ('r')) AS s(side)),
+  FROM firsts f, unnest([n - 1, n]) AS t(m), (VALUES ('l'), ('r')) AS s(side)
+  WHERE n >= 20),
 pair AS (
   SELECT DISTINCT a.line AS early, b.line AS late, a.place AS near, a.n AS an, b.n AS bn
   FROM half a JOIN half b USING (m, side, piece)
