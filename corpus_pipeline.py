@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zephyrine.llm import decontaminate, line_dedup, near_copies, sentencepiece, toxicity
+from zephyrine.llm import decontaminate, line_dedup, near_copies, sentencepiece, simhash, toxicity
 from zephyrine.llm.common import table, written
 
 
@@ -19,8 +19,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share 0.8 of their five-word shingles with an earlier one go."""
-    return near_copies.first_of_near_copies(docs)
+    """One document of each group of near-duplicates stays.
+
+    First by fingerprints of five-word shingles, two bits or less apart; of what they leave,
+    documents that share 0.8 of their shingles with an earlier one go.
+    """
+    return near_copies.first_of_near_copies(simhash.first_of_each_group(docs, words=near_copies.WORDS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
