@@ -177,10 +177,28 @@ def test_target_bytes_and_odd_tables(spark):
         sharding.shards(docs)
 
 
+def test_equal_rows_are_spread_over_shards_and_blocks(spark):
+    rng = random.Random(12)
+    texts = [None] * 1500 + [words(rng, 6) for _ in range(500)] + ["same"] * 500
+    ids = [None] * 1500 + list(range(500)) + [7] * 500
+    docs = documents(spark, texts, ids, langs=["en"] * 2500).repartition(4)
+    got = sharding.shards(docs, leaves=5)
+    sizes = {r["shard"]: r["total"] for r in got.groupBy("shard").agg(F.sum("size").alias("total")).collect()}
+    mean = sum(sizes.values()) / 5
+    assert len(sizes) == 5 and max(abs(v - mean) for v in sizes.values()) < 0.05 * mean
+    placed = sharding.shard(common.written(sharding.document_rows(docs), "t"), 2, 3)
+    numbered = sharding.numbered(common.written(placed, "t"), block_rows=20).collect()
+    for shard in (0, 1):
+        slots = sorted(r["slot"] for r in numbered if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert len({(r["block"], r["part"]) for r in numbered if r["doc_id"] is None}) > 5
+
+
 def test_slots_of_many_blocks(spark):
     rows = spark.range(5000).select(
-        F.col("id").alias("doc_id"), F.lit(1).alias("text_hash"), (F.col("id") % 2).cast("int").alias("shard")
-    )
+        F.col("id").alias("doc_id"), F.lit(1).alias("text_hash"), (F.col("id") % 2).cast("int").alias("shard"),
+        F.xxhash64("id").alias("salt"),
+    )
     got = sharding.numbered(rows, block_rows=100)
     for shard in (0, 1):
         assert sorted(r["slot"] for r in got.filter(F.col("shard") == shard).collect()) == list(range(2500))
@@ -244,6 +262,45 @@ def test_shared_passages_are_found_and_clean_texts_left(spark):
         assert left[i] == data.decode()
 
 
+def plain_spans(texts: list[str], least: int) -> set[tuple]:
+    """Runs of chunks seen before whose neighbours were seen side by side before."""
+    seen, pairs, out = set(), set(), set()
+    for i, text in enumerate(texts):
+        data, ends, run, before = text.encode(), chunk_dedup.chunk_ends(text.encode()), None, None
+        for begin, end in zip([0, *ends[:-1]], ends):
+            chunk = data[begin:end]
+            if chunk in seen and run and before is not None and (before, chunk) in pairs:
+                run[1] = end
+            else:
+                if run and run[1] - run[0] >= least:
+                    out.add((i, run[0], run[1] - run[0]))
+                run = [begin, end] if chunk in seen else None
+            seen.add(chunk)
+            pairs.add((before, chunk))
+            before = chunk
+        if run and run[1] - run[0] >= least:
+            out.add((i, run[0], run[1] - run[0]))
+    return out
+
+
+def test_spans_equal_brute_force_and_chance_makes_none(spark):
+    rng = random.Random(21)
+    texts = [words(rng, rng.randrange(20, 120)) for _ in range(60)]
+    passage = words(rng, 60)
+    for k in range(0, 60, 4):
+        texts[k] += " " + passage + " " + words(rng, 5)
+    pieces = []
+    for text in texts[:40]:  # chunks of many documents, one after another
+        ends = chunk_dedup.chunk_ends(text.encode())
+        at = rng.randrange(1, len(ends) - 1)
+        pieces.append(text.encode()[ends[at - 1] : ends[at]].decode("utf-8", "ignore"))
+    texts += ["".join(pieces[k : k + 8]) for k in range(0, 40, 8)] + [texts[3] + texts[5], texts[8][100:]]
+    texts += [texts[1] + texts[1], passage[:50] + passage]
+    got = chunk_dedup.copied_spans(documents(spark, texts), 60)
+    found = {(r["doc_id"], r["start"], r["size"]) for r in got.collect()}
+    assert found == plain_spans(texts, 60) and len(found) > 15
+
+
 def test_chunks_of_odd_rows(spark):
     whole = words(random.Random(10), 100)
     docs = documents(spark, [*ODD_TEXTS, whole, whole, whole, whole], [None, *range(1, len(ODD_TEXTS)), 90, 90, 91, None])
@@ -313,6 +370,53 @@ def test_blocks_reach_aliases_and_allowing_comes_first(spark):
     assert sorted(r["verdict"] for r in url_filter.judge(twice).collect()) == ["block"] * 5
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["http://a.org/x/y.html?q=1#f", "https://b.net", "http://c.com/", "http://d.org/a/b/c/", "HTTP://E.org/p;q/r"],
+)
+def test_targets_resolve_by_the_usual_rules(spark, page):
+    from urllib.parse import urljoin
+
+    targets = [
+        "next.html", "../a", "../../../z", "./", ".", "..", "../", "?id=2", "/r/./s/../t", "//h.org/k?x", "g;x=1/../y",
+        "https://t.org/u/../v", "/login?next=http://x/", "a/b/../../c/", "/", "sub/?a=b&amp;c=d", " spaced ", "/..",
+    ]
+    rows = spark.createDataFrame([(page, t) for t in targets], "url STRING, target STRING")
+    got = rows.select("target", url_filter.resolved(F.col("target"), F.col("url")).alias("to")).collect()
+    scheme = page.split(":")[0]
+    for r in got:
+        plain = r["target"].replace("&amp;", "&").strip()
+        if "://" in plain.split("?")[0]:
+            assert r["to"] == plain  # an absolute address stays as it is written
+            continue
+        expected = urljoin(page.replace(scheme, "http", 1), plain).replace("http", scheme, 1)
+        assert r["to"].rstrip("/") == expected.rstrip("/"), (page, r["target"])
+
+
+def test_every_link_form_of_a_page_is_an_edge(spark):
+    blocked = "http://a.net/es/1"
+    forms = {
+        "quoted": f"<meta content=\"0; url='{blocked}'\" http-equiv=refresh>",
+        "double": f"<META HTTP-EQUIV='Refresh' CONTENT='5;URL=\"{blocked}\"'>",
+        "bare": f"<meta http-equiv=refresh content=0;url={blocked}>",
+        "no name": f'<meta http-equiv="refresh" content="0; {blocked}">',
+        "second": f'<link rel="canonical" href="http://own.org/"><link rel="canonical" href="{blocked}">',
+        "many": f'<link rel="alternate canonical" title="a > b" href={blocked} />',
+        "broken": f"<link\nrel='canonical'\nhref='{blocked}'\n>",
+    }
+    others = {
+        "other": f'<link rel="stylesheet" href="{blocked}">',
+        "data": f'<link rel="canonical" data-href="{blocked}" href="http://mine.org/">',
+        "name": f'<meta name="refresh" content="0; url={blocked}">',
+    }
+    rows = [(0, blocked, "")]
+    rows += [(k, f"http://p{k}.org/", html) for k, html in enumerate([*forms.values(), *others.values()], 1)]
+    rows += [(50, "http://a.net/es/x/p.html", ""), (51, "http://q.org/1", '<link rel=canonical href="../2?u=http://x">')]
+    rows += [(52, "http://q.org/2?u=http://x", '<meta http-equiv=refresh content="0;url=//a.net/es/x/p.html">')]
+    verdicts = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages(spark, rows)).collect()}
+    assert {i for i, v in verdicts.items() if v == "block"} == {*range(len(forms) + 1), 50, 51, 52}
+
+
 # --- the classifier ------------------------------------------------------------------------
 
 

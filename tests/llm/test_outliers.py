@@ -36,8 +36,9 @@ def test_statistics_follow_the_definition(spark):
     texts += ["l1 é#\n\nl1 é#\n l1 é#\n \n \n", "a|b <c> & $%*#" * 20, words(rng, 30) + "\n" + words(rng, 30)]
     got = outliers.judge(documents(spark, texts)).collect()
     assert {(r["doc_id"], *[r[n] for n in NAMES]) for r in got} == {(i, *plain(t)) for i, t in enumerate(texts)}
-    # So few rows have no estimate: only the hard limits hold.
-    assert all(r["kept"] == (not r["base_failed"]) for r in got)
+    # Few rows are judged too, held against all of them.
+    assert all(r["distance"] is not None and r["kept"] == (r["distance"] <= 40) for r in got if not r["base_failed"])
+    assert not any(r["kept"] for r in got if r["base_failed"])
 
 
 def clean(rng: random.Random) -> str:
@@ -62,7 +63,7 @@ def test_estimates_resist_a_quarter_of_outliers(spark):
     rows = [(i, "p", float(a), float(b)) for i, (a, b) in enumerate(np.vstack([good, bad]))]
     frame = spark.createDataFrame(rows, "i INT, pool STRING, x DOUBLE, y DOUBLE")
     told = outliers.robust_distances(
-        frame, ["x", "y"], [0.01, 0.01], F.xxhash64("i"), F.lit(True), median=1.386
+        frame, ["x", "y"], [0.01, 0.01], F.xxhash64("i"), frame, median=1.386
     )
     got = np.array([r["d2"] for r in told.orderBy("i").collect()])
     centred = good - good.mean(axis=0)
@@ -85,3 +86,20 @@ def test_odd_rows(spark):
     got = outliers.judge(docs)
     assert got.count() == 4 and got.filter("kept").count() == 0
     assert outliers.judge(docs.limit(0)).count() == 0
+
+
+def test_rows_of_rare_languages_are_judged_against_all(spark):
+    rng = random.Random(6)
+    texts = [clean(rng) for _ in range(220)]
+    junk = [re.sub(r" ", "%%% ", clean(rng)) for _ in range(6)]
+    langs = ["en"] * 200 + ["de"] * 12 + ["fr"] * 8 + ["de", "fr", None, "en", "xx", "xy"]
+    got = outliers.judge(documents(spark, texts + junk, langs=langs), pool_rows=100).orderBy("doc_id").collect()
+    assert all(r["distance"] is not None for r in got)
+    assert [r["kept"] for r in got] == [True] * 220 + [False] * 6
+
+
+def test_one_row_and_equal_rows_are_kept(spark):
+    text = clean(random.Random(7))
+    for n in (1, 2, 7):
+        got = outliers.judge(documents(spark, [text] * n)).collect()
+        assert len(got) == n and all(r["kept"] and r["distance"] == 0 for r in got)

@@ -19,7 +19,7 @@ from zephyrine.llm.common import small_side, written
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 
-# Groups with fewer rows are pooled by language, then all together.
+# Groups with fewer rows are pooled by language; those of small languages are held against all rows.
 POOL_ROWS = 500
 # Share of the rows that the estimates rest on.
 BULK = 0.75
@@ -34,6 +34,8 @@ BROADCAST_GROUPS = 50_000
 SALTS = 32
 
 _VECTOR = tuple(FLOORS)
+# The pool of all rows that pass the hard limits.
+EVERY = "all"
 
 
 def _neighbours(values: Column) -> Column:
@@ -120,8 +122,8 @@ def statistic_vector() -> list[Column]:
 def _pools(rows: DataFrame, least: int) -> DataFrame:
     """``(lang, source, pool)``: each pair's own pool, or a shared one if it has few rows.
 
-    Pairs under ``least`` rows share a pool per language, languages under it share one; if
-    that too is small it has no estimate. NULL is a value of its own.
+    Pairs under ``least`` rows share a pool per language; where that is under it too, the pool
+    is ``all``, which every row is counted in. NULL is a value of its own.
     """
     pairs = written(rows.groupBy("lang", "source").agg(F.count("*").alias("n")), "pairs")
     few = pairs.filter(F.col("n") < least).groupBy("lang").agg(F.sum("n").alias("n_lang"))
@@ -130,7 +132,7 @@ def _pools(rows: DataFrame, least: int) -> DataFrame:
     pool = (
         F.when(F.col("n") >= least, F.to_json(F.struct("lang", "source", F.lit(2).alias("by"))))
         .when(F.col("n_lang") >= least, F.to_json(F.struct("lang", F.lit(1).alias("by"))))
-        .otherwise(F.lit("all"))
+        .otherwise(F.lit(EVERY))
     )
     return written(
         named.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), pool.alias("pool")),
@@ -194,17 +196,17 @@ def robust_distances(
     names: Sequence[str],
     floors: Sequence[float],
     salt: Column,
-    fit: Column,
+    fitted: DataFrame,
     median: float = MEDIAN_DISTANCE,
     bulk: float = BULK,
     steps: int = STEPS,
 ) -> DataFrame:
     """Adds ``d2``, scaled so that its median over the fitted rows of a pool is ``median``.
 
-    ``rows`` is a written table with a ``pool``; rows under ``fit`` determine the estimates.
-    A pool without such rows has no distances.
+    ``rows`` is a written table with a ``pool``; the rows of ``fitted``, which has the same
+    columns, determine the estimates. A pool without such rows has no distances.
     """
-    fitted = rows.filter(fit).select("pool", *names, salt.alias("_spread"))
+    fitted = fitted.select("pool", *names, salt.alias("_spread"))
     spread = F.col("_spread")
     middles = written(
         fitted.groupBy("pool").agg(
@@ -241,7 +243,7 @@ def robust_distances(
     middle = written(_quantile(near, 0.5).withColumnRenamed("cut", "middle"), "middle")
     told = _with_groups(_distance(rows, estimates, names, salt), middle, salt)
     # A bulk tighter than the floors has a small median: its scale stays as it is.
-    scale = F.least(F.lit(1.0), F.lit(median) / F.col("middle"))
+    scale = F.when(F.col("middle") > median, F.lit(median) / F.col("middle"))
     return told.withColumn("d2", F.col("d2") * F.coalesce(scale, F.lit(1.0))).drop("middle")
 
 
@@ -250,8 +252,9 @@ def judge(docs: DataFrame, pool_rows: int = POOL_ROWS, limit: float = LIMIT) ->
 
     A document is rejected if it fails the hard limits (under 50 words, or over half of them
     repeated) or if its squared distance exceeds ``limit``. Rows that fail do not enter the
-    estimates. Groups are language and source, NULL being a value; small groups are pooled,
-    and if all of them together are few their rows are only held to the hard limits. Empty
+    estimates. Groups are language and source, NULL being a value; a small group is held
+    against its language, or, where that has few rows, against all rows, so every row past
+    the hard limits is judged at any size. Estimates of few rows lean on the floors. Empty
     tables give no rows; ties and repeated rows count as often as they occur; columns other
     than ``doc_id, text, lang, source`` are not read.
     """
@@ -264,12 +267,13 @@ def judge(docs: DataFrame, pool_rows: int = POOL_ROWS, limit: float = LIMIT) ->
     side = small_side(pools, sized, BROADCAST_GROUPS)
     pooled = vectors.join(side, pairs, "left").drop("_lang", "_source")
     pooled = written(pooled, "pooled")
-    enough = pooled.filter("NOT base_failed").groupBy("pool").agg(F.count("*").alias("n"))
-    enough = enough.filter(F.col("n") >= pool_rows).select("pool", F.lit(True).alias("enough"))
     salt = F.xxhash64("doc_id", "n_words", "word_chars")
-    ready = written(_with_groups(pooled, written(enough, "enough"), salt), "ready")
-    fit = F.expr("NOT base_failed AND enough")
-    told = robust_distances(ready, _VECTOR, [FLOORS[v] for v in _VECTOR], salt, fit)
+    passed = pooled.filter("NOT base_failed")
+    fitted = passed
+    if not passed.filter(F.col("pool") == EVERY).isEmpty():
+        others = passed.filter(F.col("pool") != EVERY).withColumn("pool", F.lit(EVERY))
+        fitted = passed.unionByName(others)
+    told = robust_distances(pooled, _VECTOR, [FLOORS[v] for v in _VECTOR], salt, fitted)
     outlying = F.coalesce(F.col("d2") > limit, F.lit(False))
     return told.select(
         "doc_id",

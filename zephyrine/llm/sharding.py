@@ -3,8 +3,8 @@
 A node holds a share of the wanted leaves and is split at the weighted quantile of its widest
 dimension that gives each side its share of the bytes. Quantiles come from histograms that
 Spark counts for all nodes of a level at once: over coordinates first, then, inside the bin
-that holds the quantile, over text hashes, then over document hashes, so many equal
-coordinates or copies never unbalance a split. Copies of a text have the coordinates of its
+that holds the quantile, over text hashes, then over document hashes, then over a number
+each written row has, so many equal coordinates, copies or equal rows never unbalance a split. Copies of a text have the coordinates of its
 first document and stay together unless a cut has to go through them.
 """
 
@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 
 from zephyrine.llm.common import discard, written
 
-# Bins of a coordinate, and of the two tie-breaking hashes.
+# Bins of a coordinate, and of the tie-breaking hashes.
 BINS = 1_024
 # Rows numbered together; a shard is numbered in as many blocks as it needs.
 BLOCK_ROWS = 100_000
 # Leaves whose cuts (about 40 bytes each) are broadcast.
 MOST_LEAVES = 100_000
 
-_TIES = ("text_bin", "row_bin")
+_TIES = ("text_bin", "row_bin", "salt_bin")
 
 
 @dataclass
@@ -51,7 +51,7 @@ def _log_bytes(size: Column) -> Column:
 
 
 def document_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, size, text_crc32, text_hash`` and coordinates ``x0..``: bytes, language, source.
+    """``doc_id, size, text_crc32, text_hash, salt`` and coordinates ``x0..``: bytes, language, source.
 
     ``size`` is the UTF-8 length plus 8, a NULL text having none and the checksum of nothing.
     """
@@ -64,7 +64,8 @@ def document_rows(docs: DataFrame) -> DataFrame:
         _unit(F.col("lang")).alias("lang"),
         _unit(F.col("source")).alias("source"),
     )
-    rows = written(rows, "rows")
+    # The number of a written row tells rows apart that are equal in all columns.
+    rows = written(rows.withColumn("salt", F.xxhash64(F.monotonically_increasing_id())), "rows")
     texts = rows.groupBy("text_hash", "size").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "lang", "source")).alias("first")
     )
@@ -77,7 +78,7 @@ def document_rows(docs: DataFrame) -> DataFrame:
     )
     same = (F.col("text_hash") == F.col("_hash")) & (F.col("size") == F.col("_size"))
     return rows.drop("lang", "source").join(texts, same).select(
-        "doc_id", "size", "text_crc32", "text_hash",
+        "doc_id", "size", "text_crc32", "text_hash", "salt",
         _log_bytes(F.col("size")).alias("x0"), F.col("lang").alias("x1"), F.col("source").alias("x2"),
     )
 
@@ -100,6 +101,7 @@ def _binned(rows: DataFrame, dimensions: int) -> DataFrame:
         *[bin_of(x).alias(f"b{d}") for d, x in enumerate(names)],
         F.pmod(F.xxhash64("text_hash", F.lit("text")), F.lit(BINS)).cast("int").alias("text_bin"),
         F.pmod(own, F.lit(BINS)).cast("int").alias("row_bin"),
+        F.pmod("salt", F.lit(BINS)).cast("int").alias("salt_bin"),
     )
 
 
@@ -207,7 +209,7 @@ def _level(rows: DataFrame, nodes: list[_Node], dimensions: int) -> list[_Node]:
 def shard(rows: DataFrame, leaves: int, dimensions: int) -> DataFrame:
     """Adds ``shard``, 0 to ``leaves - 1``, of near-equal total ``size``.
 
-    ``rows`` has ``doc_id, size, text_hash`` and coordinates ``x0..``. Levels of the tree are
+    ``rows`` has ``doc_id, size, text_hash, salt`` and coordinates ``x0..``. Levels of the tree are
     as many as the logarithm of the leaves; each costs three narrow aggregates.
     """
     if not 1 <= leaves <= MOST_LEAVES:
@@ -240,23 +242,31 @@ def numbered(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Adds ``slot``, gapless from 0 in each shard.
 
     Rows are numbered in hash blocks of about ``block_rows``; the blocks before one add up to
-    its first number, so no shard is ever in one task.
+    its first number, so no shard is ever in one task. A block that equal rows fill beyond
+    that is divided by the numbers of its rows.
     """
     most = rows.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
     blocks = max(1, math.ceil(most / block_rows))
-    # The second part of the hash spreads copies of a row that are equal in every column.
     block = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("block")), F.lit(blocks)).cast("int")
-    blocked = rows.withColumn("block", block)
-    sizes = blocked.groupBy("shard", "block").agg(F.count("*").alias("rows"))
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    fullest = rows.groupBy("shard", block.alias("block")).count().agg(F.max("count")).first()[0] or 0
+    parts = max(1, math.ceil(fullest / (4 * block_rows)))
+    part = F.pmod(F.xxhash64("salt"), F.lit(parts)).cast("int")
+    blocked = rows.withColumns({"block": block, "part": part})
+    sizes = blocked.groupBy("shard", "block", "part").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("shard").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         F.col("shard").alias("_shard"),
         F.col("block").alias("_block"),
+        F.col("part").alias("_part"),
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"),
     )
-    own = Window.partitionBy("shard", "block").orderBy("doc_id", "text_hash")
+    own = Window.partitionBy("shard", "block", "part").orderBy("doc_id", "text_hash", "salt")
     placed = blocked.withColumn("place", F.row_number().over(own) - 1)
-    same = (F.col("shard") == F.col("_shard")) & (F.col("block") == F.col("_block"))
+    same = (
+        (F.col("shard") == F.col("_shard"))
+        & (F.col("block") == F.col("_block"))
+        & (F.col("part") == F.col("_part"))
+    )
     return placed.join(starts, same).withColumn("slot", (F.col("start") + F.col("place")).cast("long"))
 
 

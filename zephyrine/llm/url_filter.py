@@ -41,12 +41,12 @@ RULES = (
     Rule("block", "net", "/fr/"),
 )
 
-# A link or meta element naming another address of the page; quotes may be left out.
-_CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_REFRESH = (
-    r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)"
-    r"[^>]*\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*([^\"'\s>]+)"
-)
+# Elements that name another address of the page, with the quoted texts inside them, and an
+# attribute's value with or without quotes.
+_TAG = r"(?is)<{0}\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+_VALUE = r"(?is)\s{0}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
+_REFRESH_URL = r"(?is)^[^;,]*[;,]\s*(?:url\s*=\s*)?[\"']?\s*([^\"'\s]+)"
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -91,15 +91,36 @@ def plain_address(address_of: Column) -> Column:
     return F.concat(path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""))
 
 
-def _resolved(target: Column, url: Column) -> Column:
-    """A link target against the page's own address: absolute, ``//host/..`` or ``/path``."""
-    link = F.replace(target, F.lit("&amp;"), F.lit("&"))
+def _without_dots(path: Column) -> Column:
+    """A path after its ``.`` and ``..`` segments are carried out; none climbs above the root."""
+    parts = F.split(path, "/", -1)
+    last = F.element_at(parts, -1)
+    empty = F.array().cast("array<string>")
+
+    def step(done: Column, part: Column) -> Column:
+        shorter = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == "..", shorter).when(part == ".", done).otherwise(F.array_append(done, part))
+
+    ended = F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(empty)
+    return F.array_join(F.concat(F.aggregate(parts, empty, step), ended), "/")
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """A link target against the page's own address: absolute, ``//host``, ``/path``, ``?query``
+    or a path relative to the page's, dot segments carried out."""
+    link = F.trim(F.replace(target, F.lit("&amp;"), F.lit("&")))
     scheme = F.regexp_extract(url, r"^([^:/?#]*:)//", 1)
     origin = F.regexp_extract(url, r"^([^:/?#]*://[^/?#]*)", 1)
+    base = F.regexp_extract(url, r"^[^:/?#]*://[^/?#]*([^?#]*)", 1)
+    path, rest = (F.regexp_extract(link, r"(?s)^([^?#]*)(.*)$", group) for group in (1, 2))
+    folder = F.concat(F.lit("/"), F.regexp_replace(base, r"^/|[^/]*$", ""))
+    whole = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
     return (
-        F.when(F.instr(link, "://") > 0, link)
+        F.when(link.rlike(_SCHEME), link)
+        .when(origin == "", F.lit(None).cast("string"))
         .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(origin, link))
+        .when(path == "", F.concat(origin, base, rest))
+        .otherwise(F.concat(origin, _without_dots(whole), rest))
     )
 
 
@@ -108,15 +129,24 @@ def _node(address_of: Column) -> Column:
     return F.unhex(F.md5(address_of))
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute's value in a tag, empty without one."""
+    return F.concat(*[F.regexp_extract(tag, _VALUE.format(name), group) for group in (1, 2, 3)])
+
+
 def alias_links(pages: DataFrame) -> DataFrame:
-    """``(from_url, to_url)`` of canonical links and refresh redirects in the pages' html."""
+    """``(from_url, to_url)`` of all canonical links and refresh redirects in the pages' html."""
     html = F.coalesce("html", F.lit(""))
-    found = pages.select(
-        F.col("url").alias("from_url"),
-        F.explode(F.array(*[F.regexp_extract(html, p, 1) for p in (_CANONICAL, _REFRESH)])).alias("link"),
+    links, metas = (F.regexp_extract_all(html, F.lit(_TAG.format(tag)), F.lit(0)) for tag in ("link", "meta"))
+    canonical = F.filter(links, lambda tag: _attribute(tag, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)"))
+    refresh = F.filter(metas, lambda tag: _attribute(tag, "http-equiv").rlike(r"(?i)^\s*refresh\s*$"))
+    targets = F.concat(
+        F.transform(canonical, lambda tag: _attribute(tag, "href")),
+        F.transform(refresh, lambda tag: F.regexp_extract(_attribute(tag, "content"), _REFRESH_URL, 1)),
     )
-    return found.filter("link <> ''").select(
-        "from_url", _resolved(F.col("link"), F.col("from_url")).alias("to_url")
+    found = pages.select(F.col("url").alias("from_url"), F.explode(targets).alias("link"))
+    return found.filter(F.trim("link") != "").select(
+        "from_url", resolved(F.col("link"), F.col("from_url")).alias("to_url")
     )
 
 
