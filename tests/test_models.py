@@ -47,7 +47,7 @@ from zephyrine.sources.bundle import ModelBundle, best_bundle_path, load_model_b
 SMALL = {
     "Random Forest": {"numTrees": 5, "maxDepth": 4},
     "Gradient Boosting": {"maxIter": 5},
-    "Column-Sampled Boosting": {"maxIter": 5},
+    "Regularised Boosting": {"rounds": 5},
 }
 
 

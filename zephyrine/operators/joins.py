@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from zephyrine.functions.calendar import date_spine, floor_hour
 from zephyrine.functions.numeric import change_rate, half_even
 from zephyrine.functions.weather import approximate_weather, climatology
-from zephyrine.operators.blocks import over_series
+from zephyrine.operators.blocks import over_series, written_slices
 from zephyrine.operators.quality import filter_valid_measurements
 from zephyrine.schema import AQI_CAP, PM25_BREAKPOINTS, PM25_CAP
 from zephyrine.session import scratch_path
@@ -96,34 +96,66 @@ def combine_sources(aqi: DataFrame, weather: DataFrame) -> DataFrame:
     return hourly(aqi).join(right, ["city", "timestamp"])
 
 
-# Rows of a breakpoint table that may be broadcast.
-BREAKPOINT_ROWS = 1_000
+def segment_join(
+    df: DataFrame, segments: DataFrame, column: str, low: str = "c_low", high: str = "c_high"
+) -> DataFrame:
+    """Every row with the segment its value lies in, both ends included, or NULLs.
+
+    Segments must not overlap; where two touch, the one that begins at the value counts. Rows
+    and segments are put in one order, written as range-partitioned slices that split even
+    equal values, and each row takes the last segment that begins at or before its value: in
+    its slice, or the last one of the slices before, of which there is one row per slice.
+    There is no nested loop, whatever the number of segments. Segments with a NULL end match
+    nothing; names of segment columns must not occur in ``df``.
+    """
+    segment = F.struct(*[F.col(f"`{c}`") for c in segments.columns])
+    kept = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    begins = segments.filter(F.col(low).isNotNull() & F.col(high).isNotNull()).select(
+        F.col(low).cast("double").alias("_value"), F.lit(0).alias("_kind"), segment.alias("_segment")
+    )
+    rows = df.select(F.col(column).cast("double").alias("_value"), F.lit(1).alias("_kind"), kept.alias("_row_of"))
+    both = begins.unionByName(rows, allowMissingColumns=True)
+    both = both.withColumn("_tie", F.monotonically_increasing_id())
+    slices = written_slices(both, [], ["_value", "_kind", "_tie"])
+    ends = slices.filter("_kind = 0").groupBy("_slice").agg(F.max_by("_segment", "_row").alias("_last"))
+    every = slices.groupBy("_slice").count().join(ends.withColumnRenamed("_slice", "_of"), F.col("_slice") == F.col("_of"), "left")
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    carried = every.select(
+        F.col("_slice").alias("_of"), F.last("_last", ignorenulls=True).over(before).alias("_carried")
+    )
+    seen = Window.partitionBy("_slice").orderBy("_row")
+    own = F.last("_segment", ignorenulls=True).over(seen)
+    met = slices.withColumn("_own", own).filter("_kind = 1")
+    placed = met.join(F.broadcast(carried), F.col("_slice") == F.col("_of"))
+    found = placed.select("_value", "_row_of", F.coalesce("_own", "_carried").alias("_found"))
+    inside = F.col("_value") <= F.col(f"_found.{high}")
+    return found.select(
+        "_row_of.*", *[F.when(inside, F.col(f"_found.`{c}`")).alias(c) for c in segments.columns]
+    )
 
 
 def breakpoint_join(df: DataFrame, breakpoints: DataFrame | None = None, column: str = "pm25") -> DataFrame:
-    """Index from a breakpoint table by a broadcast range join.
+    """Index from a breakpoint table.
 
-    ``breakpoints`` has ``c_low, c_high, i_low, i_high`` and segments that do not overlap;
-    without one the fixed table is used. It may have ``BREAKPOINT_ROWS`` rows at most, which
-    is checked. ``pm25_to_aqi`` is the expression form of the fixed table and the default.
+    ``breakpoints`` has ``c_low, c_high, i_low, i_high``, any number of segments that do not
+    overlap, and is met by ``segment_join``; without one the fixed seven are broadcast.
+    ``pm25_to_aqi`` is the expression form of the fixed table and the default.
     """
-    spark = df.sparkSession
+    level = F.least(F.col(column), F.lit(PM25_CAP))
+    leveled = df.withColumn("_level", level)
     if breakpoints is None:
-        breakpoints = spark.createDataFrame(
+        fixed = df.sparkSession.createDataFrame(
             [tuple(map(float, row)) for row in PM25_BREAKPOINTS],
             "c_low DOUBLE, c_high DOUBLE, i_low DOUBLE, i_high DOUBLE",
         )
-    elif breakpoints.limit(BREAKPOINT_ROWS + 1).count() > BREAKPOINT_ROWS:
-        raise ValueError(f"a breakpoint table has at most {BREAKPOINT_ROWS} rows")
-    level = F.least(F.col(column), F.lit(PM25_CAP))
+        inside = F.col("_level").between(F.col("c_low"), F.col("c_high"))
+        joined = leveled.join(F.broadcast(fixed), inside, "left")
+    else:
+        joined = segment_join(leveled, breakpoints.select("c_low", "c_high", "i_low", "i_high"), "_level")
     slope = (F.col("i_high") - F.col("i_low")) / (F.col("c_high") - F.col("c_low"))
     value = half_even(slope * (F.col("_level") - F.col("c_low")) + F.col("i_low"), 1)
-    inside = F.col("_level").between(F.col("c_low"), F.col("c_high"))
-    return (
-        df.withColumn("_level", level)
-        .join(F.broadcast(breakpoints), inside, "left")
-        .withColumn("aqi", F.coalesce(value, F.lit(AQI_CAP)))
-        .drop("_level", "c_low", "c_high", "i_low", "i_high")
+    return joined.withColumn("aqi", F.coalesce(value, F.lit(AQI_CAP))).drop(
+        "_level", "c_low", "c_high", "i_low", "i_high"
     )
 
 

@@ -7,16 +7,27 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zephyrine.operators.learning import TREE_MODELS, compare_models, evaluate, fit_ridge, predict
+from zephyrine.operators.attribution import attribute_trees, expected_value
+from zephyrine.operators.boosting import boost
+from zephyrine.operators.learning import (
+    VECTOR,
+    assemble_vector,
+    compare_models,
+    evaluate,
+    fit_medians,
+    fit_ridge,
+    predict,
+)
 from zephyrine.operators.profiling import regression_metrics
 from zephyrine.operators.projection import feature_columns
 from zephyrine.operators.quality import missing_columns
 from zephyrine.operators.ranking import rank_models
-from zephyrine.registry.base import events, on_daily, query, rounded, sql_r
+from zephyrine.registry.base import daily, events, on_daily, query, rounded, sql_r
 from zephyrine.registry.models import INPUTS, LAGGED_SQL, lagged_daily, ridge_sql, ridge_value, split_training
 from zephyrine.schema import REQUIRED_COLUMNS
 from zephyrine.session import scratch_path
-from zephyrine.sources.bundle import best_bundle_path, load_model_bundle, save_model_bundle
+from zephyrine.sources.bundle import ModelBundle, best_bundle_path, load_model_bundle, save_model_bundle
+from zephyrine.sources.tables import latest_rows
 
 # Predictors without a fit: the last value, the mean of a week, and the value of a week ago.
 NAIVE = {"last value": "aqi", "week mean": "aqi_rolling_mean_7d", "week ago": "aqi_lag_7d"}
@@ -101,13 +112,17 @@ def _residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(told, "feature STRING, balanced BOOLEAN")
 
 
-SMALL = {name: {"maxIter": 10} for name in TREE_MODELS} | {"Random Forest": {"numTrees": 20}}
+SMALL = {
+    "Random Forest": {"numTrees": 20},
+    "Gradient Boosting": {"maxIter": 10},
+    "Regularised Boosting": {"rounds": 10},
+}
 
 
 @query(
     "m4_m5_m6_m7_model_properties",
     on_daily(
-        "SELECT unnest(['Column-Sampled Boosting', 'Gradient Boosting', 'Random Forest', 'Ridge Regression']) "
+        "SELECT unnest(['Regularised Boosting', 'Gradient Boosting', 'Random Forest', 'Ridge Regression']) "
         "AS name, true AS beats_worst_guess, true AS ranked, true AS metrics_agree "
         "WHERE EXISTS (SELECT 1 FROM fit_rows)",
         LAGGED_SQL,
@@ -144,3 +159,52 @@ def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Required columns that the raw table lacks."""
     absent = missing_columns(REQUIRED_COLUMNS, events(spark, sf_dir))
     return spark.createDataFrame([(c,) for c in absent], "missing STRING")
+
+
+def _matrix(rows: DataFrame) -> tuple[DataFrame, ModelBundle]:
+    """Labelled rows as vectors, and the bundle that prepares them."""
+    known = rows.filter(F.col("target_aqi_1d").isNotNull())
+    bundle = ModelBundle("", None, list(INPUTS), "target_aqi_1d", fit_medians(known, INPUTS))
+    return assemble_vector(known, bundle), bundle
+
+
+@query(
+    "m6_boosting_identities",
+    on_daily(
+        "SELECT true AS leaf_values_hold, true AS error_falls WHERE EXISTS (SELECT 1 FROM lagged)", LAGGED_SQL
+    ),
+)
+def _boosting_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each leaf of a tree on all rows is its residual sum over its rows and the L2 term; more
+    trees lower the error."""
+    matrix, bundle = _matrix(lagged_daily(spark, sf_dir))
+    one = boost(matrix, VECTOR, "target_aqi_1d", rounds=1, rate=1.0, row_share=1.0, column_share=1.0)
+    bundle.model = one
+    residual = F.col("target_aqi_1d") - F.lit(one.base)
+    leaves = predict(matrix, bundle).groupBy("prediction").agg(F.sum(residual) / (F.count("*") + 1.0))
+    held = all(abs(r[0] - one.base - r[1]) < 1e-6 * max(1.0, abs(r[1])) for r in leaves.collect())
+    errors = []
+    for rounds in (0, 4, 12):
+        bundle.model = boost(matrix, VECTOR, "target_aqi_1d", rounds=rounds, rate=0.3)
+        errors.append(evaluate(bundle, matrix)["rmse"])
+    return spark.createDataFrame(
+        [(held, errors == sorted(errors, reverse=True))], "leaf_values_hold BOOLEAN, error_falls BOOLEAN"
+    )
+
+
+@query(
+    "m12_tree_shapley",
+    on_daily(
+        "SELECT station_id, true AS adds_up FROM daily GROUP BY ALL",
+    ),
+)
+def _tree_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contributions to the boosted prediction of every station's last row add up exactly."""
+    rows = lagged_daily(spark, sf_dir)
+    matrix, bundle = _matrix(rows)
+    bundle.model = boost(matrix, VECTOR, "target_aqi_1d", rounds=6, depth=3, rate=0.3)
+    last = latest_rows(daily(spark, sf_dir, INPUTS), ["station_id"])
+    told = attribute_trees(last, bundle, ["station_id"]).groupBy("station_id").agg(F.sum("contribution").alias("total"))
+    predicted = predict(last, bundle).select("station_id", "prediction")
+    error = F.abs(F.col("prediction") - F.lit(expected_value(bundle.model)) - F.col("total"))
+    return predicted.join(told, "station_id").select("station_id", (error < 1e-6).alias("adds_up"))

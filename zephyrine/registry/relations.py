@@ -15,6 +15,7 @@ from zephyrine.operators.joins import (
     days_between,
     pending_dates,
     previous_reading,
+    segment_join,
 )
 from zephyrine.operators.profiling import backfill_summary
 from zephyrine.operators.ranking import top_attributions
@@ -158,6 +159,26 @@ def _breakpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breakpoint_join(readings(spark, sf_dir).select(ID, "pm25")).select(ID, "aqi")
 
 
+@query(
+    "j5_segment_join",
+    "SELECT l_orderkey, l_linenumber, value, c_low, price FROM (SELECT l_orderkey, l_linenumber, "
+    "l_orderkey + l_linenumber * 0.125::DOUBLE AS value FROM lineitem) LEFT JOIN (SELECT CAST(o_orderkey AS DOUBLE) "
+    "AS c_low, o_orderkey + 0.5::DOUBLE AS c_high, o_totalprice AS price FROM orders) ON value BETWEEN c_low AND c_high",
+)
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A segment per order, and the one each line's number lies in, if any."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    segments = orders.select(
+        F.col("o_orderkey").cast("double").alias("c_low"),
+        (F.col("o_orderkey") + F.lit(0.5)).alias("c_high"),
+        F.col("o_totalprice").alias("price"),
+    )
+    value = F.col("l_orderkey") + F.col("l_linenumber") * F.lit(0.125)
+    rows = lines.select("l_orderkey", "l_linenumber", value.alias("value"))
+    return segment_join(rows, segments, "value").drop("c_high")
+
+
 @query(
     "j6_category_join",
     on_readings(

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zephyrine.operators.boosting import BoostedTrees
+from zephyrine.sources.store import read_table
+
 _METADATA = T.StructType(
     [
         T.StructField("name", T.StringType()),
@@ -43,7 +46,10 @@ class ModelBundle:
 
 
 def save_model_bundle(spark: SparkSession, bundle: ModelBundle, path: str) -> None:
-    bundle.model.write().overwrite().save(os.path.join(path, "model"))
+    if isinstance(bundle.model, BoostedTrees):
+        bundle.model.table(spark).coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "trees"))
+    else:
+        bundle.model.write().overwrite().save(os.path.join(path, "model"))
     row = tuple(getattr(bundle, f.name) for f in _METADATA.fields)
     spark.createDataFrame([row], _METADATA).coalesce(1).write.mode("overwrite").parquet(
         os.path.join(path, "metadata")
@@ -53,7 +59,11 @@ def save_model_bundle(spark: SparkSession, bundle: ModelBundle, path: str) -> No
 def load_model_bundle(spark: SparkSession, path: str) -> ModelBundle:
     """The stored bundle; fails if its model does not score its own input schema."""
     row = spark.read.parquet(os.path.join(path, "metadata")).first()
-    model = DefaultParamsReader.loadParamsInstance(os.path.join(path, "model"), spark)
+    trees = read_table(spark, os.path.join(path, "trees"))
+    if trees is not None:
+        model = BoostedTrees.from_table(trees)
+    else:
+        model = DefaultParamsReader.loadParamsInstance(os.path.join(path, "model"), spark)
     bundle = ModelBundle(model=model, **row.asDict())
     check_bundle(bundle)
     return bundle
