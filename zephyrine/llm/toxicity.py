@@ -53,12 +53,15 @@ for _c, _i in _CLASS.items():
 
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}[.,;:!?]*(?!\S)")
 _REPEATED = re.compile(r"(.)\1", re.S)
+_RUN = re.compile(r"(.)\1+", re.S)
 # Three or more equal symbols at an end are decoration.
 _DECORATION = re.compile(r"^(?:([^\w\s])\1\1+)+|(?:([^\w\s])\2\2+)+$")
 _PUNCTUATION = "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~«»“”„…"
 _FRONT = _PUNCTUATION.replace("!", "").replace("|", "")
 # Beginnings of words, in characters, that are weighed besides whole words.
 BEGINNINGS = range(3, 9)
+# Letters that tell quickly whether a token can be a feature: a beginning has as many.
+HEAD = 3
 # Odd factors that put hashes in different orders.
 _ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 # Share of the telling words, and of the telling beginnings, that may be so by chance:
@@ -223,10 +226,31 @@ class Scorer:
     weights: dict[str, float]
     base: float
     known: dict[str, float] = field(default_factory=dict)
+    # First letters of the features, as they are and with repeated letters taken once.
+    heads: set[str] = field(default_factory=set)
+    bare_heads: set[str] = field(default_factory=set)
+
+    def __post_init__(self) -> None:
+        named = [f.removeprefix("^") for f in self.weights]
+        self.heads = {f[:HEAD] for f in named}
+        self.bare_heads = {_RUN.sub(r"\1", f)[:HEAD] for f in named}
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "known": {}}
 
+    def may_tell(self, token: str) -> bool:
+        """False only for tokens of plain letters that no reading turns into a weighed feature.
+
+        Decoding such a token changes no more than the lengths of its runs of letters.
+        """
+        core = token.rstrip(_PUNCTUATION).lstrip(_FRONT)
+        if core.strip(LETTERS):
+            return True
+        if not _REPEATED.search(core):
+            return core[:HEAD] in self.heads
+        bare, known = _RUN.sub(r"\1", core), self.bare_heads
+        return any(bare[:k] in known for k in range(1, HEAD + 1))
+
     def weight(self, token: str, spaced: bool = False) -> float:
         get = self.weights.get
         found = [get(f, 0.0) for w in readings(token, self.model, spaced) for f in features(w)]
@@ -238,6 +262,8 @@ class Scorer:
         known = self.known
         top = 0.0
         for token in set(lowered.split()):
+            if not self.may_tell(token):
+                continue
             value = known.get(token)
             if value is None:
                 if len(known) >= REMEMBERED:
