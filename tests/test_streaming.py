@@ -1,15 +1,20 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import day
 from zephyrine.operators.projection import assemble_feature_rows
 from zephyrine.operators.series import add_change_rate
+from zephyrine.plans.ingest import ingest_payloads, payloads_alone
 from zephyrine.schema import FEATURE_TABLE_COLUMNS
+from zephyrine.streaming.hours import merged, placed, without_closed
 from zephyrine.streaming.jobs import (
     event_time,
     level_changes,
+    read_rejects,
     read_stream,
     run_append,
     stream_alerts,
@@ -18,6 +23,7 @@ from zephyrine.streaming.jobs import (
     stream_daily_mean_open,
     stream_dedup,
     stream_hourly_features,
+    stream_payloads,
 )
 
 SCHEMA = (
@@ -114,6 +120,123 @@ def test_the_hour_after_a_late_one_is_rated_again(spark, arrivals, tmp_path):
     assert [r["aqi_change_rate"] for r in got] == [0.0, 100.0, 10.0]
 
 
+def test_the_latest_valid_reading_counts_however_hours_are_cut(spark, arrivals, tmp_path):
+    """A later reading outside the guard neither hides nor removes a valid one."""
+    rows = [reading("a", 1, 5, 100.0, 10), reading("a", 2, 5, 900.0, 40), reading("a", 3, 6, 150.0, 5)]
+    found = []
+    for name, cuts in (("whole", [rows]), ("cut", [rows[:1], rows[1:2], rows[2:]])):
+        folder = str(tmp_path / name)
+        for part in cuts:
+            spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}-in")
+            readings = read_stream(spark, f"{folder}-in", SCHEMA)
+            stream_hourly_features(readings, folder, f"{folder}-c", rejects=f"{folder}-r")
+        kept = spark.read.parquet(folder).orderBy("timestamp").collect()
+        found.append([(r["timestamp"], r["aqi"], r["aqi_change_rate"]) for r in kept])
+        assert [r["reading_id"] for r in spark.read.parquet(f"{folder}-r").collect()] == [2]
+    assert found[0] == found[1] == [(day(0, 5), 100.0, 0.0), (day(0, 6), 150.0, 50.0)]
+
+
+def test_readings_behind_the_watermark_are_counted(spark, arrivals, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    parts = [[reading("a", 1, 10, 50.0), reading("a", 2, 100, 60.0)], [reading("a", 3, 101, 61.0)],
+             [reading("a", 4, 11, 70.0), reading("a", 5, 99, 90.0)]]
+    late = [stream_change_rate(arrivals(part), table, checkpoint, delay="5 hours") for part in parts]
+    assert late == [0, 0, 1]
+    rows = spark.read.parquet(table).orderBy("timestamp").collect()
+    assert [(r["aqi"], r["aqi_change_rate"]) for r in rows] == [
+        (50.0, 0.0), (90.0, 80.0), (60.0, -33.3333), (61.0, 1.6667),
+    ]
+
+
+def test_closed_hours_leave_the_state():
+    held = {h * 3_600_000_000: [[h], float(h), ""] for h in (1, 2, 3, 7, 8)}
+    kept = without_closed(held, 5 * 3_600_000_000)
+    assert [h // 3_600_000_000 for h in kept] == [3, 7, 8]
+    assert without_closed(kept, 0) == kept and without_closed({}, 10**18) == {}
+    changed = merged(kept, [(7 * 3_600_000_000, [6], 1.0, ""), (4 * 3_600_000_000, [4], float("nan"), "x")])
+    assert [h // 3_600_000_000 for h in changed] == [4]  # an older reading changes nothing
+    assert [(h // 3_600_000_000, v, p) for h, v, p, _ in placed(kept, changed)] == [(4, None, 3.0), (7, 7.0, None)]
+
+
+def payload_lines(path, rows):
+    path.mkdir(exist_ok=True)
+    name = f"{len(list(path.iterdir())):04d}.json"
+    (path / name).write_text("\n".join(json.dumps(r) for r in rows))
+
+
+def air(city, hour, aqi, seq, minute=0):
+    stamp = day(hour // 24, hour % 24).replace(minute=minute).isoformat()
+    return {"city": city, "fetched_at": stamp, "ingest_seq": seq, "status": "ok", "data": {"aqi": aqi, "iaqi": {}}}
+
+
+def weather(city, hour, seq, temp=20.0):
+    stamp = day(hour // 24, hour % 24).isoformat()
+    return {
+        "city": city, "fetched_at": stamp, "ingest_seq": seq, "main": {"temp": temp, "humidity": 50, "pressure": 1000},
+        "wind": {"speed": 3.0}, "weather": [{"description": "clear"}],
+    }
+
+
+AIR = [air("a", 1, 100, 1), air("b", 2, 80, 2), air("a", 2, 150, 3), air("a", 2, 120, 4, 30), air("c", 3, 40, 5),
+       air("a", 60, 90, 6), air("b", 60, 900, 7)]
+WEATHER = [weather("a", 1, 1), weather("b", 2, 2, 5.0), weather("a", 2, 3), weather("d", 1, 4), weather("a", 60, 5),
+           weather("b", 60, 6), weather("x", 61, 7, -95.0)]
+STORED = [("a", 1, 100.0, 0.0), ("a", 2, 120.0, 20.0), ("a", 60, 90.0, -25.0), ("b", 2, 80.0, 0.0)]
+
+
+def stored_hours(spark, table):
+    rows = spark.read.parquet(table).collect()
+    return sorted(
+        (r["city"], int((r["timestamp"].replace(tzinfo=None) - day(0).replace(tzinfo=None)).total_seconds() // 3600),
+         r["aqi"], r["aqi_change_rate"])
+        for r in rows
+    )
+
+
+# Air first for one city and weather first for another; partners in different deliveries.
+CUTS = [[(AIR, WEATHER)], [(AIR[:1], WEATHER[1:2]), (AIR[1:4], WEATHER[:1]), (AIR[4:], WEATHER[2:])]]
+
+
+@pytest.mark.parametrize("cuts", CUTS)
+def test_payloads_meet_across_deliveries(spark, tmp_path, cuts):
+    names = ("air", "weather", "table", "state", "rejects")
+    a, w, table, state, rejects = (tmp_path / n for n in names)
+    for airs, weathers in cuts:
+        payload_lines(a, airs)
+        payload_lines(w, weathers)
+        late = stream_payloads(spark, *(str(p) for p in (a, w, table, state, rejects)))
+    assert late == 0 and stored_hours(spark, str(table)) == STORED
+    found = sorted((r["source"], r["reason"]) for r in read_rejects(spark, str(rejects)).collect())
+    outside = "outside the ingest rules"
+    assert found == [
+        ("aqi", "no weather of the hour"), ("aqi", outside), ("weather", "no air reading of the hour"), ("weather", outside),
+    ]
+
+
+@pytest.mark.parametrize("cuts", CUTS)
+def test_ingest_keeps_payloads_without_a_partner(spark, tmp_path, cuts):
+    table = str(tmp_path / "table")
+    for seq, (airs, weathers) in enumerate(cuts, 1):
+        a, w = tmp_path / f"a{seq}", tmp_path / f"w{seq}"
+        payload_lines(a, airs)
+        payload_lines(w, weathers)
+        for _ in range(2):  # a run that is repeated changes nothing
+            ingest_payloads(spark, str(a), str(w), table, seq, str(tmp_path / "rejects"))
+    assert stored_hours(spark, table) == STORED
+    alone = {(r["side"], r["city"]) for r in payloads_alone(spark, table).collect()}
+    assert alone == {("aqi", "c"), ("weather", "d"), ("weather", "b")}
+
+
+def test_a_delivery_of_one_row_takes_few_jobs(spark, arrivals, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    stream_change_rate(arrivals([reading("a", 1, 10, 50.0)]), table, checkpoint)
+    readings = arrivals([reading("a", 2, 11, 60.0)])
+    before = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    stream_change_rate(readings, table, checkpoint)
+    assert spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() - before < 10
+    assert spark.read.parquet(table).count() == 2
+
+
 def test_alerts_only_on_level_changes(spark, arrivals, tmp_path):
     out, checkpoint = (str(tmp_path / n) for n in ("o", "c"))
     for rows in (FIRST, SECOND):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from zephyrine.functions.numeric import change_rate
+from zephyrine.functions.numeric import change_rate, exact_parts, joined_parts
 from zephyrine.operators.blocks import over_series
 from zephyrine.schema import LAG_INPUT_COLUMNS
 from zephyrine.sources.tables import latest_rows
@@ -117,14 +117,27 @@ def _full_window(column: str, statistic: Column, window: WindowSpec, rows: int)
     return F.when(F.count(column).over(frame) == rows, statistic.over(frame))
 
 
+def _prefix_mean(column: str, window: WindowSpec, rows: int) -> Column:
+    """Mean of the previous n values where all are present, from running sums: the sum of all
+    rows before minus that of the rows n before those. Whole-number sums lose nothing."""
+
+    def until(end: int) -> tuple[Column, Column, Column]:
+        frame = window.rowsBetween(Window.unboundedPreceding, end)
+        totals = [F.coalesce(F.sum(part).over(frame), F.lit(0)) for part in exact_parts(F.col(column))]
+        return *totals, F.count(column).over(frame)
+
+    now, before = until(-1), until(-rows - 1)
+    coarse, fine, count = (a - b for a, b in zip(now, before))
+    return F.when(count == rows, joined_parts(coarse, fine) / F.lit(float(rows)))
+
+
 def hourly_lags(window: WindowSpec) -> dict[str, Column]:
     return {f"aqi_lag_{k}h": F.lag("aqi", k).over(window) for k in HOURLY_LAGS}
 
 
 def hourly_rolling(window: WindowSpec) -> dict[str, Column]:
     out = {
-        f"aqi_rolling_mean_{n}h": _full_window("aqi", F.avg("aqi"), window, n)
-        for n in HOURLY_MEANS
+        f"aqi_rolling_mean_{n}h": _prefix_mean("aqi", window, n) for n in HOURLY_MEANS
     }
     out[f"aqi_rolling_std_{HOURLY_STD}h"] = _full_window(
         "aqi", F.stddev_samp("aqi"), window, HOURLY_STD
