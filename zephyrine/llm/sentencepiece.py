@@ -34,8 +34,9 @@ MARK = "▁"
 # Characters of a chunk, and matrices multiplied by one task.
 CHUNK = 16_384
 FAN = 64
-# Words a worker remembers, and the longest word worth remembering.
-REMEMBERED = 50_000
+# Words a worker remembers before it lets go of those not met since the last time (about
+# 200 bytes each), and the longest word worth remembering.
+REMEMBERED = 64_000
 SHORT = 64
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -48,19 +49,25 @@ _UNREACHED = object()
 
 
 class _Words(dict):
-    """Packed ids of short words, filled on demand and emptied when it holds many."""
+    """Packed ids of short words, filled on demand. When it holds many, it begins anew and takes
+    from the older ones what is met again, so frequent words stay."""
 
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.pieces = pieces
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         pieces = self.pieces
         if len(word) > SHORT:
             return pieces.packed(pieces.trace(word, 0, len(word), None))
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        found = self[word] = pieces.packed(pieces.merge(word))
+        found = self.older.get(word)
+        if found is None:
+            found = pieces.packed(pieces.merge(word))
+        self[word] = found
         return found
 
 

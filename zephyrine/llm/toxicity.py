@@ -26,7 +26,7 @@ from zephyrine.llm.common import hashed_sample, small_batches, spare_name, writt
 
 # Labelled documents the weights are learned from, about.
 SAMPLE_ROWS = 20_000
-# Tokens a worker remembers.
+# Tokens, and features being counted, that a worker remembers (about 200 bytes each).
 REMEMBERED = 50_000
 
 # Look-alikes: what a digit or symbol between letters may stand for.
@@ -352,6 +352,18 @@ def _counted(
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every: dict[str, float] = {}
         toxic: dict[str, float] = {}
+
+        def told() -> pa.RecordBatch:
+            keys = list(every)
+            columns = [
+                pa.array(keys, pa.string()),
+                pa.array([toxic.get(k, 0.0) for k in keys], pa.float64()),
+                pa.array([every[k] for k in keys], pa.float64()),
+            ]
+            every.clear()
+            toxic.clear()
+            return pa.RecordBatch.from_arrays(columns, ["feature", "toxic", "n"])
+
         for batch in batches:
             for text, label, weight in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 found = document_words(text, model.value) - passed.value
@@ -361,15 +373,9 @@ def _counted(
                     every[f] = every.get(f, 0.0) + weight
                     if label:
                         toxic[f] = toxic.get(f, 0.0) + weight
-        keys = list(every)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys, pa.string()),
-                pa.array([toxic.get(k, 0.0) for k in keys], pa.float64()),
-                pa.array([every[k] for k in keys], pa.float64()),
-            ],
-            ["feature", "toxic", "n"],
-        )
+                if len(every) >= REMEMBERED:
+                    yield told()
+        yield told()
 
     counts = written(
         chosen.mapInArrow(count, "feature string, toxic double, n double")
