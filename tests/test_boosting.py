@@ -15,7 +15,7 @@ from tests.helpers import physical_plan
 from zephyrine.operators.attribution import attribute_trees, expected_value, leaves_of
 from zephyrine.operators.boosting import BoostedTrees, best_split, boost
 from zephyrine.operators.joins import breakpoint_join, segment_join
-from zephyrine.operators.learning import VECTOR, assemble_vector, fit_gradient_boosting, fit_random_forest, predict
+from zephyrine.operators.learning import VECTOR, fit_gradient_boosting, fit_random_forest, predict
 from zephyrine.sources.bundle import ModelBundle, load_model_bundle, save_model_bundle
 
 NAMES = ["a", "b", "c"]
