@@ -178,3 +178,21 @@ def test_a_given_breakpoint_table_equals_the_fixed_one(spark):
     rows = spark.createDataFrame([(k / 20,) for k in range(0, 11_000, 7)] + [(None,), (-1.0,)], "pm25 DOUBLE")
     one, two = (sorted(map(tuple, breakpoint_join(rows, t).collect()), key=repr) for t in (None, table))
     assert one == two
+
+
+def test_a_fit_starts_few_jobs_per_level_and_stores_margins_on_the_way(spark):
+    """Levels need no plan of their own; 23 trees pass the point where margins are stored twice."""
+    x, y = samples()
+    df = matrix_of(spark, x, y)
+    context = spark.sparkContext
+    context.setJobGroup("fit", "boosting")
+    model = boost(df, VECTOR, "y", rounds=23, depth=2, rate=0.3)
+    jobs = context.statusTracker().getJobIdsForGroup("fit")
+    context.setJobGroup("", "")
+    assert len(model.trees) == 23 and len(jobs) <= 2 * 23 + 12
+    bundle = ModelBundle("", model, NAMES, "y")
+    squares = [
+        predict(df, bundle).agg(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0]
+        for bundle.model.trees in (model.trees[:10], model.trees[:])
+    ]
+    assert squares[1] < squares[0] < sum((v - sum(y) / len(y)) ** 2 for v in y) / len(y)

@@ -1,18 +1,23 @@
 """Regularised boosting of regression trees over binned columns.
 
-Columns are cut into bins once, at quantiles. A level of a tree costs one aggregate: sums of
-gradients and Hessians per node, column and bin, added up on the executors before anything is
-shuffled. Only these histograms reach the driver, which picks for each node the split with
-the largest regularised gain. Rows are drawn per tree by a stored hash, columns per tree by a
-seed, so a fit repeats.
+Columns are cut into bins once, at quantiles, and written as blocks of some thousand rows. A
+level of a tree costs one aggregate: each task adds the gradients and Hessians of its blocks
+per node, column and bin, and these histograms are added up, on the executors if there are many.
+Only their sum reaches the driver, which picks for each node the split with the largest
+regularised gain. Trees reach the tasks as data, not as expressions: no level has a plan of its
+own to compile. Rows are drawn
+per tree by a stored hash, columns per tree by a seed, so a fit repeats.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +28,17 @@ from zephyrine.sources.store import remove
 # Settings of the compared model.
 ROUNDS, DEPTH, RATE, ROW_SHARE, COLUMN_SHARE = 200, 4, 0.05, 0.8, 0.8
 L2, LEAST_HESSIAN, SEED = 1.0, 1.0, 42
-# Bins per column; trees after which the margins are written, so that expressions stay short.
-BINS, WRITTEN_EVERY = 64, 10
+# Bins per column; trees after which the margins are stored, so that few are applied per level.
+BINS, STORED_EVERY = 64, 10
+KEPT = StorageLevel.MEMORY_AND_DISK
+# Histograms of tasks the driver adds up itself.
+FEW_TASKS = 64
 _STEPS = 1 << 20
+# Many rows at once: ``bins`` column by column, ``drawn`` tree by tree with a bit per row.
+_BLOCK = "n int, bins binary, drawn binary, y binary, margin binary"
+
+Batches = Iterable[pa.RecordBatch]
+Block = tuple[int, bytes, bytes, bytes, bytes]
 
 
 @dataclass
@@ -83,13 +96,97 @@ def _leaf(tree: dict[int, Node], goes_left, at: int = 1) -> Column:
     return F.when(goes_left(node), left).otherwise(right)
 
 
-def _node_of(tree: dict[int, Node], bins: Column, at: int = 1) -> Column:
-    """The number of the unsplit node a row is in."""
-    node = tree[at]
-    if node.feature < 0:
-        return F.lit(at)
-    left, right = (_node_of(tree, bins, 2 * at + side) for side in (0, 1))
-    return F.when(F.get(bins, F.lit(node.feature)) <= node.bin, left).otherwise(right)
+def _nodes_of(tree: dict[int, Node], bins: np.ndarray) -> np.ndarray:
+    """The number of the unsplit node each row is in."""
+    at = np.ones(bins.shape[1], np.int32)
+    for k in sorted(tree):
+        node = tree[k]
+        if node.feature >= 0:
+            at = np.where(at == k, 2 * k + (bins[node.feature] > node.bin), at)
+    return at
+
+
+def _with_trees(margin: np.ndarray, trees: Sequence[dict[int, Node]], bins: np.ndarray) -> np.ndarray:
+    for tree in trees:
+        values = np.zeros(max(tree) + 1)
+        values[list(tree)] = [node.value for node in tree.values()]
+        margin = margin + values[_nodes_of(tree, bins)]
+    return margin
+
+
+def _binned(edges: list[list[float]], base: float) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """``x, y, drawn`` rows to blocks: a value's bin is the number of edges below it."""
+    kind = _bin_type(edges)
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            bins = np.stack([np.searchsorted(own, x[:, i], "left").astype(kind) for i, own in enumerate(edges)])
+            drawn = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(bool)
+            y = batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
+            parts = [bins, np.packbits(drawn.T, axis=1), y, np.full(n, base)]
+            told = [pa.array([np.ascontiguousarray(p).tobytes()], pa.binary()) for p in parts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n], pa.int32()), *told], ["n", "bins", "drawn", "y", "margin"]
+            )
+
+    return run
+
+
+def _bin_type(edges: list[list[float]]) -> type:
+    return np.uint8 if max(map(len, edges)) < 256 else np.int32
+
+
+def _with_margins(trees: Sequence[dict[int, Node]], kind: type) -> Callable[[Block], Block]:
+    """Blocks with the trees' values added to the margins."""
+
+    def run(block: Block) -> Block:
+        n, bins, drawn, y, margin = block
+        told = _with_trees(np.frombuffer(margin), trees, np.frombuffer(bins, kind).reshape(-1, n))
+        return n, bins, drawn, y, told.tobytes()
+
+    return run
+
+
+def _histograms(
+    recent: Sequence[dict[int, Node]],
+    tree: dict[int, Node],
+    open_: Sequence[int],
+    columns: Sequence[int],
+    size: int,
+    kind: type,
+    turn: int | None,
+) -> Callable[[Iterable[Block]], Iterator[np.ndarray]]:
+    """Blocks to one task's sums of gradients and Hessians, the latter the rows of the squared error.
+
+    Sums by column, then node and bin. ``turn`` tells which of the drawn samples counts; None
+    takes every row.
+    """
+    place = np.full(2 * max(tree) + 2, -1)
+    place[list(open_)] = range(len(open_))
+
+    def run(blocks: Iterable[Block]) -> Iterator[np.ndarray]:
+        cells = len(open_) * size
+        sums = np.zeros((2, len(columns), cells))
+        for n, packed, drawn, y, margin in blocks:
+            bins = np.frombuffer(packed, kind).reshape(-1, n)
+            gradient = _with_trees(np.frombuffer(margin), recent, bins) - np.frombuffer(y)
+            node = place[_nodes_of(tree, bins)]
+            counts = node >= 0
+            if turn is not None:
+                bits = np.frombuffer(drawn, np.uint8).reshape(-1, (n + 7) // 8)[turn]
+                counts &= np.unpackbits(bits, count=n).astype(bool)
+            node, gradient = node[counts] * size, gradient[counts]
+            for j, c in enumerate(columns):
+                cell = node + bins[c][counts]
+                sums[0, j] += np.bincount(cell, gradient, cells)
+                sums[1, j] += np.bincount(cell, minlength=cells)
+        yield sums
+
+    return run
 
 
 def _edges(rows: DataFrame, width: int, bins: int) -> list[list[float]]:
@@ -102,11 +199,6 @@ def _edges(rows: DataFrame, width: int, bins: int) -> list[list[float]]:
     return [sorted(v for v in set(found[f"e{i}"] or []) if v < found[f"m{i}"]) for i in range(width)]
 
 
-def _bin(value: Column, edges: list[float]) -> Column:
-    ends = F.array(*[F.lit(e) for e in edges]).cast("array<double>")
-    return F.size(F.filter(ends, lambda end: end < value))
-
-
 def best_split(
     cells: Sequence[tuple[int, int, float, float]], l2: float, least: float
 ) -> tuple[float, int, int, float, float] | None:
@@ -136,22 +228,28 @@ def best_split(
 
 
 def _grown(
-    rows: DataFrame, columns: Sequence[int], edges: list[list[float]], depth: int, l2: float, least: float, rate: float
+    blocks: RDD,
+    recent: Sequence[dict[int, Node]],
+    columns: Sequence[int],
+    edges: list[list[float]],
+    turn: int | None,
+    depth: int,
+    l2: float,
+    least: float,
+    rate: float,
 ) -> dict[int, Node]:
-    """One tree over ``bins, gradient, hessian`` rows."""
+    """One tree over blocks whose margins lack the recent trees."""
+    kind, size = _bin_type(edges), max(map(len, edges)) + 1
+    few = blocks.getNumPartitions() <= FEW_TASKS
     tree = {1: Node(0.0)}
     open_ = [1]
     for _ in range(depth):
-        cell = [F.struct(F.lit(c).alias("c"), F.get("bins", F.lit(c)).alias("b")) for c in columns]
-        placed = rows.withColumn("node", _node_of(tree, F.col("bins"))).filter(F.col("node").isin(open_))
-        counted = (
-            placed.select("node", "gradient", "hessian", F.inline(F.array(*cell)))
-            .groupBy("node", "c", "b")
-            .agg(F.sum("gradient").alias("g"), F.sum("hessian").alias("h"))
-        )
+        counted = blocks.mapPartitions(_histograms(recent, tree, open_, columns, size, kind, turn))
+        sums = sum(counted.collect()) if few else counted.treeReduce(np.add)  # nodes x columns x bins
         cells: dict[int, list] = {}
-        for r in counted.collect():  # nodes x columns x bins
-            cells.setdefault(r["node"], []).append((r["c"], r["b"], r["g"], r["h"]))
+        for j, cell in np.argwhere(sums[1]).tolist():
+            place = (columns[j], cell % size, float(sums[0, j, cell]), float(sums[1, j, cell]))
+            cells.setdefault(open_[cell // size], []).append(place)
         following = []
         for at in open_:
             own = [c for c in cells.get(at, []) if c[0] == columns[0]]
@@ -202,28 +300,31 @@ def boost(
     width = first["width"]
     model = BoostedTrees(width, first["mean"])
     edges = _edges(known, width, bins)
-    place = F.array(*[_bin(F.get("x", F.lit(i)), own) for i, own in enumerate(edges)])
+    usable = [i for i, own in enumerate(edges) if own]
+    if not usable or not rounds:
+        return model
     rng = random.Random(seed)
-    path = scratch_path(spark, "binned")
     salt = F.xxhash64(F.monotonically_increasing_id(), F.lit(seed))
-    known.select(place.alias("bins"), "y", F.lit(model.base).alias("margin"), salt.alias("salt")).write.parquet(path)
-    table, recent = spark.read.parquet(path), []
-    usable = [i for i, own in enumerate(edges) if own]
-    for t in range(rounds if usable else 0):
-        margin = F.col("margin")
-        for tree in recent:
-            margin = margin + _leaf(tree, lambda node: F.get("bins", F.lit(node.feature)) <= node.bin)
-        if len(recent) == WRITTEN_EVERY:
-            older, path = path, scratch_path(spark, "margins")
-            table.withColumn("margin", margin).write.parquet(path)
-            table, recent, margin = spark.read.parquet(path), [], F.col("margin")
-            remove(spark, older)
+
+    def wins(turn: Column) -> Column:
+        return F.pmod(F.xxhash64("salt", turn), F.lit(_STEPS)) < int(row_share * _STEPS)
+
+    turns = F.sequence(F.lit(0), F.lit(rounds - 1)) if row_share < 1 else F.array().cast("array<int>")
+    drawn = F.transform(turns, wins).alias("drawn")
+    path = scratch_path(spark, "binned")
+    salted = known.withColumn("salt", salt).select("x", "y", drawn)
+    salted.mapInArrow(_binned(edges, model.base), _BLOCK).write.parquet(path)
+    blocks, recent = spark.read.schema(_BLOCK).parquet(path).rdd.map(tuple).persist(KEPT), []
+    for t in range(rounds):
+        if len(recent) == STORED_EVERY:
+            older, blocks = blocks, blocks.map(_with_margins(recent, _bin_type(edges))).persist(KEPT)
+            blocks.count()
+            older.unpersist()
+            recent = []
         columns = sorted(rng.sample(usable, max(1, round(column_share * len(usable)))))
-        drawn = F.pmod(F.xxhash64("salt", F.lit(t)), F.lit(_STEPS)) < int(row_share * _STEPS)
-        part = table if row_share >= 1 else table.filter(drawn)
-        sloped = part.select("bins", (margin - F.col("y")).alias("gradient"), F.lit(1.0).alias("hessian"))
-        tree = _grown(sloped, columns, edges, depth, l2, least, rate)
+        tree = _grown(blocks, recent, columns, edges, t if row_share < 1 else None, depth, l2, least, rate)
         model.trees.append(tree)
         recent.append(tree)
+    blocks.unpersist()
     remove(spark, path)
     return model
