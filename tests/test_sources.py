@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import UTC, day, series
+from tests.helpers import UTC, day, physical_plan, series
 from zephyrine.operators import joins
 from zephyrine.operators.joins import combine_sources, with_neighbours
 from zephyrine.operators.series import add_change_rate
@@ -17,6 +17,7 @@ from zephyrine.plans.ingest import (
     history_feature_rows,
     ingest_payloads,
     load_features,
+    sifted_payloads,
 )
 from zephyrine.schema import AQI_PAYLOAD_SCHEMA, FEATURE_TABLE_COLUMNS, WEATHER_PAYLOAD_SCHEMA
 from zephyrine.session import scratch_path, scratch_root
@@ -269,6 +270,19 @@ def test_payloads_that_are_turned_down_are_kept_or_fail(spark, tmp_path):
     assert found == [("aqi", "outside the ingest rules"), ("weather", "missing wind_speed")]
 
 
+def test_each_side_is_scanned_once_for_what_is_turned_down(spark, tmp_path):
+    """Raw rows of unreadable payloads and parsed ones of those outside the rules, from one scan a side."""
+    aqi = lines(tmp_path / "a.json", [aqi_document(6, 1, 100), aqi_document(7, 2, 900), aqi_document(6, 3, 110)])
+    weather = lines(tmp_path / "w.json", [weather_document(6, 1), weather_document(7, 2), weather_document(wind={})])
+    good, _, refused = sifted_payloads(
+        read_payload_lines(spark, aqi, AQI_PAYLOAD_SCHEMA), read_payload_lines(spark, weather, WEATHER_PAYLOAD_SCHEMA)
+    )
+    assert good.count() == 2 and physical_plan(refused).count("FileScan json") == 2
+    rows = {r["source"]: json.loads(r["row"]) for r in refused.collect()}
+    assert rows["aqi"]["aqi"] == 900.0 and "data" not in rows["aqi"]
+    assert "main" in rows["weather"] and "temperature" not in rows["weather"]
+
+
 def test_predictions_are_keyed_by_city_and_time(spark, tmp_path):
     rows = spark.createDataFrame(
         [("a", day(0), 1.0, 2.0, 3.0)],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +18,15 @@ from zephyrine.operators.joins import (
 )
 from zephyrine.operators.profiling import backfill_summary, daily_pm25_mean
 from zephyrine.operators.projection import assemble_feature_rows
-from zephyrine.operators.quality import ingest_rules, split_valid
+from zephyrine.operators.quality import Rule, ingest_rules, split_valid, with_violations
 from zephyrine.session import scratch_path
 from zephyrine.sources.history import scan_history_csv, scan_named_history_csv
 from zephyrine.schema import AQI_PAYLOAD_SCHEMA, WEATHER_PAYLOAD_SCHEMA
 from zephyrine.sources.payloads import (
-    parse_aqi_payloads,
-    parse_weather_payloads,
+    aqi_parts,
+    marked_payloads,
     read_payload_lines,
+    weather_parts,
 )
 from zephyrine.sources.store import (
     DATE_COLUMN,
@@ -63,6 +66,12 @@ def _hours(payloads: DataFrame) -> DataFrame:
     return payloads.select(F.col("city").alias("_city"), hour.alias("_hour")).distinct()
 
 
+def _latest(payloads: DataFrame) -> DataFrame:
+    """The latest payload per city and hour."""
+    placed = payloads.withColumn("_at", floor_hour(F.col("fetched_at")))
+    return latest_per_key(placed, ["city", "_at"], ["fetched_at", SEQ_COLUMN]).drop("_at")
+
+
 def _of_hours(payloads: DataFrame, hours: DataFrame, how: str) -> DataFrame:
     hour = floor_hour(F.col("fetched_at"))
     return payloads.join(hours, (F.col("city") == F.col("_city")) & (hour == F.col("_hour")), how)
@@ -84,9 +93,7 @@ def _with_kept(spark: SparkSession, payloads: DataFrame, table: str, side: str,
 def _keep(payloads: DataFrame, others: DataFrame, table: str, side: str, seq: int) -> None:
     """Keeps the latest payload per city and hour: alone ones, and those of the last days."""
     spark = payloads.sparkSession
-    latest = latest_per_key(
-        payloads.withColumn("_at", floor_hour(F.col("fetched_at"))), ["city", "_at"], ["fetched_at", SEQ_COLUMN]
-    )
+    latest = _latest(payloads).withColumn("_at", floor_hour(F.col("fetched_at")))
     newest = payloads.agg(F.max("fetched_at")).first()[0]
     since = F.lit(newest) - F.expr(f"INTERVAL {PARTNER_DAYS} DAYS")
     recent = latest.filter(F.col("_at") >= since)
@@ -114,23 +121,35 @@ def payloads_alone(spark: SparkSession, table: str) -> DataFrame | None:
     return parts[0].unionByName(parts[1])
 
 
+def _sifted(marked: DataFrame, source: str, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    """Valid payloads of one side, and ``source, reason, row`` of all others from one scan."""
+    parsed = [c for c in marked.columns if c not in ("raw", "reject_reason")]
+    valid, _ = split_valid(marked.filter("reject_reason IS NULL").select(*parsed), rules)
+    outside = F.when(F.size("violations") > 0, F.lit("outside the ingest rules"))
+    told = with_violations(marked, rules).select(
+        F.lit(source).alias("source"),
+        F.coalesce(F.col("reject_reason"), outside).alias("reason"),
+        F.when(F.col("reject_reason").isNotNull(), F.to_json("raw")).otherwise(F.to_json(F.struct(*parsed))).alias("row"),
+    )
+    return valid, told.filter("reason IS NOT NULL")
+
+
 def sifted_payloads(raw_air: DataFrame, raw_weather: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Valid air and valid weather payloads, and ``source, reason, row`` of all others.
 
     The guard in front of the store is applied to each side, so that the latest valid payload
     counts. Works on streams, too.
     """
-    air, bad_air = parse_aqi_payloads(raw_air)
-    weather, bad_weather = parse_weather_payloads(raw_weather)
     of_weather = {"temperature"}
-    good_air, odd_air = split_valid(air, [r for r in ingest_rules() if r.name not in of_weather])
-    good_weather, odd_weather = split_valid(weather, [r for r in ingest_rules() if r.name in of_weather])
-
-    def named(odd: DataFrame) -> DataFrame:
-        return odd.drop("violations").withColumn("reject_reason", F.lit("outside the ingest rules"))
-
-    refused = [(bad_air, "aqi"), (bad_weather, "weather"), (named(odd_air), "aqi"), (named(odd_weather), "weather")]
-    return good_air, good_weather, merge_batches([as_rejected(df, source) for df, source in refused])
+    air, bad_air = _sifted(
+        marked_payloads(raw_air, *aqi_parts(raw_air)), "aqi", [r for r in ingest_rules() if r.name not in of_weather]
+    )
+    weather, bad_weather = _sifted(
+        marked_payloads(raw_weather, *weather_parts(raw_weather)),
+        "weather",
+        [r for r in ingest_rules() if r.name in of_weather],
+    )
+    return air, weather, merge_batches([bad_air, bad_weather])
 
 
 def ingest_payloads(
@@ -158,8 +177,9 @@ def ingest_payloads(
         all_refused.write.mode("append").parquet(rejects)
     elif not all_refused.isEmpty():
         raise ValueError(f"payloads were turned down: {all_refused.first()}")
-    # Written once: the match, the days, the look-back and the merge all read these rows.
-    good_air, good_weather = _written(good_air, "air"), _written(good_weather, "weather")
+    # Only the latest of an hour counts from here on. Written once: the match, the days, the
+    # look-back and the merge all read these rows.
+    good_air, good_weather = _written(_latest(good_air), "air"), _written(_latest(good_weather), "weather")
     every_air = _written(_with_kept(spark, good_air, table, "aqi", seq), "all-air")
     every_weather = _written(_with_kept(spark, good_weather, table, "weather", seq), "all-weather")
     touched = _written(_hours(good_air).union(_hours(good_weather)).distinct(), "hours")

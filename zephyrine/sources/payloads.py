@@ -37,8 +37,14 @@ def _split(df: DataFrame, reason: Column, columns: list[Column]) -> tuple[DataFr
     return accepted, rejected
 
 
-def parse_aqi_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected). Missing sub-objects become NULL; status must be ``ok``."""
+def marked_payloads(raw: DataFrame, reason: Column, columns: list[Column]) -> DataFrame:
+    """The parsed columns of every payload, with ``raw`` as it came and ``reject_reason``."""
+    came = F.struct(*[F.col(f"`{c}`") for c in raw.columns])
+    return raw.select(*columns, came.alias("raw"), reason.alias("reject_reason"))
+
+
+def aqi_parts(raw: DataFrame) -> tuple[Column, list[Column]]:
+    """Why a payload is rejected, and its columns."""
     reason = (
         F.when(_corrupt(raw), F.lit("malformed payload"))
         .when(~F.col("status").eqNullSafe(F.lit("ok")), F.lit("status is not ok"))
@@ -50,11 +56,16 @@ def parse_aqi_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         nan_to_null(F.col("data.aqi")).alias("aqi"),
         *[nan_to_null(F.col(f"data.iaqi.{p}.v")).alias(p) for p in POLLUTANT_COLUMNS],
     ]
-    return _split(raw, reason, columns)
+    return reason, columns
 
 
-def parse_weather_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected). Main block, wind speed and a first description are mandatory."""
+def parse_aqi_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected). Missing sub-objects become NULL; status must be ``ok``."""
+    return _split(raw, *aqi_parts(raw))
+
+
+def weather_parts(raw: DataFrame) -> tuple[Column, list[Column]]:
+    """Why a payload is rejected, and its columns."""
     description = F.get(F.col("weather"), F.lit(0)).getField("description")
     mandatory = {
         "temperature": F.col("main.temp"),
@@ -75,7 +86,12 @@ def parse_weather_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         nan_to_null(F.col("visibility")).alias("visibility"),
         description.alias("weather_desc"),
     ]
-    return _split(raw, reason, columns)
+    return reason, columns
+
+
+def parse_weather_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected). Main block, wind speed and a first description are mandatory."""
+    return _split(raw, *weather_parts(raw))
 
 
 def scan_aqi_payloads(spark: SparkSession, path: str) -> DataFrame:
