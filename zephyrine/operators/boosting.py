@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
@@ -62,11 +63,20 @@ class BoostedTrees:
     trees: list[dict[int, Node]] = field(default_factory=list)
 
     def margin(self, values: Sequence[Column]) -> Column:
-        """The prediction as column arithmetic."""
-        total = F.lit(self.base)
-        for tree in self.trees:
-            total = total + _leaf(tree, lambda node: values[node.feature] <= F.lit(node.threshold))
-        return total
+        """The prediction, batch by batch: hundreds of trees are too long for one expression."""
+        trees, base = self.trees, self.base
+        if not trees:
+            return F.lit(base)
+
+        @F.pandas_udf("double")
+        def told(*columns: pd.Series) -> pd.Series:
+            rows = np.stack([c.to_numpy(np.float64, na_value=np.nan) for c in columns])
+            total = np.full(rows.shape[1], base)
+            for tree in trees:
+                total = total + _leaf_values(tree, rows)
+            return pd.Series(total)
+
+        return told(*[value.cast("double") for value in values])
 
     def table(self, spark: SparkSession) -> DataFrame:
         """One row per node; the base value as tree -1."""
@@ -88,12 +98,16 @@ class BoostedTrees:
         return model
 
 
-def _leaf(tree: dict[int, Node], goes_left, at: int = 1) -> Column:
-    node = tree[at]
-    if node.feature < 0:
-        return F.lit(node.value)
-    left, right = (_leaf(tree, goes_left, 2 * at + side) for side in (0, 1))
-    return F.when(goes_left(node), left).otherwise(right)
+def _leaf_values(tree: dict[int, Node], rows: np.ndarray) -> np.ndarray:
+    """The value of the unsplit node each row is in; a missing value goes right."""
+    at = np.ones(rows.shape[1], np.int32)
+    for k in sorted(tree):
+        node = tree[k]
+        if node.feature >= 0:
+            at = np.where(at == k, 2 * k + 1 - (rows[node.feature] <= node.threshold), at)
+    values = np.zeros(max(tree) + 1)
+    values[list(tree)] = [node.value for node in tree.values()]
+    return values[at]
 
 
 def _nodes_of(tree: dict[int, Node], bins: np.ndarray) -> np.ndarray:
