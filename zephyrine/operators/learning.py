@@ -7,16 +7,12 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    GBTRegressor,
-    LinearRegression,
-    LinearRegressionModel,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from zephyrine.operators.boosting import BoostedTrees, boost
+from zephyrine.operators.boosting import BoostedTrees, Ends, boost, column_ends
+from zephyrine.operators.forest import grow_forest
 from zephyrine.operators.profiling import regression_metrics
 from zephyrine.operators.quantiles import exact_quantiles
 from zephyrine.sources.bundle import ModelBundle
@@ -141,6 +137,7 @@ def fit_ridge(
 
 # Ensemble settings.
 SEED = 42
+ENSEMBLE_BINS = 32
 FOREST = {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 3}
 BOOSTING = {
     "maxIter": 200,
@@ -151,31 +148,55 @@ BOOSTING = {
 }
 
 
-def fit_random_forest(matrix: DataFrame, bundle: ModelBundle, **settings: object) -> ModelBundle:
-    bundle.model = RandomForestRegressor(
-        featuresCol=VECTOR,
-        labelCol=bundle.target,
-        featureSubsetStrategy="all",
+def fit_random_forest(
+    matrix: DataFrame, bundle: ModelBundle, ends: Ends | None = None, **settings: object
+) -> ModelBundle:
+    """Bootstrap samples, every split among all inputs."""
+    own = {**FOREST, **settings}
+    bundle.model = grow_forest(
+        matrix,
+        VECTOR,
+        bundle.target,
+        trees=own["numTrees"],
+        depth=own["maxDepth"],
+        least=own["minInstancesPerNode"],
+        bins=ENSEMBLE_BINS,
         seed=SEED,
-        **{**FOREST, **settings},
-    ).fit(matrix)
+        ends=ends,
+    )
     return bundle
 
 
 def fit_gradient_boosting(
-    matrix: DataFrame, bundle: ModelBundle, **settings: object
+    matrix: DataFrame, bundle: ModelBundle, ends: Ends | None = None, **settings: object
 ) -> ModelBundle:
-    bundle.model = GBTRegressor(
-        featuresCol=VECTOR, labelCol=bundle.target, seed=SEED, **{**BOOSTING, **settings}
-    ).fit(matrix)
+    """The first tree counts in full; the later ones follow the derivative of the squared error,
+    twice the residual."""
+    own = {**BOOSTING, **settings}
+    bundle.model = boost(
+        matrix,
+        VECTOR,
+        bundle.target,
+        rounds=own["maxIter"],
+        depth=own["maxDepth"],
+        rate=2 * own["stepSize"],
+        row_share=own["subsamplingRate"],
+        column_share=1.0,
+        l2=0.0,
+        least=own["minInstancesPerNode"],
+        bins=ENSEMBLE_BINS,
+        seed=SEED,
+        first_rate=1.0,
+        ends=ends,
+    )
     return bundle
 
 
 def fit_regularised_boosting(
-    matrix: DataFrame, bundle: ModelBundle, **settings: object
+    matrix: DataFrame, bundle: ModelBundle, ends: Ends | None = None, **settings: object
 ) -> ModelBundle:
     """Boosting with second-order gains, leaves shrunk by an L2 term, and columns drawn per tree."""
-    bundle.model = boost(matrix, VECTOR, bundle.target, **settings)
+    bundle.model = boost(matrix, VECTOR, bundle.target, ends=ends, **settings)
     return bundle
 
 
@@ -212,10 +233,11 @@ def fit_all(
     plain = ModelBundle("", None, effective, label, medians)
     matrix = assemble_vector(known, plain).select(VECTOR, F.col(label).cast("double").alias(label))
     matrix.cache().count()
+    ends = column_ends(matrix, VECTOR, label)
 
     def fit(name: str) -> ModelBundle:
         blank = ModelBundle(name, None, effective, label, medians)
-        return TREE_MODELS[name](matrix, blank, **settings.get(name, {}))
+        return TREE_MODELS[name](matrix, blank, ends, **settings.get(name, {}))
 
     pool = ThreadPool(len(TREE_MODELS))
     try:

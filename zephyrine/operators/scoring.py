@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from zephyrine.functions.calendar import forecast_label, time_features
 from zephyrine.functions.index import aqi_category
 from zephyrine.functions.numeric import clip, half_even
+from zephyrine.operators.boosting import BoostedTrees
 from zephyrine.operators.learning import VECTOR, imputed, predict, scaled
 from zephyrine.sources.bundle import ModelBundle
 from zephyrine.sources.store import FORECAST_HORIZONS
@@ -220,5 +221,7 @@ def predict_mixed(df: DataFrame, columns: Mapping[str, Column], bundle: ModelBun
         if name in bundle.means:
             value = scaled(value, bundle.means[name], bundle.deviations[name])
         values.append(value)
+    if isinstance(bundle.model, BoostedTrees):
+        return df.withColumn("_f", bundle.model.margin(values))
     model = bundle.model.copy().setFeaturesCol(VECTOR).setPredictionCol("_f")
     return model.transform(df.withColumn(VECTOR, array_to_vector(F.array(*values)))).drop(VECTOR)
