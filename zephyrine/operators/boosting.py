@@ -201,12 +201,13 @@ def _bin_type(edges: list[list[float]]) -> type:
 
 
 def _with_margins(trees: Sequence[dict[int, Node]], kind: type) -> Callable[[Block], Block]:
-    """Blocks with the trees' values added to the margins, that is to the gradients."""
+    """Blocks with the trees' values added to the margins, that is to the gradients; the trees'
+    samples are left off."""
 
     def run(block: Block) -> Block:
         n, salt, bins, drawn, gradient = block
         told = _with_trees(np.frombuffer(gradient), trees, np.frombuffer(bins, kind).reshape(-1, n))
-        return n, salt, bins, drawn, told.tobytes()
+        return n, salt, bins, drawn[len(trees) * ((n + 7) // 8) :], told.tobytes()
 
     return run
 
@@ -293,8 +294,8 @@ def _histograms(
 ) -> Callable[[Iterable[Block]], Iterator[np.ndarray]]:
     """Blocks to one task's sums of gradients and Hessians, the latter the rows of the squared error.
 
-    Sums by column, then node and bin. ``turn`` tells which of the drawn samples counts; None
-    takes every row.
+    Sums by column, then node and bin. ``turn`` tells which of the drawn samples left counts;
+    None takes every row.
     """
     place = np.full(2 * max(tree) + 2, -1, np.int16 if len(counted) < 1 << 15 else np.int32)
     place[list(counted)] = range(len(counted))
@@ -539,8 +540,9 @@ def boost(
             older, blocks = blocks, blocks.map(_with_margins(recent, _bin_type(edges))).persist(KEPT)
             recent = []
         columns = sorted(rng.sample(usable, max(1, round(column_share * len(usable)))))
+        turn = len(recent) if row_share < 1 else None
         own_rate = rate if t or first_rate is None else first_rate
-        tree = _grown(blocks, recent, columns, edges, t if row_share < 1 else None, depth, l2, least, own_rate)
+        tree = _grown(blocks, recent, columns, edges, turn, depth, l2, least, own_rate)
         if older is not None:  # the tree's first level has stored the blocks after it
             older.unpersist()
             older = None
